@@ -7,21 +7,45 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import bytebpe, packing, quality, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return bytebpe.round_trip(docs, _tokenizer_file("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).select("doc_id", "bpe.*")
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_read(spark, sf_dir, "documents"), _tokenizer_file("byte_bpe_50k.json"))
+
+
 def op8_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.measure_quality(docs).select("doc_id", "quality.*")
 
 
+def op10_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_byte_bpe": op3_byte_bpe,
+        "op6_best_fit_packing": op6_best_fit_packing,
         "op8_repetition_coverage": op8_repetition_coverage,
+        "op10_simhash_variants": op10_simhash_variants,
     }
 
 
