@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bytebpe, packing, quality, simhash
+from . import bytebpe, media, packing, quality, simhash, toxicity, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _crc(doc_id: Column) -> Column:
+    return F.crc32(doc_id.cast("string").cast("binary"))
+
+
 def _tokenizer_file(name: str) -> str:
     import public_tokenizers
 
@@ -27,27 +31,58 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.round_trip(docs, _tokenizer_file("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).select("doc_id", "bpe.*")
 
 
+def op5_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    classifier = toxicity.fit(docs, _read(spark, sf_dir, "labels"), usable=lambda i: _crc(i) % 3 != 1)
+    scored = toxicity.score(docs, classifier)
+    return scored.select("doc_id", (_crc(F.col("doc_id")) % 3 == 1).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"), _tokenizer_file("byte_bpe_50k.json"))
 
 
+def op7_signature_sniffing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return media.digest_column(media.store_column(docs)).select("doc_id", "digest.*")
+
+
 def op8_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.measure_quality(docs).select("doc_id", "quality.*")
 
 
+def op9_transaction_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    return warc.captures(warc.round_trip(pages)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+_WARC_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 100
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_byte_bpe": op3_byte_bpe,
+        "op5_noisy_channel_toxicity": op5_noisy_channel_toxicity,
         "op6_best_fit_packing": op6_best_fit_packing,
+        "op7_signature_sniffing": op7_signature_sniffing,
         "op8_repetition_coverage": op8_repetition_coverage,
+        "op9_transaction_assembly": op9_transaction_assembly,
         "op10_simhash_variants": op10_simhash_variants,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_transaction_assembly": _WARC_SQL}
