@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bytebpe, media, packing, quality, simhash, toxicity, warc
+from . import brown, bytebpe, media, packing, quality, simhash, toxicity, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,6 +24,12 @@ def _tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = brown.score_documents(docs, train=_crc(F.col("doc_id")) % 10 != 0)
+    return scored.withColumn("held_out", _crc(F.col("doc_id")) % 10 == 0).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -74,6 +80,7 @@ FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >=
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_brown_classes": op2_brown_classes,
         "op3_byte_bpe": op3_byte_bpe,
         "op5_noisy_channel_toxicity": op5_noisy_channel_toxicity,
         "op6_best_fit_packing": op6_best_fit_packing,
