@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, bytebpe, media, packing, quality, simhash, toxicity, warc
+from . import brown, bytebpe, licences, media, packing, quality, simhash, toxicity, urls, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,6 +24,14 @@ def _tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: The rules of the URL query: what they say, and host with path.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op1_url_model_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(_read(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op2_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     scored = brown.score_documents(docs, train=_crc(F.col("doc_id")) % 10 != 0)
@@ -37,6 +45,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.round_trip(docs, _tokenizer_file("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).select("doc_id", "bpe.*")
 
 
+def op4_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.scan(docs).select("doc_id", "licence.*")
+
+
 def op5_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     classifier = toxicity.fit(docs, _read(spark, sf_dir, "labels"), usable=lambda i: _crc(i) % 3 != 1)
@@ -80,8 +93,10 @@ FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >=
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_model_ratio": op1_url_model_ratio,
         "op2_brown_classes": op2_brown_classes,
         "op3_byte_bpe": op3_byte_bpe,
+        "op4_licence_sentences": op4_licence_sentences,
         "op5_noisy_channel_toxicity": op5_noisy_channel_toxicity,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_signature_sniffing": op7_signature_sniffing,
@@ -92,4 +107,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_transaction_assembly": _WARC_SQL}
+    return {"op4_licence_sentences": licences.scan_sql(), "op9_transaction_assembly": _WARC_SQL}
