@@ -1,0 +1,20 @@
+"""Schemas of the engine's tables. Pixels come in a long form (one row each) and a packed one (one row per tile)."""
+
+from pyspark.sql import types as T
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(k, v) for k, v in fields.items()])
+
+
+_L, _I, _D, _S, _B = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.BinaryType()
+
+LISTING = _struct(image_id=_L, role=_S, split=_S, path=_S)
+FRAMES = _struct(path=_S, height=_I, width=_I, channels=_I, mode=_I, data=_B)
+PIXELS = _struct(image_id=_L, y=_I, x=_I, c=_I, v=_I)
+BOXES = _struct(image_id=_L, x0=_I, y0=_I, x1=_I, y1=_I)  # half-open
+DETECTIONS = _struct(image_id=_L, x_min=_D, y_min=_D, x_max=_D, y_max=_D, conf=_D)
+TILES = _struct(image_id=_L, y0=_I, x0=_I, y1=_I, x1=_I, data=_B)
+SCORES = _struct(image_id=_L, y=_I, x=_I, logit=_D)
+RUNS = _struct(folder=_S, run_date=T.DateType())
+EPOCH_METRICS = _struct(run_date=_S, epoch=_I, train_loss=_D, val_loss=_D, iou=_D, dice=_D)
