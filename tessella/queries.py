@@ -580,12 +580,13 @@ def upsample2_kernel(raster8):
 # --- models and whole plans ---
 
 
-@_query("SELECT image_id, CAST(p AS INTEGER) AS p, round(0.5 * logit - 0.25 * target + 0.125, 4) AS logit FROM (SELECT image_id, y * 8 + x AS p, CAST(logit AS DOUBLE) AS logit, target FROM raster8) r", "raster8")
+@_query("SELECT image_id, CAST(p AS INTEGER) AS p, 0.5::DOUBLE * v - 0.25::DOUBLE * target + 0.125::DOUBLE AS logit FROM (SELECT image_id, y * 8 + x AS p, v, target FROM raster8) r", "raster8")
 def score_frames(raster8):
-    cells = raster8.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct((F.col("y") * 8 + F.col("x")).alias("p"), F.col("logit").cast("float").alias("a"), F.col("target").cast("float").alias("b")))).alias("cells"))
+    # Bytes and dyadic weights, so that single precision is exact.
+    cells = raster8.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct((F.col("y") * 8 + F.col("x")).alias("p"), F.col("v").cast("float").alias("a"), F.col("target").cast("float").alias("b")))).alias("cells"))
     plane = cells.select("image_id", F.concat(F.transform("cells", lambda c: c["a"]), F.transform("cells", lambda c: c["b"])).alias("plane"))
     scored = Model.score_frames(plane, Model.linear_model([0.5, -0.25], 0.125), [2, 64])
-    return scored.select("image_id", F.posexplode("logits").alias("p", "l")).select("image_id", "p", F.round(F.col("l").cast("double"), 4).alias("logit"))
+    return scored.select("image_id", F.posexplode("logits").alias("p", "l")).select("image_id", "p", F.col("l").cast("double").alias("logit"))
 
 
 def _plot_detections(plots):
