@@ -59,7 +59,10 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([fingerprint(x.as_py(), words) for x in batch], pa.int64())
+            out = pa.array([fingerprint(x.as_py(), words) for x in batch], pa.int64())
+            del batch
+            pa.default_memory_pool().release_unused()  # idle workers shouldn't sit on a batch of texts
+            yield out
 
     return df.select(F.col(id_col), F.arrow_udf(run, "long")(F.col(text_col)).alias("fp"))
 
