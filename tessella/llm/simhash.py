@@ -5,8 +5,8 @@ Each segment is indexed under every variant with one bit deleted; equal or one-b
 equality join finds all candidates, and the full fingerprints verify them inside the join. A pair is taken only from its
 first segment and variant that can show it, so no link comes twice.
 
-Only distinct fingerprints are indexed. A bucket that holds many of them is dealt out in blocks, and each pair of blocks
-reports a spanning forest of its links instead of all of them; that leaves the classes the same. Classes come from
+Only distinct fingerprints are indexed. A bucket that is crowded is dealt out in blocks, and each pair of blocks reports a
+spanning forest of its links instead of all of them; that leaves the classes the same. Classes come from
 repeated minimum labels with shortcuts; every step is a join or a grouping, cut off by a written table.
 
 Defined cases: a null text counts as empty and has fingerprint zero, which links like any other; repeated rows and texts
@@ -29,8 +29,10 @@ SHINGLE_WORDS = 4
 MAX_BITS = 4
 #: (lowest bit, width) of the three segments.
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
-#: A bucket with more distinct fingerprints than this is handled in blocks of this many.
-BLOCK = 256
+#: A bucket with more distinct fingerprints than this doesn't list its links but a spanning forest of them,
+CROWD = 64
+#: taken between blocks of this many fingerprints.
+BLOCK = 1024
 _SEED = 42
 _COUNT_BLOCK = 1 << 15
 
@@ -94,37 +96,61 @@ def _first_shown(a: Column, b: Column) -> Column:
     return out
 
 
-def _forest(fps: np.ndarray, other: np.ndarray | None, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a spanning forest of the graph on fps (with other: of the links between both)."""
-    right = fps if other is None else other
-    near = np.bitwise_count(fps[:, None] ^ right[None, :]) <= most
-    a, b = np.nonzero(np.triu(near, 1) if other is None else near)
-    root: dict[int, int] = {}
+def _own_pairs(x: np.ndarray, key: int) -> np.ndarray:
+    """Whether pairs that differ by x are taken from this key: ``_first_shown`` in numpy."""
+    segment, bit = key >> 40, key >> 32 & 0xFF
+    own = np.ones(x.shape, bool)
+    for s, (low, width) in enumerate(SEGMENTS[: segment + 1]):
+        part = (x >> np.uint64(low)) & np.uint64((1 << width) - 1)
+        own &= np.bitwise_count(part) > 1 if s < segment else (part == np.uint64(1 << bit)) | ((part == 0) & (bit == 0))
+    return own
 
-    def find(x: int) -> int:
-        while root.setdefault(x, x) != x:
-            root[x] = x = root[root[x]]
-        return x
 
-    kept = []
-    for x, y in zip(fps[a].tolist(), right[b].tolist(), strict=True):
-        p, q = find(x), find(y)
-        if p != q:
-            root[p] = q
-            kept.append((x, y))
-    pairs = np.array(kept, np.int64).reshape(-1, 2)
-    return pairs[:, 0], pairs[:, 1]
+def _forest(fps: np.ndarray, other: np.ndarray | None, key: int, most: int) -> np.ndarray:
+    """Links of a spanning forest of a bucket's own links among fps (with other: between both), as rows of two.
 
+    Own links of a key with a higher bit join fingerprints that have the bit to ones that don't, so only those are met."""
+    low, bit = SEGMENTS[key >> 40][0], key >> 32 & 0xFF
+    has = lambda v: (v.view(np.uint64) >> np.uint64(low + bit)) & np.uint64(1) == 1
+    if bit and other is None:
+        meetings = [(fps[has(fps)], fps[~has(fps)])]
+    elif bit:
+        meetings = [(fps[has(fps)], other[~has(other)]), (fps[~has(fps)], other[has(other)])]
+    else:
+        meetings = [(fps, fps if other is None else other)]
+    root: dict[int, int] = {}
 
-def links(fps: DataFrame, most: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+    def find(v: int) -> int:
+        while root.setdefault(v, v) != v:
+            root[v] = v = root[root[v]]
+        return v
+
+    kept, enough = [], len(fps) - 1 + (0 if other is None else len(other))
+    for left, right in meetings:
+        # Unsigned, as numpy counts the bits of a negative number's absolute value.
+        x = left.view(np.uint64)[:, None] ^ right.view(np.uint64)[None, :]
+        near = (np.bitwise_count(x) <= most) & _own_pairs(x, key)
+        a, b = np.nonzero(np.triu(near, 1) if left is right else near)
+        for v, w in zip(left[a].tolist(), right[b].tolist(), strict=True):
+            p, q = find(v), find(w)
+            if p != q:
+                root[p] = q
+                kept.append((v, w))
+                if len(kept) == enough:
+                    break
+    return np.array(kept, np.int64).reshape(-1, 2)
+
+
+def links(fps: DataFrame, most: int = MAX_BITS, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
     """(a, b): links between different fingerprints at ``most`` or fewer differing bits, enough to tell the classes.
 
-    ``fps`` has distinct values in ``fp``. Small buckets give every link of theirs, blocks give a spanning forest each."""
+    ``fps`` has distinct values in ``fp``. Buckets of up to ``crowd`` give every link of theirs; of larger ones, each pair
+    of blocks gives a spanning forest."""
     if not 0 <= most <= 5:
         raise ValueError("three segments with one deleted bit find up to five differing bits")
     index = variants(fps)
     sizes = index.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    large = materialise(sizes.where(F.col("n") > block), "large-buckets")
+    large = materialise(sizes.where(F.col("n") > crowd), "large-buckets")
     some_large = bool(large.limit(1).count())
     small = index.join(large.select("key"), "key", "left_anti") if some_large else index
     a, b = small.select("key", F.col("fp").alias("a")), small.select("key", F.col("fp").alias("b"))
@@ -135,10 +161,10 @@ def links(fps: DataFrame, most: int = MAX_BITS, block: int = BLOCK) -> DataFrame
         return found
 
     def forest(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        fp, side = table["fp"].to_numpy(), table["block"].to_numpy()
+        fp, side = np.ascontiguousarray(table["fp"].to_numpy()), table["block"].to_numpy()
         i, j = key[1].as_py(), key[2].as_py()
-        x, y = _forest(fp, None, most) if i == j else _forest(fp[side == i], fp[side == j], most)
-        return pa.table({"a": x, "b": y})
+        found = _forest(fp, None, key[0].as_py(), most) if i == j else _forest(fp[side == i], fp[side == j], key[0].as_py(), most)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
 
     dealt = index.join(large, "key").withColumn("blocks", F.ceil(F.col("n") / block)).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")))
     met = dealt.select("key", "fp", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with"))
@@ -169,11 +195,11 @@ def classes(pairs: DataFrame, start: DataFrame, limit: int = 60) -> DataFrame:
     return label.join(smallest, "root").select("fp", "component_id")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, most: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, most: int = MAX_BITS, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
     """(id_col, fingerprint as 16 hexadecimal digits, component_id) for every row."""
     prints = materialise(fingerprints(df, id_col, text_col, words), "fingerprints")
     each = materialise(prints.groupBy("fp").agg(F.min(id_col).alias("id")), "distinct")
-    linked = classes(links(each.select("fp"), most, block), each)
+    linked = classes(links(each.select("fp"), most, crowd, block), each)
     known = each.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "id").alias("component_id"))
     return prints.join(known, "fp").select(F.col(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
