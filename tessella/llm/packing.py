@@ -2,9 +2,9 @@
 
 Texts become token counts; texts longer than a sequence are cut into full pieces, the first of which may be shorter. The
 pieces are dealt to groups of bounded size, each packed by best-fit decreasing. Dual-feasible functions give a lower bound
-on each group's number of bins: a group that meets its bound is certified and done. Groups with a gap give up the pieces
-of their loosely filled bins; those pieces are exchanged (dealt anew to other groups) and packed again, for as long as
-that saves bins or ``rounds`` lasts.
+on each group's number of bins: a group that meets its bound is certified and done. While all groups together need more bins than the
+bound of all pieces, the looser bins of groups with a gap (of all groups, once each is certified) give up their pieces;
+these are exchanged, that is dealt anew to fewer groups, and packed again.
 
 No group is larger than ``group_rows``, so no task grows with the input; only numbers travel, never ids or texts.
 
@@ -29,7 +29,7 @@ from .common import attach, materialise
 
 CAPACITY = 2048
 GROUP_ROWS = 40_000
-ROUNDS = 4
+ROUNDS = 16
 _chunk = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: A chunk that is one word, perhaps with marks behind it: two pre-tokens by the pattern's own classes.
 _simple = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#%&*$|]+)?")
@@ -137,14 +137,16 @@ def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     return df.select(F.col(id_col), F.arrow_udf(run, kind)(F.col(text_col)).alias("pieces"))
 
 
-def lower_bound(lengths: np.ndarray, capacity: int) -> int:
+def lower_bound(lengths: np.ndarray, capacity: int, counts: np.ndarray | None = None) -> int:
     """The largest of the bounds that dual-feasible functions give for bins of ``capacity``.
 
+    ``counts``: of each length, if these are distinct.
+
     Two families over the histogram of lengths: dropping items below k while rounding those above capacity-k up to a full
     bin (k = 0 is the plain volume), and the staircase x -> floor((m+1) x / C) / m, exact multiples kept."""
     if not len(lengths):
         return 0
-    size, count = np.unique(lengths, return_counts=True)
+    size, count = np.unique(lengths, return_counts=True) if counts is None else (lengths, counts)
     best = -(-int((size * count).sum()) // capacity)
     for k in [k for k in np.unique(np.minimum(size, capacity - size)) if 0 < k <= capacity // 2]:
         value = np.where(size > capacity - k, capacity, np.where(size < k, 0, size))
@@ -198,36 +200,43 @@ def _pack_groups(df: DataFrame, groups: int, salt: int, capacity: int) -> DataFr
 
 
 def assign(items: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS, rounds: int = ROUNDS) -> DataFrame:
-    """(uid, bin) for items (uid, length), bins numbered uniquely.
-
-    Each round keeps the bins that are full enough or certified and exchanges the pieces of the loose bins of groups with
-    a gap; a round's outcome is used only if it saves bins."""
-    n = items.count()
+    """(uid, length, bin) for items (uid, length), bins numbered uniquely.
+
+    A bound for all items (from the histogram of lengths, at most one row per length) says when nothing can be gained.
+    Until then each round settles the fuller half of the bins that have room, of the groups with a gap or, once all groups
+    are certified, of all groups; the pieces of the other half are exchanged: dealt to half as many groups or fewer, and
+    packed again. A round that needs more bins than before is not used."""
+    lengths = items.groupBy("length").agg(F.count("*").alias("n")).orderBy("length").collect()
+    size, count = np.array([r.length for r in lengths], np.int64), np.array([r.n for r in lengths], np.int64)
+    bound, n = lower_bound(size, capacity, count), int(count.sum())
     state = materialise(_pack_groups(items, max(1, -(-n // group_rows)), 0, capacity), "packed")
-    done = None
-    for turn in range(1, rounds + 1):
-        # Of a group with a gap, all bins with room take part; the rest is settled.
-        loose = (F.col("gap") > 0) & (F.col("room") > 0)
-        settled = state.where(~loose).select("uid", "length", F.lit(turn - 1).alias("turn"), "bin")
-        rest = state.where(loose)
-        before = rest.agg(F.count("*").alias("n"), F.count_distinct("bin").alias("bins")).first()
-        if not before.n:
+    named = lambda rows, turn: rows.select("uid", "length", (F.lit(turn << 56).cast("long") + F.col("bin")).alias("bin"))
+    bins_of = lambda rows: rows.agg(F.count("*").alias("n"), F.count_distinct("bin").alias("bins")).first()
+    total, groups, done, turn = bins_of(state).bins, max(1, -(-n // group_rows)), None, 0
+    while turn < rounds and total > bound and groups > 1:
+        gaps = bool(state.where("gap > 0 and room > 0").limit(1).count())
+        loose = (F.col("room") > 0) & (F.col("gap") > 0) if gaps else F.col("room") > 0
+        middle = state.where(loose).groupBy("bin").agg(F.first("room").alias("room")).agg(F.percentile_approx("room", 0.5)).first()[0]
+        if middle is None:
             break
-        again = materialise(_pack_groups(rest.select("uid", "length"), max(1, -(-before.n // group_rows)), turn, capacity), "packed")
-        if again.agg(F.count_distinct("bin")).first()[0] >= before.bins:
+        open_bin = loose & (F.col("room") >= middle)
+        rest = state.where(open_bin)
+        before = bins_of(rest)
+        groups = max(1, -(-before.n // group_rows))
+        again = materialise(_pack_groups(rest.select("uid", "length"), groups, turn + 1, capacity), "packed")
+        after = bins_of(again).bins
+        if after > before.bins:
             break
+        settled = named(state.where(~open_bin), turn)
         done = settled if done is None else done.unionByName(settled)
-        state = again
-    else:
-        turn = rounds + 1
-    last = state.select("uid", "length", F.lit(turn - 1).alias("turn"), "bin")
-    done = last if done is None else done.unionByName(last)
-    return done.select("uid", "length", (F.col("turn").cast("long") * F.lit(1 << 56) + F.col("bin")).alias("bin"))
+        state, turn, total = again, turn + 1, total - before.bins + after
+    last = named(state, turn)
+    return last if done is None else done.unionByName(last)
 
 
 def pack_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, group_rows: int = GROUP_ROWS, rounds: int = ROUNDS) -> DataFrame:
     """One row per piece: (id_col, piece, start, length, ids_crc32, sequence_id, offset)."""
-    cut_up = materialise(pieces(df, path, id_col, text_col, capacity).withColumn("row", F.monotonically_increasing_id()).select(id_col, "row", F.explode("pieces").alias("p")).select(id_col, "row", "p.*").withColumn("uid", F.xxhash64("row", "piece")), "pieces")
+    cut_up = materialise(pieces(df, path, id_col, text_col, capacity).select(id_col, F.explode("pieces").alias("p")).select(id_col, "p.*").withColumn("uid", F.monotonically_increasing_id()), "pieces")
     bins = assign(cut_up.select("uid", "length"), capacity, group_rows, rounds)
     placed = cut_up.join(bins.select("uid", F.col("bin").alias("sequence_id")), "uid")
 
