@@ -2,8 +2,10 @@
 
 Texts are cut into sentences, sentences are normalised (A-Z lowered, everything but letters and digits a space) and
 looked up among known licence sentences. The sequence of their identifiers is matched against ordered licence rules.
-Wrapped licence texts are read twice, with a line break as an end and as a space; the reading that knows more sentences
-counts (the first, if equal). Only built-in functions are used, rows are independent, nothing is shuffled.
+Wrapped licence texts are read three times, with a line break as an end, as a space, and as a space without comment marks;
+the reading that knows more sentences counts (the first, if equal). A sentence that isn't known as a whole is searched for
+SPDX identifiers and for phrases that name a licence, which may stand behind any words but a negation. Only built-in functions
+are used, rows are independent, nothing is shuffled.
 
 Defined cases: a null or empty text has no sentences and no licences; repeated rows get equal results; a sentence that
 occurs twice is in the sequence twice; other columns are carried along.
@@ -37,8 +39,41 @@ SENTENCES = {
     "bsd_redistribute": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "reserved": "all rights reserved",
 }
+#: Further sentences, which the SQL of ``scan_sql`` doesn't know; several may have one identifier.
+MORE_SENTENCES = [
+    ("mit_title", "the mit license"),
+    ("mit_title", "the mit license mit"),
+    ("mit_permission", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"),
+    ("mit_notice", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit_notice", "the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software"),
+    ("apache_title", "apache license version 2 0 january 2004 http www apache org licenses"),
+    ("gpl3_preamble", "the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("gpl2_program", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
+    ("gpl2_program", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation"),
+    ("gpl2_preamble", "by contrast the gnu general public license is intended to guarantee your freedom to share and change free software to make sure the software is free for all its users"),
+    ("lgpl2_library", "this library is free software you can redistribute it and or modify it under the terms of the gnu library general public license as published by the free software foundation either version 2 of the license or at your option any later version"),
+    ("lgpl21_library", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version"),
+    ("lgpl21_preamble", "this license the lesser general public license applies to some specially designated software packages typically libraries of the free software foundation and other authors who decide to use it"),
+    ("lgpl3_library", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("lgpl3_library", "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("lgpl3_preamble", "this version of the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license supplemented by the additional permissions listed below"),
+    ("agpl3_program", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("agpl3_preamble", "the gnu affero general public license is a free copyleft license for software and other kinds of works specifically designed to ensure cooperation with the community in the case of network server software"),
+    ("mpl2_title", "mozilla public license version 2 0"),
+    ("mpl2_subject", "this source code form is subject to the terms of the mozilla public license v"),  # "v. 2.0" is cut behind the v
+    ("isc_title", "isc license"),
+    ("isc_grant", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc_grant", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("0bsd_grant", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("unlicense_free", "this is free and unencumbered software released into the public domain"),
+    ("zlib_grant", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"),
+    ("boost_title", "boost software license version 1 0 august 17th 2003"),
+    ("boost_grant", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following"),
+]
 #: Parts of words, one of which each of these sentences contains.
 ANCHORS = ("licens", "granted", "warrant", "redistribut", "copyright", "domain", "reserved")
+#: Further ones, which short notes have; unknown to the SQL too.
+MORE_ANCHORS = ("gpl", "bsd", "apache", "creative commons", "under mit", "under the mit", "under cc")
 #: Fixed values, in order: licence, family, pattern over the identifiers (each with a space before and behind).
 RULES = [
     ("Apache-2.0", "permissive", " apache_header .*apache_obtain | apache_header | apache_licensed "),
@@ -51,25 +86,104 @@ RULES = [
     ("CC0-1.0", "permissive", " cc0_waived | public_domain "),
     ("proprietary", "restricted", " reserved "),
 ]
+#: What further identifiers say by these rules, and further rules.
+MORE_RULES = {
+    "Apache-2.0": " apache_title | apache_named ",
+    "MIT": " mit_permission .*mit_notice .*as_is | mit_title .*mit_permission | mit_named ",
+    "GPL-3.0": " gpl3_preamble | gpl3_named ",
+    "BSD": " bsd_named ",
+    "CC-BY-NC-4.0": " ccbync_named ",
+    "CC-BY-SA-4.0": " ccbysa_named ",
+    "CC-BY-4.0": " ccby_named ",
+    "CC0-1.0": " cc0_named ",
+}
+NEW_RULES = [
+    ("GPL-2.0", "copyleft", " gpl2_program | gpl2_preamble | gpl2_named "),
+    ("GPL", "copyleft", " gpl_named "),
+    ("LGPL-2.0", "copyleft", " lgpl2_library | lgpl2_named "),
+    ("LGPL-2.1", "copyleft", " lgpl21_library | lgpl21_preamble | lgpl21_named "),
+    ("LGPL-3.0", "copyleft", " lgpl3_library | lgpl3_preamble | lgpl3_named "),
+    ("AGPL-3.0", "copyleft", " agpl3_program | agpl3_preamble | agpl3_named "),
+    ("MPL-2.0", "copyleft", " mpl2_title | mpl2_subject | mpl2_named "),
+    ("EPL-2.0", "copyleft", " epl2_named "),
+    ("ISC", "permissive", " isc_grant | isc_named "),
+    ("0BSD", "permissive", " 0bsd_grant | 0bsd_named "),
+    ("Unlicense", "permissive", " unlicense_free | unlicense_named "),
+    ("Zlib", "permissive", " zlib_grant | zlib_named "),
+    ("BSL-1.0", "permissive", " boost_title .*boost_grant | boost_grant | boost_named "),
+    ("CC-BY-NC-SA-4.0", "restricted", " ccbyncsa_named "),
+    ("CC-BY-NC-ND-4.0", "restricted", " ccbyncnd_named "),
+    ("CC-BY-ND-4.0", "restricted", " ccbynd_named "),
+]
+_LICENSE, _CC = "licen[sc]e", "(?:cc|creative commons)"
+_VERSION = lambda v: f"(?: ?v| ?version)? ?{v}"
+_GNU = lambda kind, short, v: f"(?:gnu )?(?:{kind} ?general public {_LICENSE}|{short})(?: {short})?{_VERSION(v)}"
+_CCBY = lambda kinds: f"{_CC} (?:by|attribution){kinds} {_VERSION('4 0').lstrip()}"
+_NC, _SA, _ND = " (?:nc|non ?commercial)", " (?:sa|share ?alike)", " (?:nd|no ?deriv(?:ative)?s)"
+#: Identifier, SPDX name, and name in prose, both over normalised text.
+NAMES = [
+    ("mit_named", "mit", f"(?:mit|mit x11|expat|mit expat)(?: {_LICENSE}|$)"),
+    ("apache_named", "apache 2 0", f"(?:apache(?: software)? {_LICENSE}{_VERSION('2(?: 0)?')}|apache ?v?2(?: 0)?(?: {_LICENSE}|$))"),
+    ("gpl3_named", "gpl 3 0", _GNU("", "gpl", "3(?: 0)?")),
+    ("gpl2_named", "gpl 2 0", _GNU("", "gpl", "2(?: 0)?")),
+    ("gpl_named", None, f"(?:gnu )?(?:general public {_LICENSE}|gpl)(?: gpl)?(?! ?(?:gpl )?(?:v|version)? ?[0-9])"),
+    ("lgpl2_named", "lgpl 2 0", _GNU("(?:lesser|library)", "lgpl", "2(?: 0)?(?! 1)")),
+    ("lgpl21_named", "lgpl 2 1", _GNU("lesser", "lgpl", "2 1")),
+    ("lgpl3_named", "lgpl 3 0", _GNU("lesser", "lgpl", "3(?: 0)?")),
+    ("agpl3_named", "agpl 3 0", _GNU("affero", "agpl", "3(?: 0)?")),
+    ("mpl2_named", "mpl 2 0", f"(?:mozilla public {_LICENSE}|mpl)(?: mpl)?{_VERSION('2(?: 0)?')}"),
+    ("epl2_named", "epl 2 0", f"(?:eclipse public {_LICENSE}|epl)(?: epl)?{_VERSION('2(?: 0)?')}"),
+    ("bsd_named", "bsd [0-9] clause", f"(?:(?:new |modified |simplified |revised )?bsd(?: {_LICENSE}|$)|bsd [234] clause|(?:[234]|two|three|four) clause bsd)"),
+    ("0bsd_named", "0bsd", f"(?:0bsd|zero clause bsd)(?: {_LICENSE}|$)"),
+    ("isc_named", "isc", f"isc {_LICENSE}"),
+    ("unlicense_named", "unlicense", "unlicense"),
+    ("zlib_named", "zlib", f"zlib(?: libpng)? {_LICENSE}"),
+    ("boost_named", "bsl 1 0", f"boost software {_LICENSE}{_VERSION('1 0')}"),
+    ("cc0_named", "cc0 1 0", f"(?:cc0|creative commons zero)(?:{_VERSION('1 0')})?"),
+    ("ccbyncsa_named", "cc by nc sa 4 0", _CCBY(_NC + _SA)),
+    ("ccbyncnd_named", "cc by nc nd 4 0", _CCBY(_NC + _ND)),
+    ("ccbynd_named", "cc by nd 4 0", _CCBY(_ND)),
+    ("ccbync_named", "cc by nc 4 0", _CCBY(_NC)),
+    ("ccbysa_named", "cc by sa 4 0", _CCBY(_SA)),
+    ("ccby_named", "cc by 4 0", _CCBY("")),
+]
+#: What stands before a name in prose, and what takes the sense from it.
+_GIVEN = "(?:licen[sc]ed|dual licen[sc]ed|released|distributed|redistributed|published|available|provided|covered|governed|offered|shared)"
+LEAD = f"(?:^| ){_GIVEN} (?:[a-z]+ )?(?:under|by|through|with)(?: either)?(?: the| a| an)?(?: terms)?(?: and conditions)?(?: of)?(?: the| a| an)? (?:[a-z0-9 ]+ (?:or|and)(?: the)? )?"
+DENIED = f"(?:^| )(?:not|never|no longer|cannot be)(?: [a-z]+)?(?: [a-z]+)? {_GIVEN}(?: |$)"
 _LAST_WINS = ("restricted", "copyleft", "permissive")
 
 
 def _identifiers(lines: Column) -> Column:
-    """Identifiers of the known sentences among the lines, in order."""
-    known = F.create_map(*[F.lit(x) for i, s in SENTENCES.items() for x in (s, i)])
+    """Identifiers of the known sentences among the lines and of names in the others, in order."""
+    known = F.create_map(*[F.lit(x) for i, s in [*SENTENCES.items(), *MORE_SENTENCES] for x in (s, i)])
     telling = F.filter(lines, lambda s: _anchored(s))
     plain = F.transform(telling, lambda s: F.trim(F.regexp_replace(F.translate(s, UPPER, LOWER), "[^a-z0-9]+", " ")))
-    return F.filter(F.transform(plain, lambda s: F.element_at(known, s)), lambda i: i.isNotNull())
+    return F.flatten(F.transform(plain, lambda s: F.when(F.element_at(known, s).isNotNull(), F.array(F.element_at(known, s))).otherwise(_names(s))))
+
+
+def _names(sentence: Column) -> Column:
+    """Identifiers of the licences that a normalised sentence names."""
+    spdx = sentence.rlike("(?:^| )spdx license identifier ")
+    tagged = F.array_compact(F.array(*[F.when(sentence.rlike(f" identifier (?:.* )?{n}(?: |$)"), F.lit(i)) for i, n, _ in NAMES if n]))
+    prose = F.array_compact(F.array(*[F.when(sentence.rlike(f"{LEAD}{p}(?: |$)"), F.lit(i)) for i, _, p in NAMES]))
+    leads = sentence.rlike(f"(?:^| ){_GIVEN} ") & ~sentence.rlike(DENIED)
+    return F.when(spdx, tagged).when(leads, prose).otherwise(F.array().cast("array<string>"))
 
 
 def _anchored(text: Column) -> Column:
     low = F.translate(text, UPPER, LOWER)
     out = F.lit(False)
-    for a in ANCHORS:
+    for a in (*ANCHORS, *MORE_ANCHORS):
         out = out | low.contains(a)
     return out
 
 
+def _all_rules() -> list[tuple[str, str, str]]:
+    known = [(n, f, f"{p}|{MORE_RULES[n]}" if n in MORE_RULES else p) for n, f, p in RULES]
+    return [*known[:-1], *NEW_RULES, known[-1]]
+
+
 def scan(df: DataFrame, text_col: str = "text", into: str = "licence") -> DataFrame:
     """All columns and the struct ``into``: sentences (identifiers in order), licences (by rule), verdict and the count."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -78,11 +192,15 @@ def scan(df: DataFrame, text_col: str = "text", into: str = "licence") -> DataFr
     none = F.array().cast("array<string>")
     a = F.when(_anchored(text), _identifiers(by_line)).otherwise(none)
     b = F.when(_anchored(text), _identifiers(by_sentence)).otherwise(none)
-    rows = df.withColumn("_readings", F.struct(a.alias("a"), b.alias("b")))
-    both = F.col("_readings")
-    ids = F.when(F.size(both["b"]) > F.size(both["a"]), both["b"]).otherwise(both["a"])
+    bare = F.regexp_replace(F.regexp_replace(text, "(?m)^[ \\t]*(?://+|/?[*]+/?|#+|;+|--+|%+|>+|<!--|\"\"\")[ \\t]*", ""), "(?m)[ \\t\\r]+$", "")
+    by_paragraph = F.split(F.regexp_replace(F.regexp_replace(bare, "\n\n+", "\u0001"), "([.!?])[ \\t\\r\\n]+", "$1\u0001"), "\u0001")
+    c = F.when(_anchored(text), _identifiers(by_paragraph)).otherwise(none)
+    rows = df.withColumn("_readings", F.struct(a.alias("a"), b.alias("b"), c.alias("c")))
+    all3 = F.col("_readings")
+    most = F.greatest(*[F.size(all3[x]) for x in "abc"])
+    ids = F.when(F.size(all3["a"]) == most, all3["a"]).when(F.size(all3["b"]) == most, all3["b"]).otherwise(all3["c"])
     rows = rows.withColumn("_ids", ids).withColumn("_line", F.concat(F.lit(" "), F.array_join("_ids", "  "), F.lit(" ")))
-    matched = F.array_compact(F.array(*[F.when(F.col("_line").rlike(p), F.struct(F.lit(n).alias("name"), F.lit(f).alias("family"))) for n, f, p in RULES]))
+    matched = F.array_compact(F.array(*[F.when(F.col("_line").rlike(p), F.struct(F.lit(n).alias("name"), F.lit(f).alias("family"))) for n, f, p in _all_rules()]))
     rows = rows.withColumn("_rules", F.when(F.size("_ids") > 0, matched).otherwise(F.array().cast("array<struct<name:string,family:string>>")))
     families = F.col("_rules")["family"]
     verdict = F.lit("none")
@@ -93,7 +211,7 @@ def scan(df: DataFrame, text_col: str = "text", into: str = "licence") -> DataFr
 
 
 def scan_sql(table: str = "documents", id_col: str = "doc_id", text_col: str = "text") -> str:
-    """The same scan as DuckDB SQL."""
+    """The scan as DuckDB SQL, by ``SENTENCES`` and ``RULES`` alone: the same for texts without further sentences or names."""
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
     low = lambda x: f"translate({x}, '{UPPER}', '{LOWER}')"
     anchored = lambda x: "(" + " OR ".join(f"contains({low(x)}, '{a}')" for a in ANCHORS) + ")"
