@@ -56,9 +56,16 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def slabs(texts: pa.Array, limit: int = SLAB_BYTES) -> Iterator[pa.Array]:
     """The texts in consecutive slices of about ``limit`` bytes; a longer text is a slice of its own."""
-    _, at = utf8(texts)
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    at = np.frombuffer(texts.buffers()[1], kind)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, kind)
     i, n = 0, len(texts)
     while i < n:
-        j = max(i + 1, int(np.searchsorted(at, at[i] + limit, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(at, int(at[i]) + limit, "right")) - 1)
         yield texts.slice(i, j - i)
         i = j
+
+
+def give_back[T](result: T) -> T:
+    """The result, after Arrow's pool has returned the memory of batches that are gone: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    return result

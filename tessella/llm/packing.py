@@ -6,7 +6,7 @@ on each group's number of bins: a group that meets its bound is certified and do
 bound of all pieces, the looser bins of groups with a gap (of all groups, once each is certified) give up their pieces;
 these are exchanged, that is dealt anew to fewer groups, and packed again.
 
-No group is larger than ``group_rows``, so no task grows with the input; only numbers travel, never ids or texts.
+No group is larger than about ``group_rows``, so no task grows with the input; only numbers travel, never ids or texts.
 
 Defined cases: a null text is an empty one (its end id alone); repeated rows are packed separately; ties in length are
 broken by row; other columns are not read.
@@ -14,103 +14,82 @@ broken by row; other columns are not read.
 
 from __future__ import annotations
 
-import re
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import tiktoken
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bytebpe import WHITE
-from .common import attach, materialise
+from .bytebpe import encode
+from .common import attach, give_back, materialise
 
 CAPACITY = 2048
 GROUP_ROWS = 40_000
-ROUNDS = 16
-_chunk = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-#: A chunk that is one word, perhaps with marks behind it: two pre-tokens by the pattern's own classes.
-_simple = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#%&*$|]+)?")
-_white = frozenset(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+#: Fixed value: the pattern of the library's byte-level pre-tokenizer.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-class CachedTokenizer:
-    """Ids of a text by the tokenizers library, word by word.
+class LibraryIds:
+    """Ids of a text as the tokenizers library gives them, by a quicker way where that is proven to be the same.
 
-    A text is cut where white space begins after another character; the byte-level pre-tokenizer never joins across such a
-    place, so each chunk has its own ids, which are remembered. New chunks that are plain words go to the library's BPE model; the
-    others of a text are encoded in one call and told apart by the byte length of each token."""
+    The library merges pairs that its file lists; a rank table merges any neighbours whose union is a token, lowest rank
+    first. Both give the same ids on all texts if ids rise with the merges and every token, spelled out alone, is merged
+    to itself by the library: a union formed in a text is formed by the same steps when it stands alone, so no other pair
+    can ever yield it. That is checked here for each token of the file; a file that fails, or that isn't plain byte-level
+    BPE, is left to the library, and so is each text that contains an added token."""
 
-    def __init__(self, path: str, most: int = 600_000, longest: int = 64):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for token, i in vocabulary.items():
-            self.n_bytes[i] = len(token)  # one character of the token's spelling stands for one byte
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.library = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as f:
+            said = json.load(f)
+        ranks = self._ranks(said["model"]) if self._plain(said) else None
+        self.ranked = None if ranks is None else tiktoken.Encoding("local", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+
+    @staticmethod
+    def _plain(said: dict) -> bool:
+        """Whether nothing but byte-level splitting and merging happens to a text."""
+        model, split = said["model"], said["pre_tokenizer"] or {}
+        options = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+        around = ("normalizer", "post_processor", "truncation", "padding")
+        return model["type"] == "BPE" and not any(model.get(k) for k in options) and not any(said.get(k) for k in around) and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+
+    def _ranks(self, model: dict) -> dict[bytes, int] | None:
+        """The table of tokens by id; None if a token isn't merged to itself or ids don't rise with the merges."""
         # The byte-level alphabet: printable Latin-1 stands for itself, the other bytes for the characters from 256 on.
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        self.spelling = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(plain))}
-        self.most, self.longest = most, longest
-
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def _word(self, word: str) -> bytes:
-        """Ids of one pre-token, straight from the library's BPE model."""
-        ids = self.words.get(word)
-        if ids is None:
-            spelled = word.encode().decode("latin-1").translate(self.spelling)
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], "<u4").tobytes()
-            if len(word) <= self.longest:
-                self.words[word] = ids
-        return ids
-
-    def _learn(self, chunks: list[str]) -> None:
-        known, joined = self.known, []
-        for c in chunks:
-            if simple := _simple.fullmatch(c):
-                word, marks = simple.groups()
-                known[c] = self._word(word) + (self._word(marks) if marks else b"")
-            elif c[0] not in _white or c[-1] in _white:
-                known[c] = self._encode(c).tobytes()
-            else:
-                joined.append(c)
-        if joined:
-            ids = self._encode("".join(joined))
-            ends = np.cumsum(self.n_bytes[ids])
-            cuts = np.searchsorted(ends, np.cumsum([len(c.encode()) for c in joined])) + 1
-            raw, a = ids.tobytes(), 0
-            for c, b in zip(joined, cuts.tolist(), strict=True):
-                known[c] = raw[4 * a : 4 * b]
-                a = b
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+        pairs = [x.split(" ") if isinstance(x, str) else x for x in model["merges"]]
+        ids = [model["vocab"][a + b] for a, b in pairs]
+        if any(a >= b for a, b in zip(ids, ids[1:], strict=False)):
+            return None
+        ranks = {}
+        for token, i in model["vocab"].items():
+            if token in self.added:
+                continue
+            alone = self.library.model.tokenize(token)
+            if len(alone) != 1 or alone[0].id != i or not set(token) <= set(byte_of):
+                return None
+            ranks[bytes(byte_of[c] for c in token)] = i
+        return ranks if sum(len(t) == 1 for t in ranks) == 256 else None
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        chunks, known = _chunk.findall(text), self.known
-        if new := [c for c in chunks if c not in known]:
-            if len(known) + len(new) > self.most:
-                known.clear()
-                self.words.clear()
-                new = chunks
-            self._learn(list(dict.fromkeys(new)))
-            out = b"".join(map(known.__getitem__, chunks))
-            for c in new:
-                if len(c) > self.longest:
-                    known.pop(c, None)
-            return out
-        return b"".join(map(known.__getitem__, chunks))
+        if self.ranked is None or any(t in text for t in self.added):
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(x.astype("<u4", copy=False).tobytes() for x in encode(self.ranked, text))
 
 
 @lru_cache(maxsize=2)
-def tokenizer(path: str) -> CachedTokenizer:
-    return CachedTokenizer(path)
+def tokenizer(path: str) -> LibraryIds:
+    return LibraryIds(path)
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -132,7 +111,8 @@ def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
             for x in batch:
                 ids = encode(x.as_py() or "") + end
                 out.append([{"piece": i, "start": s, "length": n, "ids_crc32": zlib.crc32(memoryview(ids)[4 * s : 4 * (s + n)])} for i, (s, n) in enumerate(cut(len(ids) // 4, capacity))])
-            yield pa.array(out, pa.list_(fields))
+            del batch
+            yield give_back(pa.array(out, pa.list_(fields)))
 
     return df.select(F.col(id_col), F.arrow_udf(run, kind)(F.col(text_col)).alias("pieces"))
 
@@ -199,21 +179,23 @@ def _pack_groups(df: DataFrame, groups: int, salt: int, capacity: int) -> DataFr
     return dealt.groupBy("group").applyInArrow(run, _STATE)
 
 
-def assign(items: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS, rounds: int = ROUNDS) -> DataFrame:
-    """(uid, length, bin) for items (uid, length), bins numbered uniquely.
+def assign(items: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS, rounds: int | None = None) -> tuple[DataFrame, int, int]:
+    """(uid, length, bin) for items (uid, length), bins numbered uniquely; the bound for all items; the number of bins.
 
-    A bound for all items (from the histogram of lengths, at most one row per length) says when nothing can be gained.
-    Until then each round settles the fuller half of the bins that have room, of the groups with a gap or, once all groups
+    The bound (from the histogram of lengths, at most one row per length) says when nothing can be gained. Until then
+    each round settles the fuller half of the bins that have room, of the groups with a gap or, once all groups
     are certified, of all groups; the pieces of the other half are exchanged: dealt to half as many groups or fewer, and
-    packed again. A round that needs more bins than before is not used."""
+    packed again. A round that needs more bins than before is not used. It ends when the bound is met, or when a round
+    neither settles nor saves a bin; ``rounds`` may end it earlier."""
     lengths = items.groupBy("length").agg(F.count("*").alias("n")).orderBy("length").collect()
     size, count = np.array([r.length for r in lengths], np.int64), np.array([r.n for r in lengths], np.int64)
     bound, n = lower_bound(size, capacity, count), int(count.sum())
     state = materialise(_pack_groups(items, max(1, -(-n // group_rows)), 0, capacity), "packed")
-    named = lambda rows, turn: rows.select("uid", "length", (F.lit(turn << 56).cast("long") + F.col("bin")).alias("bin"))
+    named = lambda rows, turn: rows.select("uid", "length", (F.lit(turn << 48).cast("long") + F.col("bin")).alias("bin"))
     bins_of = lambda rows: rows.agg(F.count("*").alias("n"), F.count_distinct("bin").alias("bins")).first()
-    total, groups, done, turn = bins_of(state).bins, max(1, -(-n // group_rows)), None, 0
-    while turn < rounds and total > bound and groups > 1:
+    total, done, turn = bins_of(state).bins, None, 0
+    held = total
+    while total > bound and (rounds is None or turn < rounds):
         gaps = bool(state.where("gap > 0 and room > 0").limit(1).count())
         loose = (F.col("room") > 0) & (F.col("gap") > 0) if gaps else F.col("room") > 0
         middle = state.where(loose).groupBy("bin").agg(F.first("room").alias("room")).agg(F.percentile_approx("room", 0.5)).first()[0]
@@ -222,25 +204,25 @@ def assign(items: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_R
         open_bin = loose & (F.col("room") >= middle)
         rest = state.where(open_bin)
         before = bins_of(rest)
-        groups = max(1, -(-before.n // group_rows))
-        again = materialise(_pack_groups(rest.select("uid", "length"), groups, turn + 1, capacity), "packed")
+        again = materialise(_pack_groups(rest.select("uid", "length"), max(1, -(-before.n // group_rows)), turn + 1, capacity), "packed")
         after = bins_of(again).bins
-        if after > before.bins:
+        if after > before.bins or after == held:
             break
         settled = named(state.where(~open_bin), turn)
         done = settled if done is None else done.unionByName(settled)
-        state, turn, total = again, turn + 1, total - before.bins + after
+        state, turn, total, held = again, turn + 1, total - before.bins + after, after
     last = named(state, turn)
-    return last if done is None else done.unionByName(last)
+    return last if done is None else done.unionByName(last), bound, total
 
 
-def pack_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, group_rows: int = GROUP_ROWS, rounds: int = ROUNDS) -> DataFrame:
-    """One row per piece: (id_col, piece, start, length, ids_crc32, sequence_id, offset)."""
-    cut_up = materialise(pieces(df, path, id_col, text_col, capacity).select(id_col, F.explode("pieces").alias("p")).select(id_col, "p.*").withColumn("uid", F.monotonically_increasing_id()), "pieces")
-    bins = assign(cut_up.select("uid", "length"), capacity, group_rows, rounds)
-    placed = cut_up.join(bins.select("uid", F.col("bin").alias("sequence_id")), "uid")
-
-    from pyspark.sql import Window
+def pack_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, group_rows: int = GROUP_ROWS, rounds: int | None = None) -> DataFrame:
+    """One row per piece: (id_col, piece, start, length, ids_crc32, sequence_id, offset, bound, gap).
 
+    ``bound``: sequences that any packing of these pieces needs; ``gap``: sequences used beyond that (the same in each row)."""
+    rows = pieces(df, path, id_col, text_col, capacity).select(F.col(id_col).alias("id"), F.explode("pieces").alias("p"))
+    cut_up = materialise(rows.select("id", "p.*").withColumn("uid", F.monotonically_increasing_id()), "pieces")
+    bins, bound, total = assign(cut_up.select("uid", "length"), capacity, group_rows, rounds)
+    placed = cut_up.join(bins.select("uid", F.col("bin").alias("sequence_id")), "uid")
     before = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "uid").rowsBetween(Window.unboundedPreceding, -1)
-    return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0).cast("long"))).select(id_col, "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    offset = F.coalesce(F.sum("length").over(before), F.lit(0).cast("long"))
+    return placed.select(F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", "sequence_id", offset.alias("offset"), F.lit(bound).cast("long").alias("bound"), F.lit(total - bound).cast("long").alias("gap"))

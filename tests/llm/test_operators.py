@@ -141,20 +141,47 @@ def vocabulary():
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def test_cached_ids_are_the_librarys(texts, vocabulary):
-    cached = packing.CachedTokenizer(vocabulary, most=3000)
-    for x in [*texts.values(), *[t or "" for t in ODD], "a  b\t\tc \u3000 d", "'s  it's", "\x1c!\x1c a\x1cb", "nul\0 in a\0text", "x\ny,\n z", "\nfirst last ", " a", "a "]:
-        want = cached.tokenizer.encode(x, add_special_tokens=False).ids
-        assert np.frombuffer(cached.ids(x), "<u4").tolist() == want
+@pytest.fixture(scope="module")
+def library(vocabulary):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(vocabulary)  # untouched
+
+
+def test_ids_are_the_librarys(texts, vocabulary, library):
+    quick = packing.LibraryIds(vocabulary)
+    assert quick.ranked is not None
+    rng = np.random.default_rng(6)
+    noise = ["".join(map(chr, rng.integers(1, 0x2FF, 400))) for _ in range(60)] + ["".join(rng.choice(list("ab \n\t'sre 1.,\u3000é"), 300)) for _ in range(60)]
+    for x in [*texts.values(), *[t or "" for t in ODD], *noise, "a  b\t\tc \u3000 d", "'s  it's", "\x1c!\x1c a\x1cb", "nul\0 in a\0text", "x\ny,\n z", "\nfirst last ", " a", "a ", "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "<|endoftex", " " * 5000 + "x"]:
+        want = library.encode(x, add_special_tokens=False).ids
+        assert np.frombuffer(quick.ids(x), "<u4").tolist() == want
+
 
+def test_other_files_are_left_to_the_library(tmp_path):
+    """Ranks that don't follow the merges, or a token that no merge reaches, give no rank table."""
+    import json
 
-def test_packing_contract(spark, docs, texts, vocabulary):
+    from tokenizers import Tokenizer
+
+    alphabet = [*map(chr, [*range(33, 127), *range(161, 173), *range(174, 256)]), *map(chr, range(256, 324))]
+    base = {c: i for i, c in enumerate(alphabet)}
+    for k, (more, merges) in enumerate([(["ab", "bc", "abc"], ["a b", "b c", "ab c"]), (["bc", "ab", "abc"], ["a b", "b c", "ab c"]), (["bc", "ab", "abc"], ["b c", "a b", "ab c"])]):
+        said = {"version": "1.0", "added_tokens": [], "normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}, "post_processor": None, "decoder": None, "truncation": None, "padding": None, "model": {"type": "BPE", "vocab": base | {t: 256 + i for i, t in enumerate(more)}, "merges": merges}}
+        path = tmp_path / f"{k}.json"
+        path.write_text(json.dumps(said))
+        quick = packing.LibraryIds(str(path))
+        assert (quick.ranked is not None) == (k == 0)
+        for x in ("abc", "xabcab bcabc", "aabbcc"):
+            assert np.frombuffer(quick.ids(x), "<u4").tolist() == Tokenizer.from_file(str(path)).encode(x, add_special_tokens=False).ids
+
+
+def test_packing_contract(spark, docs, texts, library):
     got = queries.op6_best_fit_packing(spark, DATA).toPandas()
-    cached = packing.CachedTokenizer(vocabulary)
     by_doc = {k: g.sort_values("piece") for k, g in got.groupby("doc_id")}
     assert set(by_doc) == set(texts)
     for i, g in by_doc.items():
-        ids = np.append(np.frombuffer(cached.ids(texts[i] or ""), "<u4"), 0).astype("<u4")
+        ids = np.array([*library.encode(texts[i] or "", add_special_tokens=False).ids, 0], "<u4")
         assert g.length.sum() == len(ids) and (g.length.iloc[1:] == 2048).all() and g.length.iloc[0] <= 2048
         assert g.start.tolist() == [0, *np.cumsum(g.length)[:-1]]
         for r in g.itertuples():
@@ -162,7 +189,8 @@ def test_packing_contract(spark, docs, texts, vocabulary):
     placed = got.sort_values(["sequence_id", "offset"])
     sums = placed.groupby("sequence_id").length.cumsum()
     assert (sums - placed.length == placed.offset).all() and sums.max() <= 2048
-    assert got.sequence_id.nunique() <= packing.lower_bound(got.length.to_numpy(), 2048) + 1
+    bound = packing.lower_bound(got.length.to_numpy(), 2048)
+    assert (got.bound == bound).all() and (got.gap == got.sequence_id.nunique() - bound).all() and got.gap.iloc[0] <= 1
 
 
 def test_packing_odd_rows(odd, nothing, vocabulary):
@@ -175,13 +203,21 @@ def test_exchange_between_groups(spark):
     rng = np.random.default_rng(6)
     n = rng.integers(1, 40, 900)
     items = spark.createDataFrame([(int(i), int(x)) for i, x in enumerate(n)], "uid long, length long")
-    alone, exchanged = (packing.assign(items, 100, group_rows=60, rounds=r).toPandas() for r in (0, 16))
+    alone, exchanged = (packing.assign(items, 100, group_rows=60, rounds=r)[0].toPandas() for r in (0, None))
     for got in (alone, exchanged):
         assert len(got) == 900 and got.uid.nunique() == 900 and got.groupby("bin").length.sum().max() <= 100
         assert got.length.tolist() == n[got.uid].tolist()
     assert packing.lower_bound(n, 100) <= exchanged.bin.nunique() < alone.bin.nunique()
 
 
+def test_exchange_through_documents(docs, vocabulary):
+    one, many = (packing.pack_documents(docs, vocabulary, group_rows=n).toPandas() for n in (40_000, 40))
+    assert len(one) == len(many) and set(zip(one.doc_id, one.piece, one.ids_crc32)) == set(zip(many.doc_id, many.piece, many.ids_crc32))
+    for got in (one, many):
+        assert (got.groupby("sequence_id").length.sum() <= 2048).all() and got.gap.iloc[0] == got.sequence_id.nunique() - got.bound.iloc[0]
+    assert many.gap.iloc[0] <= one.gap.iloc[0] + 3
+
+
 def test_lower_bounds():
     assert packing.lower_bound(np.array([60, 60, 60]), 100) == 3
     assert packing.lower_bound(np.array([34] * 3), 100) == 2
