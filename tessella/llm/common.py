@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
 #: Upper bound on the bytes of text that a kernel looks at in one go.
@@ -43,6 +44,27 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_counted(rows: DataFrame, table: DataFrame, key: str, n: str, share: int = 10_000) -> DataFrame:
+    """``rows`` joined with ``table``, which has each key once and in ``n`` the number of rows with it (dropped).
+
+    Keys with more than one in ``share`` of all rows, of which there can't be more than ``share``, are broadcast; the
+    others are shuffled, so no task gets more rows for one key than that part."""
+    total = table.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
+    often = F.col(n) * share > total
+    hot, cold = table.where(often).drop(n), table.where(~often).drop(n)
+    return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
+
+
+def with_ids(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` with one of ``ids`` (one column, repeats allowed); of several rows with the same id, one.
+
+    Only rows whose id is repeated are compared with each other; the others pass one join."""
+    counted = materialise(ids.toDF("_id").groupBy("_id").agg(F.count("*").alias("_n")), "kept-ids")
+    once = df.join(counted.where("_n = 1").select(F.col("_id").alias(id_col)), id_col, "left_semi")
+    again = df.join(counted.where("_n > 1").select(F.col("_id").alias(id_col)), id_col, "left_semi")
+    return once.unionByName(again.dropDuplicates([id_col])).select(df.columns)
+
+
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts end to end, and the offsets where each begins (one more than texts); a null is empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")

@@ -7,7 +7,8 @@ first segment and variant that can show it, so no link comes twice.
 
 Only distinct fingerprints are indexed. A bucket that is crowded is dealt out in blocks, and each pair of blocks reports a
 spanning forest of its links instead of all of them; that leaves the classes the same. Classes come from
-repeated minimum labels with shortcuts; every step is a join or a grouping, cut off by a written table.
+contracting the graph of links, in rounds that grow with the logarithm of a chain's length; every step is a join or a
+grouping, cut off by a written table. The rows meet their class by fingerprint, the most frequent fingerprints by broadcast.
 
 Defined cases: a null text counts as empty and has fingerprint zero, which links like any other; repeated rows and texts
 share a fingerprint; the class id is the smallest non-null id; other columns are not read.
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, materialise
+from .common import attach, give_back, join_counted, materialise, with_ids
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -63,8 +64,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             out = pa.array([fingerprint(x.as_py(), words) for x in batch], pa.int64())
             del batch
-            pa.default_memory_pool().release_unused()  # idle workers shouldn't sit on a batch of texts
-            yield out
+            yield give_back(out)
 
     return df.select(F.col(id_col), F.arrow_udf(run, "long")(F.col(text_col)).alias("fp"))
 
@@ -172,53 +172,64 @@ def links(fps: DataFrame, most: int = MAX_BITS, crowd: int = CROWD, block: int =
     return found.unionByName(met.groupBy("key", "i", "j").applyInArrow(forest, "a long, b long"))
 
 
-def classes(pairs: DataFrame, start: DataFrame, limit: int = 60) -> DataFrame:
+def classes(pairs: DataFrame, start: DataFrame) -> DataFrame:
     """(fp, component_id) for the fingerprints in ``pairs``: the smallest ``id`` of ``start`` (fp, id) among those reachable.
 
-    Roots are found over fingerprints themselves (smallest label), then given the smallest id of their members."""
-    both = materialise(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    label = materialise(both.groupBy(F.col("a").alias("fp")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "roots")
-    for _ in range(limit):
-        near = both.join(label, both.b == label.fp).groupBy("a").agg(F.min("root").alias("seen"))
-        step = label.join(near, label.fp == near.a, "left").select("fp", F.col("root").alias("old"), F.least("root", "seen").alias("root"))
-        jump = label.select(F.col("fp").alias("at"), F.col("root").alias("beyond"))
-        step = step.join(jump, step.root == jump.at, "left").select("fp", "old", F.least("root", "beyond").alias("root"))
-        step = materialise(step, "roots")
-        changed = step.where("old <> root").limit(1).count()
-        label = step.select("fp", "root")
-        if not changed:
-            break
-    else:
-        raise RuntimeError(f"classes have not settled after {limit} rounds")
-    named = label.join(start, "fp")
-    smallest = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    return label.join(smallest, "root").select("fp", "component_id")
+    Each round every vertex joins the smallest of its neighbours and itself in an order that a hash draws anew, twice over
+    (its choice's choice), and the graph shrinks to what was chosen. At least half of the vertices are expected to go in a
+    round, whatever the shape, so rounds grow with the logarithm of the longest chain; each works on what the last one left."""
+    edges = materialise(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "links")
+    chosen: list[DataFrame] = []
+    while edges.limit(1).count():
+        turn = F.lit(len(chosen))
+        # The hash of one number is one to one, so names stay apart within a round; the round is part of a name afterwards.
+        near = edges.groupBy("a").agg(F.min(F.xxhash64("b", turn)).alias("near")).select(F.col("a").alias("v"), F.xxhash64("a", turn).alias("own"), "near")
+        near = materialise(near.select("v", "own", F.least("own", "near").alias("near")), "choices")
+        beyond = near.select(F.col("own").alias("near"), F.col("near").alias("to"))
+        step = materialise(near.join(beyond, "near").select("v", "to"), "steps")
+        chosen.append(step)
+        left, right = step.select(F.col("v").alias("a"), F.col("to").alias("to_a")), step.select(F.col("v").alias("b"), F.col("to").alias("to_b"))
+        moved = edges.join(left, "a").join(right, "b").where("to_a <> to_b").select(F.col("to_a").alias("a"), F.col("to_b").alias("b"))
+        edges = materialise(moved.distinct(), "links")
+    if not chosen:
+        return start.select("fp", F.col("id").alias("component_id")).limit(0)
+    label = None
+    for turn in range(len(chosen) - 1, -1, -1):
+        step = chosen[turn].select(F.col("v"), F.col("to"), F.lit(turn).alias("turn"))
+        if label is not None:
+            later = label.select(F.col("v").alias("to"), F.col("root").alias("later"), F.col("turn").alias("later_turn"))
+            step = step.join(later, "to", "left").select("v", F.coalesce("later", "to").alias("root"), F.coalesce("later_turn", "turn").alias("turn"))
+        else:
+            step = step.withColumnRenamed("to", "root")
+        label = materialise(step, "labels")
+    named = label.withColumnRenamed("v", "fp").join(start, "fp")
+    smallest = named.groupBy("root", "turn").agg(F.min("id").alias("component_id"))
+    return label.withColumnRenamed("v", "fp").join(smallest, ["root", "turn"]).select("fp", "component_id")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, most: int = MAX_BITS, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
     """(id_col, fingerprint as 16 hexadecimal digits, component_id) for every row."""
-    prints = materialise(fingerprints(df, id_col, text_col, words), "fingerprints")
-    each = materialise(prints.groupBy("fp").agg(F.min(id_col).alias("id")), "distinct")
-    linked = classes(links(each.select("fp"), most, crowd, block), each)
-    known = each.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "id").alias("component_id"))
-    return prints.join(known, "fp").select(F.col(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    prints = materialise(fingerprints(df, id_col, text_col, words).toDF("id", "fp"), "fingerprints")
+    each = materialise(prints.groupBy("fp").agg(F.min("id").alias("id"), F.count("*").alias("n")), "distinct")
+    linked = classes(links(each.select("fp"), most, crowd, block), each.select("fp", "id"))
+    known = materialise(each.join(linked, "fp", "left").select("fp", "n", F.coalesce("component_id", "id").alias("component_id")), "named")
+    return join_counted(prints, known, "fp", "n").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``df`` whose id is the smallest of its class; of rows with that same id, one.
 
     Rows without an id stay only if their whole class has none, and then one of them does."""
-    found = near_duplicates(df, id_col, text_col, **options)
-    ids = found.where(F.col(id_col).isNotNull() & (F.col(id_col) == F.col("component_id"))).select(id_col).distinct()
-    kept = df.join(ids, id_col, "left_semi").dropDuplicates([id_col])
-    lone = found.where(F.col("component_id").isNull()).select("fingerprint").distinct().withColumn("_fp", F.col("fingerprint"))
+    found = materialise(near_duplicates(df, id_col, text_col, **options), "near-duplicates").withColumnRenamed(id_col, "_id")
+    kept = with_ids(df, id_col, found.where("_id = component_id").select("_id"))
+    lone = found.where(F.col("component_id").isNull()).select(F.col("fingerprint").alias("print")).distinct()
     if not lone.limit(1).count():
-        return kept.select(df.columns)
+        return kept
     attach(df.sparkSession)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             yield pa.array([f"{fingerprint(x.as_py(), options.get('words', SHINGLE_WORDS)) & (1 << 64) - 1:016x}" for x in batch], pa.string())
 
-    nameless = df.where(F.col(id_col).isNull()).withColumn("_fp", F.arrow_udf(run, "string")(F.col(text_col)))
-    return kept.select(df.columns).unionByName(nameless.join(lone.select("_fp"), "_fp", "left_semi").dropDuplicates(["_fp"]).select(df.columns))
+    nameless = df.where(F.col(id_col).isNull()).select(F.struct(*df.columns).alias("row"), F.arrow_udf(run, "string")(F.col(text_col)).alias("print"))
+    return kept.unionByName(nameless.join(lone, "print", "left_semi").dropDuplicates(["print"]).select("row.*"))

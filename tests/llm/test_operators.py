@@ -289,6 +289,34 @@ def test_chains_and_blocks(spark):
         assert {i: found.get(x, x) for i, x in enumerate(fps)} == {i: min(fps[j] for j in want if want[j] == want[i]) for i in want}
 
 
+def test_long_chain(spark):
+    """A thousand fingerprints in a chain of random order and direction, besides a star and pairs."""
+    rng, v = np.random.default_rng(10), 0
+    chain = [0]
+    while len(chain) < 1000:
+        bits = rng.choice(64, 4, replace=False)
+        w = v ^ sum(1 << int(b) for b in bits)
+        if w not in chain:
+            chain.append(v := w)
+    sides = [0x55 << 56 | 1 << i for i in range(30)] + [0x55 << 56]
+    fps = [x - (1 << 64) if x >> 63 else x for x in dict.fromkeys([*chain, *sides])]
+    pairs = [(fps[i], fps[i + 1]) if i % 3 else (fps[i + 1], fps[i]) for i in range(999)] + [(fps[-1], x) for x in fps[1000:-1]]
+    rng.shuffle(pairs)
+    start = spark.createDataFrame([(x, i) for i, x in enumerate(fps)], "fp long, id long")
+    got = simhash.classes(spark.createDataFrame([(int(a), int(b)) for a, b in pairs], "a long, b long"), start).collect()
+    assert {r.fp: r.component_id for r in got} == {x: 0 if i < 1000 else 1000 for i, x in enumerate(fps)}
+
+
+def test_frequent_keys_meet_their_rows(spark):
+    from tessella.llm.common import join_counted
+
+    rows = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    table = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("low"))
+    for share in (1, 5, 10_000):
+        got = join_counted(rows, table, "k", "n", share).collect()
+        assert sorted(r.id for r in got) == list(range(1000)) and all(r.low == r.k for r in got)
+
+
 def test_keep_one(odd, nothing):
     kept = simhash.keep_one(odd)
     assert kept.columns == odd.columns
