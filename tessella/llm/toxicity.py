@@ -2,7 +2,7 @@
 
 A character 4-gram model is counted over all texts. Places that look disguised (digits or signs inside words, letters set
 apart, letters drawn out, look-alike letters) become lattices: each character may stand for itself, for the letters it
-resembles, for a gap, or for nothing. Viterbi decoding under the character model restores the text, and a logistic model
+resembles, for a gap, or for nothing. Viterbi decoding over all states under the character model restores the text, and a logistic model
 over the presence of telling words and word beginnings scores it.
 
 Labels are learnt from a bounded sample of the labelled rows (``fit_rows``, expected size, chosen by hash); the character
@@ -10,7 +10,7 @@ model covers every text. Its table is bounded by the alphabet (28**4 cells), the
 
 Defined cases: a null text is empty and gets the score of a text without telling words; a row labelled twice is toxic if
 either says so, null labels are ignored; equal texts of one label count once in the fit; with no usable labels the score is
-0; other columns are carried along and never read.
+0; other columns are carried along and never read (``score`` replaces one of its own name).
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, materialise, slabs
+from .common import attach, give_back, materialise, slabs
 
 SYMBOLS = 28  # 0 gap, 1-26 letters without accents, 27 any other letter
 FIT_ROWS = 20_000
@@ -38,7 +38,6 @@ SURE = 0.85
 #: Lengths of word beginnings that may tell, besides whole words.
 STEMS = (3, 5, 7)
 THRESHOLD = 0.7
-_BEAM = 24
 _ORDER_WEIGHT = 4.0
 
 #: Letters that a sign may stand for.
@@ -90,6 +89,8 @@ def character_model(df: DataFrame, text_col: str = "text") -> np.ndarray:
         for batch in batches:
             for slab in slabs(batch.column(0)):
                 total += grams(slab)
+            del batch, slab
+            give_back(None)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["gram", "n"])
 
@@ -122,25 +123,30 @@ class Restorer:
         return [(0, " ", 0.0), (-1, "", _DROP_GAP)]
 
     def _decode(self, span: str) -> str:
-        """The likeliest reading of a span, between gaps."""
-        model, beam, before = self.model, {0: (0.0, "")}, ""
+        """The likeliest reading of a span, between gaps: Viterbi over all states (the last three symbols).
+
+        A state keeps its best path as a chain of letters, which states share, so memory follows the span's length."""
+        model, live, before = self.model, {0: (0.0, None)}, ""
         wrap = SYMBOLS**3
         run = [len(m[0]) for m in _run.finditer(span) for _ in m[0]]
         for c, n in [*zip(span, run, strict=True), ("\0", 1)]:
             options = [(0, "", 0.0)] if c == "\0" else self._options(c, before, n > 2)
-            after: dict[int, tuple[float, str]] = {}
-            for state, (score, out) in beam.items():
+            after: dict[int, tuple[float, tuple | None]] = {}
+            for state, (score, path) in live.items():
                 for symbol, letter, cost in options:
                     if symbol < 0:
-                        to, s, o = state, score + cost, out
+                        to, s = state, score + cost
                     else:
                         i = state * SYMBOLS + symbol
-                        to, s, o = i % wrap, score + cost + model[i], out + letter
+                        to, s = i % wrap, score + cost + model[i]
                     if to not in after or after[to][0] < s:
-                        after[to] = (s, o)
-            beam = after if len(after) <= _BEAM else dict(sorted(after.items(), key=lambda x: -x[1][0])[:_BEAM])
-            before = c
-        return max(beam.values())[1]
+                        after[to] = (s, path if not letter else (letter, path))
+            live, before = after, c
+        path, letters = max(live.values(), key=lambda x: x[0])[1], []
+        while path:
+            letters.append(path[0])
+            path = path[1]
+        return "".join(reversed(letters))
 
     def restore(self, text: str) -> str:
         """Lower-cased text with its disguised places read as the model reads them."""
@@ -245,7 +251,9 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     def restored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         restorer = Restorer(model)
         for batch in batches:
-            yield pa.array([sorted(with_stems(restorer.words(x))) for x in batch.to_pylist()], pa.list_(pa.string()))
+            out = pa.array([sorted(with_stems(restorer.words(x.as_py()))) for x in batch], pa.list_(pa.string()))
+            del batch
+            yield give_back(out)
 
     seen = materialise(sample.select("_y", F.xxhash64("_t").alias("_h"), F.arrow_udf(restored, "array<string>")(F.col("_t")).alias("words")).dropDuplicates(["_y", "_h"]), "fit")
     totals = seen.agg(F.count("*").alias("n"), F.sum("_y").alias("pos")).first()
@@ -272,7 +280,8 @@ def score_column(classifier: Classifier, text_col: str = "text"):
         stems = tuple(sorted({len(w) - 1 for w in telling if w[-1] == "*"}))
         for batch in batches:
             out = [classifier.probability(telling & with_stems(restorer.words(x.as_py() or ""), stems)) for x in batch]
-            yield pa.array(out, pa.float64())
+            del batch
+            yield give_back(pa.array(out, pa.float64()))
 
     return F.arrow_udf(run, "double")(F.col(text_col))
 
@@ -284,7 +293,9 @@ def restore_column(classifier: Classifier, text_col: str = "text"):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         restorer = Restorer(model)
         for batch in batches:
-            yield pa.array([None if x is None else restorer.restore(x) for x in batch.to_pylist()], pa.string())
+            out = pa.array([None if (text := x.as_py()) is None else restorer.restore(text) for x in batch], pa.string())
+            del batch
+            yield give_back(out)
 
     return F.arrow_udf(run, "string")(F.col(text_col))
 
