@@ -17,10 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLAB_BYTES, attach, slabs, utf8
+from .common import SLAB_BYTES, attach, give_back, slabs, utf8
 
+#: Window of the base rule, in words.
+BASE_WORDS = 5
 #: Largest share of word characters inside duplicated n-grams, by n-gram length in words.
-NGRAM_LIMITS = {5: 0.25, 7: 0.22, 10: 0.20}
+#: Three and four words: half-way up the gap between labelled texts that repeat short runs over and over and all others.
+#: Beyond the base rule, longer runs don't tell labelled good from bad texts apart; their limits hold for other word sizes.
+NGRAM_LIMITS = {3: 0.30, 4: 0.30, 5: 0.25, 7: 0.22, 10: 0.20}
 #: Largest share of word-bearing characters inside lines that repeat an earlier line.
 LINE_LIMIT = 0.30
 
@@ -151,21 +155,17 @@ def measure(texts: pa.Array, ngram_limits: dict[int, float], line_limit: float,
     out["n_dup_lines"] = np.array(dup_lines, np.int64)
     total = np.maximum(out["word_chars"], 1)
     out["dup_line_share"] = np.array(dup_line_chars, np.int64) / total
-    starts, covered = repeated(hashes, text, 5)
-    out["n_repeat_words"] = per_text(covered, bounds)
     worst = np.zeros(len(at) - 1)
     bad = out["dup_line_share"] > line_limit
-    among = starts
-    for n in sorted(ngram_limits):
-        if n == 5:
-            mask = covered
-        elif n > 5:
-            among, mask = repeated(hashes, text, n, among)
-        else:
-            mask = repeated(hashes, text, n)[1]
-        share = per_text(np.where(mask, chars, 0), bounds) / total
-        worst = np.maximum(worst, share)
-        bad |= share > ngram_limits[n]
+    among = None
+    for n in sorted({BASE_WORDS, *ngram_limits}):
+        among, covered = repeated(hashes, text, n, among)  # a duplicated window begins with a duplicated shorter one
+        if n == BASE_WORDS:
+            out["n_repeat_words"] = per_text(covered, bounds)
+        if n in ngram_limits:
+            share = per_text(np.where(covered, chars, 0), bounds) / total
+            worst = np.maximum(worst, share)
+            bad |= share > ngram_limits[n]
     out["ngram_share"] = worst
     out["base_failed"] = (out["n_words"] < min_words) | (100 * out["n_repeat_words"] > max_repeat_percent * out["n_words"])
     out["kept"] = ~(out["base_failed"] | bad)
@@ -183,7 +183,8 @@ def quality_column(text_col: str = "text", ngram_limits: dict[int, float] = NGRA
     def rules(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             parts = [measure(slab, limits, line_limit, min_words, max_repeat_percent) for slab in slabs(batch)]
-            yield pa.StructArray.from_arrays([pa.array(np.concatenate([p[k] for p in parts]) if parts else [], kind) for k, kind in _FIELDS.items()], list(_FIELDS))
+            del batch
+            yield give_back(pa.StructArray.from_arrays([pa.array(np.concatenate([p[k] for p in parts]) if parts else [], kind) for k, kind in _FIELDS.items()], list(_FIELDS)))
 
     return F.arrow_udf(rules, SCHEMA)(F.col(text_col))
 

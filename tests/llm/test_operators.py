@@ -80,6 +80,43 @@ def test_quality_counts(spark, docs, texts, odd):
         assert quality_row(r) == expected_quality(r.text)
 
 
+def expected_shares(x, limits):
+    """Largest share of word characters in duplicated n-grams, by n, and the share in repeated lines."""
+    w = words(x)
+    total, shares = max(1, sum(map(len, w))), {}
+    for n in limits:
+        seen = collections.Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
+        inside = {j for i in range(len(w) - n + 1) if seen[tuple(w[i : i + n])] > 1 for j in range(i, i + n)}
+        shares[n] = sum(len(w[j]) for j in inside) / total
+    lines, size = set(), 0
+    for line in (x or "").split("\n"):
+        if words(line):
+            size += sum(map(len, words(line))) if line in lines else 0
+            lines.add(line)
+    return shares, size / total
+
+
+def test_quality_verdicts(spark, texts):
+    """``kept`` and both shares against brute force; each limit rejects something that the base rule keeps."""
+    w = [f"w{i}" for i in range(400)]
+    made = {
+        -1: " ".join(x for k in range(12) for x in [w[k]] * 4),  # runs of four equal words
+        -2: " ".join([*w[:60], "tritritritritritri" * 2, "quad", "long" * 9, *w[60:90], "tritritritritritri" * 2, "quad", "long" * 9, "end"]),
+        -3: "\n".join(f"{w[2 * i]} {w[2 * i + 1]}" + ("" if i % 5 else "\n" + "line-again" * 6) for i in range(30)),
+        -4: " ".join([*w[:300], *[x * 9 for x in w[300:310]], *w[310:330], *[x * 9 for x in w[300:310]]]),
+        -5: " ".join(w),
+    }
+    all_texts = texts | made
+    df = spark.createDataFrame([(i, x) for i, x in all_texts.items()], "doc_id long, text string")
+    got = {r.doc_id: r for r in quality.measure_quality(df).select("doc_id", "quality.*").collect()}
+    for i, x in all_texts.items():
+        shares, lines = expected_shares(x, quality.NGRAM_LIMITS)
+        assert math.isclose(got[i].ngram_share, max(shares.values()), abs_tol=1e-12) and math.isclose(got[i].dup_line_share, lines, abs_tol=1e-12)
+        bad = lines > quality.LINE_LIMIT or any(s > quality.NGRAM_LIMITS[n] for n, s in shares.items())
+        assert got[i].kept == (not got[i].base_failed and not bad)
+    assert [got[i].base_failed for i in made] == [False] * 5 and [got[i].kept for i in made] == [False, False, False, False, True]
+
+
 def test_quality_over_block_edges(monkeypatch):
     monkeypatch.setattr(quality, "SLAB_BYTES", 16)
     x = ["abc " * 9 + "d" * 70 + " abc abc abc abc abc\nq\nq", "", "ü" * 40 + " y"]
@@ -422,6 +459,32 @@ def restorer(spark):
     return toxicity.Restorer(toxicity.character_model(spark.createDataFrame([(text,), (None,)], "text string")))
 
 
+@pytest.mark.parametrize("span", ["1d10t", "i**t", "*1*", "s1ll1", "l-o-s", "1337", "0*0*", "a11", "tr@$h", "ooo0o", "x", "*"])
+def test_viterbi_against_all_readings(restorer, span):
+    """The decoded span is the best of all ways to read each character."""
+    import itertools
+
+    run, before, lattice = [len(m[0]) for m in re.finditer(r"(.)\1*", span) for _ in m[0]], "", []
+    for c, n in zip(span, run, strict=True):
+        lattice.append(restorer._options(c, before, n > 2))
+        before = c
+    best = {}
+    for path in itertools.product(*lattice, [(0, "", 0.0)]):
+        state, score = 0, 0.0
+        for symbol, _, cost in path:
+            score += cost
+            if symbol >= 0:
+                score += restorer.model[state * toxicity.SYMBOLS + symbol]
+                state = (state * toxicity.SYMBOLS + symbol) % toxicity.SYMBOLS**3
+        text = "".join(x[1] for x in path)
+        best[text] = max(best.get(text, -1e9), score)
+    assert math.isclose(best[restorer._decode(span)], max(best.values()), abs_tol=1e-4)
+
+
+def test_decoding_long_spans(restorer):
+    assert len(restorer.restore("a1" * 20_000 + " " + "i*" * 3000)) > 10_000
+
+
 @pytest.mark.parametrize("seen,word", [("an 1d10t!", "idiot"), ("such a m0r0n", "moron"), ("i d i o t", "idiot"), ("l-o-s-e-r", "loser"), ("stuuupid", "stupid"), ("tr@sh", "trash"), ("w0rthl3ss", "worthless"), ("clоwn", "clown"), ("p.a.t.h.e.t.i.c", "pathetic"), ("st\u200bupid", "stupid"), ("id*ot", "idiot")])
 def test_restoring(restorer, seen, word):
     assert word in restorer.words(seen)
