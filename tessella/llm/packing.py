@@ -24,6 +24,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .bytebpe import encode
 from .common import attach, give_back, materialise
@@ -99,22 +100,26 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
-    """(id_col, pieces): each row's pieces with their place and the checksum of their ids."""
+    """(id, piece, start, length, ids_crc32): a row for each piece of each text, with the checksum of its ids."""
     attach(df.sparkSession)
-    kind = "array<struct<piece:int,start:long,length:long,ids_crc32:long>>"
-    fields = pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+    kinds = {"piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64()}
 
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = tokenizer(path).ids, np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            out = []
-            for x in batch:
+            whose, rows = [], []
+            for at, x in enumerate(batch.column(1)):
                 ids = encode(x.as_py() or "") + end
-                out.append([{"piece": i, "start": s, "length": n, "ids_crc32": zlib.crc32(memoryview(ids)[4 * s : 4 * (s + n)])} for i, (s, n) in enumerate(cut(len(ids) // 4, capacity))])
+                parts = cut(len(ids) // 4, capacity)
+                whose += [at] * len(parts)
+                rows += [(i, s, n, zlib.crc32(memoryview(ids)[4 * s : 4 * (s + n)])) for i, (s, n) in enumerate(parts)]
+            own = batch.column(0).take(pa.array(whose, pa.int64()))
             del batch
-            yield give_back(pa.array(out, pa.list_(fields)))
+            columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
+            yield give_back(pa.RecordBatch.from_arrays([own, *[pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)]], ["id", *kinds]))
 
-    return df.select(F.col(id_col), F.arrow_udf(run, kind)(F.col(text_col)).alias("pieces"))
+    schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), *[T.StructField(k, T.IntegerType() if k == "piece" else T.LongType()) for k in kinds]])
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def lower_bound(lengths: np.ndarray, capacity: int, counts: np.ndarray | None = None) -> int:
@@ -219,8 +224,7 @@ def pack_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """One row per piece: (id_col, piece, start, length, ids_crc32, sequence_id, offset, bound, gap).
 
     ``bound``: sequences that any packing of these pieces needs; ``gap``: sequences used beyond that (the same in each row)."""
-    rows = pieces(df, path, id_col, text_col, capacity).select(F.col(id_col).alias("id"), F.explode("pieces").alias("p"))
-    cut_up = materialise(rows.select("id", "p.*").withColumn("uid", F.monotonically_increasing_id()), "pieces")
+    cut_up = materialise(pieces(df, path, id_col, text_col, capacity).withColumn("uid", F.monotonically_increasing_id()), "pieces")
     bins, bound, total = assign(cut_up.select("uid", "length"), capacity, group_rows, rounds)
     placed = cut_up.join(bins.select("uid", F.col("bin").alias("sequence_id")), "uid")
     before = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "uid").rowsBetween(Window.unboundedPreceding, -1)
