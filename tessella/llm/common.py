@@ -14,12 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
+#: Texts in an Arrow batch.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Upper bound on the bytes of text that a kernel looks at in one go.
 SLAB_BYTES = 1 << 20
 
 
 def attach(spark: SparkSession) -> None:
-    """Let Python workers import this package when it isn't installed on their path."""
+    """Let Python workers import this package when it isn't installed on their path.
+
+    Rows here hold whole texts, so batches get fewer of them than Spark's 10,000, unless the session says how many."""
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, BATCH_ROWS)
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
     if ROOT not in paths:
