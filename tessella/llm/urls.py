@@ -3,7 +3,7 @@
 Two smoothed variable-order Markov models (orders 0 to 4, each interpolated with the shorter one) are counted over
 accepted and rejected URLs. A URL's score is the difference of its log-likelihoods, divided by its length; the threshold
 is calibrated on seeds kept out of the counts. Only built-in functions are used: characters become 5-grams, each distinct
-5-gram gets its log ratio through joins from order to order, and a URL sums the ratios of its own.
+5-gram gets its log ratio from the counts of its endings, and a URL averages the ratios of its own.
 
 Defined cases: a null URL, or one without ``://``, has empty host and path, fits no rule and scores as the text it is
 (null: empty); repeated rows get equal results (every distinct URL is scored once, and counts as often as it occurs);
@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import join_counted, materialise
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ORDER = 5
@@ -26,6 +26,8 @@ BACKOFF = 4.0
 UNSEEN = 1 / 256
 #: Of every so many seeds one calibrates instead of being counted.
 HOLD_OUT = 4
+#: Characters of URLs that a task takes apart.
+TASK_CHARS = 1 << 23
 
 Rule = tuple[str, str]
 
@@ -56,34 +58,42 @@ def grams(url: Column) -> Column:
 
 
 def gram_ratios(counts: DataFrame) -> DataFrame:
-    """(gram, ratio) for counts (gram, accepted, rejected) of 5-grams: log-likelihood ratio of the last character."""
+    """(gram, n, ratio) for counts (gram, accepted, rejected, n) of 5-grams: log-likelihood ratio of the last character.
+
+    The counts of all shorter grams come from one grouping of the 5-grams' endings, those of the contexts from one more;
+    each 5-gram then meets its five orders, and the interpolation is a fold over them."""
     sides = ("accepted", "rejected")
-    total = counts.agg(*[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in sides]).first()
-    below = None
-    for n in range(1, ORDER + 1):
-        own = F.substring("gram", ORDER - n + 1, n)
-        here = counts.groupBy(own.alias("g")).agg(*[F.sum(s).alias(s) for s in sides])
-        if below is None:
-            below = here.select("g", *[((F.col(s) + F.lit(BACKOFF * UNSEEN)) / F.lit(total[s] + BACKOFF)).alias(f"p_{s}") for s in sides])
-            continue
-        context = counts.groupBy(F.substring("gram", ORDER - n + 1, n - 1).alias("c")).agg(*[F.sum(s).alias(f"of_{s}") for s in sides])
-        met = here.join(context, F.substring("g", 1, n - 1) == F.col("c")).join(below.withColumnRenamed("g", "b"), F.substring("g", 2, n - 1) == F.col("b"))
-        below = met.select("g", *[((F.col(s) + BACKOFF * F.col(f"p_{s}")) / (F.col(f"of_{s}") + BACKOFF)).alias(f"p_{s}") for s in sides])
-    return below.select(F.col("g").alias("gram"), (F.log("p_accepted") - F.log("p_rejected")).alias("ratio"))
+    endings = F.explode(F.array(*[F.substring("gram", ORDER - k + 1, k) for k in range(1, ORDER + 1)]))
+    orders = counts.select(endings.alias("g"), *sides).groupBy("g").agg(*[F.sum(s).alias(s) for s in sides], F.count("*").alias("uses"))
+    orders = materialise(orders, "url-orders")
+    context = F.expr("substring(g, 1, length(g) - 1)")
+    contexts = materialise(orders.groupBy(context.alias("c")).agg(*[F.sum(s).alias(f"of_{s}") for s in sides], F.count("*").alias("follow")), "url-contexts")
+    known = join_counted(orders.withColumn("c", context), contexts, "c", "follow")
+    known = materialise(known.select("g", "uses", F.struct(F.length("g").alias("k"), *sides, *[f"of_{s}" for s in sides]).alias("at")), "url-known")
+    met = join_counted(counts.select("gram", "n", endings.alias("g")), known, "g", "uses").groupBy("gram").agg(F.first("n").alias("n"), F.array_sort(F.collect_list("at")).alias("orders"))
+
+    def log_p(side: str) -> Column:
+        step = lambda below, at: (at[side] + F.lit(BACKOFF) * below) / (at[f"of_{side}"] + F.lit(BACKOFF))
+        return F.log(F.aggregate("orders", F.lit(UNSEEN), step))
+
+    return met.select("gram", "n", (log_p("accepted") - log_p("rejected")).alias("ratio"))
 
 
 def url_scores(seeds: DataFrame, hold_out: int = HOLD_OUT) -> tuple[DataFrame, float]:
     """Scores (url, score) of distinct URLs (url, n, seed) and the calibrated threshold.
 
-    ``seed`` is allow, block or null; every ``hold_out``-th seed by checksum calibrates."""
+    ``seed`` is allow, block or null; every ``hold_out``-th seed by checksum calibrates. URLs are dealt out by the characters
+    that there are before any is taken apart, since their table is small for the work it gives; the most frequent grams
+    meet their ratios by broadcast."""
     held = F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(hold_out)) == 0
     weight = lambda said: F.sum(F.when((F.col("seed") == said) & ~F.col("held"), F.col("n")).otherwise(0))
     each = materialise(seeds.withColumn("held", held), "urls")
-    rows = each.withColumn("gram", F.explode(grams(F.col("url"))))
-    counts = materialise(rows.groupBy("gram").agg(weight("allow").alias("accepted"), weight("block").alias("rejected")), "url-grams")
-    ratios = gram_ratios(counts)
-    summed = rows.join(ratios, "gram").groupBy("url").agg(F.avg("ratio").alias("score"), F.first("seed").alias("seed"), F.first("held").alias("held"), F.first("n").alias("n"))
-    scores = materialise(summed, "url-scores")
+    chars = each.agg(F.coalesce(F.sum(F.length("url")), F.lit(0))).first()[0]
+    rows = each.repartition(max(each.sparkSession.sparkContext.defaultParallelism, chars // TASK_CHARS), "url").withColumn("gram", F.explode(grams(F.col("url"))))
+    counts = materialise(rows.groupBy("gram").agg(weight("allow").alias("accepted"), weight("block").alias("rejected"), F.count("*").alias("n")), "url-grams")
+    ratios = materialise(gram_ratios(counts), "url-ratios")
+    met = join_counted(rows.select("gram", "url", "seed", "held"), ratios, "gram", "n")
+    scores = materialise(met.groupBy("url").agg(F.avg("ratio").alias("score"), F.first("seed").alias("seed"), F.first("held").alias("held")), "url-scores")
     side = {r.seed: r for r in scores.where("held and seed is not null").groupBy("seed").agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("spread")).collect()}
     threshold = 0.0
     if len(side) == 2:
