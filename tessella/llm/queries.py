@@ -35,7 +35,7 @@ def op1_url_model_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     scored = brown.score_documents(docs, train=_crc(F.col("doc_id")) % 10 != 0)
-    return scored.withColumn("held_out", _crc(F.col("doc_id")) % 10 == 0).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+    return scored.withColumn("held_out", F.coalesce(_crc(F.col("doc_id")) % 10 == 0, F.lit(False))).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ def op5_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     classifier = toxicity.fit(docs, _read(spark, sf_dir, "labels"), usable=lambda i: _crc(i) % 3 != 1)
     scored = toxicity.score(docs, classifier)
-    return scored.select("doc_id", (_crc(F.col("doc_id")) % 3 == 1).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(_crc(F.col("doc_id")) % 3 == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

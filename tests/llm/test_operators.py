@@ -527,24 +527,95 @@ def test_brown_base_and_model(spark, texts):
     assert sum(r.score for r in train) > sum(r.base_score for r in train)
 
 
-def test_broadcast_size_changes_nothing(docs):
-    train = F.col("doc_id") % 3 != 0
-    a, b = ({r.doc_id: r for r in brown.score_documents(docs, train, n_words=20, n_suffixes=7, n_classes=5, n_broadcast=k).collect()} for k in (25, 100_000))
-    assert all(math.isclose(a[i].score, b[i].score, rel_tol=1e-9) and a[i].n_known == b[i].n_known for i in b)
+SMALL = {"n_words": 40, "n_suffixes": 9, "n_classes": 7, "n_seed": 12, "min_count": 3}
+
 
+def coded_by_hand(model, xs):
+    n = len(model.own)
+    return [[0, *[model.own.get(w) or brown.suffix_unit(w, n, model.n_suffixes) for w in brown.tokens(x)], 0] for x in xs]
 
-def test_model_is_a_distribution(docs):
-    """Probabilities of all words (and one unknown word of each class) after any class sum to one."""
-    model, counts = brown.fit(docs.select("text"), n_words=30, n_suffixes=9, n_classes=6, n_broadcast=10_000)
-    words_by_class = collections.defaultdict(list)
-    for r in counts.collect():
-        w = bytes(r.word)
-        words_by_class[int(model.group[model.own.get(w) or brown.suffix_unit(w, 30, 9)])].append(r.c)
-    words_by_class[0].append(docs.count())
-    for before in range(len(model.transition)):
-        total = sum(10 ** model.transition[before, k] * (sum(c + 0.1 for c in cs) + 0.1) / 10 ** model.below[k] for k, cs in words_by_class.items())
-        empty = sum(10 ** model.transition[before, k] for k in range(len(model.transition)) if k not in words_by_class)
-        assert abs(total + empty - 1) < 1e-6
+
+def test_class_scores_by_hand(docs, texts):
+    """Transitions, emissions and scores of all texts from the classes found, counted in plain Python."""
+    train = F.col("doc_id") % 3 != 0
+    model, counts = brown.fit(docs.where(train).select("text"), **SMALL)
+    got = {r.doc_id: r for r in brown.score(docs, model, counts).collect()}
+    words_n = collections.Counter(w for i, x in texts.items() if i % 3 for w in brown.tokens(x))
+    assert set(model.own) <= {w for w, c in words_n.items() if c >= 3} and 30 < len(model.own) < 60
+    lines = coded_by_hand(model, [x for i, x in texts.items() if i % 3])
+    k = len(model.transition)
+    pairs, vocabulary = np.zeros((k, k)), collections.defaultdict(set)
+    for line in lines:
+        for u, v in zip(line, line[1:]):
+            pairs[model.group[u], model.group[v]] += 1
+    n, kinds = np.zeros(k), np.maximum((pairs > 0).sum(axis=1), 1)
+    for w, c in words_n.items():
+        g = int(model.group[model.own.get(w) or brown.suffix_unit(w, len(model.own), 9)])
+        n[g] += c
+        vocabulary[g].add(w)
+    n[0] += len(lines)
+    vocabulary[0].add(b" ")
+    assert len({int(g) for g in model.group}) > 4  # the exchange has made use of its classes
+    for i, x in list(texts.items())[:40]:
+        want = 0.0
+        line = coded_by_hand(model, [x])[0]
+        for (u, v), w in zip(zip(line, line[1:]), [*brown.tokens(x), b" "]):
+            a, b = int(model.group[u]), int(model.group[v])
+            share = (pairs[:, b].sum() + 0.5) / (pairs.sum() + 0.5 * k)
+            want += math.log10((pairs[a, b] + kinds[a] * share) / (pairs[a].sum() + kinds[a]))
+            c = len(lines) if w == b" " else words_n[w]
+            want += math.log10((c + 0.1) / (n[b] + 0.1 * (len(vocabulary[b]) + 1)))
+        assert math.isclose(got[i].score, want, rel_tol=1e-9)
+
+
+def test_best_classes_against_whole_tables():
+    """Each unit's move is the one that gives the highest likelihood of the whole table."""
+    rng = np.random.default_rng(2)
+    b, group = rng.integers(0, 9, (14, 14)) * rng.integers(0, 2, (14, 14)), np.array([0, *rng.integers(1, 5, 13)])
+    group[1:5] = range(1, 5)
+    table = lambda g: np.array([[b[np.ix_(g == x, g == y)].sum() for y in range(5)] for x in range(5)])
+    counts = np.zeros((14, 11), int)
+    for u in range(1, 14):
+        for c in range(5):
+            counts[u, c], counts[u, 5 + c] = b[u, group == c].sum(), b[group == c, u].sum()
+        counts[u, 10] = b[u, u]
+    got = brown.best_classes(counts, group, table(group))
+    for u in range(1, 14):
+        scores = {}
+        for c in range(1, 5):
+            g = group.copy()
+            g[u] = c
+            scores[c] = brown.likelihood(table(g))
+        assert scores[int(got[u])] >= max(scores.values()) - 1e-6
+
+
+@pytest.mark.parametrize("partitions,fan,held", [(1, 64, 1 << 20), (5, 2, 300)])
+def test_moves_are_the_same_however_dealt(spark, docs, partitions, fan, held, monkeypatch):
+    monkeypatch.setattr(brown, "FAN", fan)
+    monkeypatch.setattr(brown, "TOKENS", held)
+    monkeypatch.setattr(brown, "_FLUSH", 200)
+    lines = [r.text for r in docs.limit(60).collect()]
+    own = {w: i + 1 for i, (w, _) in enumerate(sorted(collections.Counter(w for x in lines for w in brown.tokens(x)).items(), key=lambda x: (-x[1], x[0]))[:150])}
+    frame = spark.createDataFrame([(x,) for x in lines], "text string").repartition(partitions)
+    coded, n = brown.materialise(brown.unit_texts(frame, own, 5), "units"), 156
+    group = np.array([0, *[1 + i % 6 for i in range(n - 1)]], np.int32)
+    b = np.zeros((n, n), int)
+    for x in lines:
+        line = [0, *[own.get(w) or brown.suffix_unit(w, 150, 5) for w in brown.tokens(x)], 0]
+        np.add.at(b, (line[:-1], line[1:]), 1)
+    one = np.eye(7)[group]
+    pairs = brown.pair_table(coded, np.append(group, 6))
+    assert (pairs == one.T @ b @ one).all()
+    counts = np.hstack([b @ one, b.T @ one, np.diag(b)[:, None]]).astype(int)
+    moves = np.arange(n) % 2 == 1
+    counts[~moves] = 0
+    assert (brown.move(coded, group, moves, pairs) == brown.best_classes(counts, group, pairs)).all()
+
+
+def test_frequent_words_at_the_bound(spark):
+    """One level with more words than the bound still gives words, about as many as asked for."""
+    counts = spark.range(4000).select(F.encode(F.concat(F.lit("w"), F.col("id")), "UTF-8").alias("word"), F.lit(7).cast("long").alias("c"))
+    assert 850 < len(brown.frequent(counts, 1000)) < 1150 and len(brown.frequent(counts, 9000)) == 4000 and brown.frequent(counts, 9000, 8) == {}
 
 
 def test_exchange_finds_alternation():
@@ -558,10 +629,10 @@ def test_exchange_finds_alternation():
 
 
 def test_brown_odd_rows(odd, nothing):
-    got = brown.score_documents(odd, F.coalesce(F.col("doc_id") % 2 == 0, F.lit(True)), n_words=4, n_suffixes=3, n_classes=4).collect()
+    got = brown.score_documents(odd, F.coalesce(F.col("doc_id") % 2 == 0, F.lit(True)), n_words=4, n_suffixes=3, n_classes=4, n_seed=2, min_count=1).collect()
     assert len(got) == odd.count() and all(math.isfinite(r.score) for r in got)
-    assert brown.score_documents(nothing, F.lit(True), n_words=4, n_suffixes=3).count() == 0
-    unseen = brown.score_documents(odd, F.lit(False), n_words=4, n_suffixes=3).collect()
+    assert brown.score_documents(nothing, F.lit(True), n_words=4, n_suffixes=3, n_seed=2).count() == 0
+    unseen = brown.score_documents(odd, F.lit(False), n_words=4, n_suffixes=3, n_seed=2).collect()
     assert len(unseen) == odd.count() and all(r.train_tokens == 0 and r.n_known == 0 for r in unseen)
 
 
