@@ -27,7 +27,7 @@ FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 4 THEN 'test' ELSE 'train' END AS d
 SELECT p_partkey AS image_id, 16 + p_size % 17 AS width, 16 + cast(p_partkey % 13 AS int) AS height,
        cast(p_partkey % 11 AS int) + 3 AS cx, cast(p_partkey % 7 AS int) + 4 AS cy,
        CASE WHEN p_size % 10 = 0 THEN -1 ELSE p_size % 6 END AS r
-FROM part WHERE p_partkey % 10 = 0""",
+FROM part""",
     "mask_pixels": """
 SELECT image_id, width, height, cast(y AS int) AS y, cast(x AS int) AS x,
        CASE WHEN r >= 0 AND (x-cx)*(x-cx) + (y-cy)*(y-cy) <= r*r THEN 0 ELSE 255 END AS v

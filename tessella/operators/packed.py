@@ -4,7 +4,9 @@ A tile is at most TILE pixels a side, so a row's size is bounded whatever the ph
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import attach
+from .resample import KERNELS
+from .tiling import with_steps
 
 TILE = 512
 _TILE_SQL = "image_id long, y0 int, x0 int, height int, width int, data binary"
@@ -62,6 +66,22 @@ def cut_tiles(frames: DataFrame, tile: int = TILE) -> DataFrame:
     return map_tiles(frames.withColumns({"y0": F.lit(0), "x0": F.lit(0)}), kernel)
 
 
+def pack(pixels: DataFrame, value: str = "v", tile: int = TILE) -> DataFrame:
+    """Long one-channel pixels to tiles of the fixed grid. A group is one tile's pixels, whatever the photograph's size."""
+    attach(pixels.sparkSession)
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        y, x = table["y"].to_numpy(), table["x"].to_numpy()
+        y0, x0 = int(key[1].as_py()) * tile, int(key[2].as_py()) * tile
+        cell = np.zeros((int(y.max()) - y0 + 1, int(x.max()) - x0 + 1), np.uint8)
+        cell[y - y0, x - x0] = table["v"].to_numpy()
+        return pa.Table.from_batches([_batch([(key[0].as_py(), y0, x0, cell)])])
+
+    rows = pixels.select(F.col("image_id").cast("long").alias("image_id"), "y", "x", F.col(value).cast("int").alias("v"))
+    cells = [F.floor(F.col(k) / tile).cast("int").alias(f"g{k}") for k in ("y", "x")]
+    return rows.groupBy("image_id", *cells).applyInArrow(run, _TILE_SQL)
+
+
 def mask_bbox(tiles: DataFrame, convention: str) -> DataFrame:
     """(image_id, x0, y0, x1, y1): each tile gives its own box, the frame's is their hull."""
     if convention not in ("dark", "bright"):
@@ -84,6 +104,87 @@ def mask_bbox(tiles: DataFrame, convention: str) -> DataFrame:
     return parts.groupBy("image_id").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"))
 
 
+def crop(tiles: DataFrame, boxes: DataFrame) -> DataFrame:
+    """The parts of tiles inside their frame's box (x0, y0, x1, y1), counted from its corner."""
+    attach(tiles.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [batch.column(k).to_pylist() for k in ("b_y0", "b_x0", "b_y1", "b_x1")]
+            out = []
+            for (i, y, x, a), y0, x0, y1, x1 in zip(_rows(batch), *n, strict=True):
+                t, l_ = max(y, y0), max(x, x0)
+                part = a[t - y : max(0, y1 - y), l_ - x : max(0, x1 - x)]
+                if part.size:
+                    out.append((i, t - y0, l_ - x0, part))
+            yield _batch(out)
+
+    met = tiles.select(*[n for n, _ in _FIELDS]).join(boxes.select("image_id", *[F.col(k).alias(f"b_{k}") for k in ("y0", "x0", "y1", "x1")]), "image_id")
+    return met.mapInArrow(run, _TILE_SQL)
+
+
+def score(tiles: DataFrame, make_predict: Callable[[], Callable[[np.ndarray], np.ndarray]]) -> DataFrame:
+    """Each tile's mask by a model of planes, which a task makes once."""
+    made: list[Callable[[np.ndarray], np.ndarray]] = []
+
+    def kernel(row: Row) -> Iterator[Row]:
+        if not made:
+            made.append(make_predict())
+        i, y, x, a = row
+        yield i, y, x, made[0](a)
+
+    return map_tiles(tiles, kernel)
+
+
+def whole(tiles: DataFrame) -> DataFrame:
+    """(image_id, height, width, channels, data): one row a frame, for sinks whose files are frames."""
+    attach(tiles.sparkSession)
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [row for batch in batches for row in _rows(batch)]
+        a = np.zeros((max(y + p.shape[0] for _, y, _, p in parts), max(x + p.shape[1] for _, _, x, p in parts)), np.uint8)
+        for _, y, x, p in parts:
+            a[y : y + p.shape[0], x : x + p.shape[1]] = p
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), *[pa.array([n], pa.int32()) for n in (*a.shape, 1)], pa.array([a.tobytes()], pa.binary())], ["image_id", "height", "width", "channels", "data"])
+
+    return tiles.groupBy("image_id").applyInArrow(run, "image_id long, height int, width int, channels int, data binary")
+
+
+def cut_overlapping(tiles: DataFrame, frames: DataFrame, overlap: int) -> DataFrame:
+    """Tiles of the fixed grid to the overlapping tiles of ``tiling.tile_grid``: each is put together from the parts that the
+    fixed tiles send it. A group is one overlapping tile; frames whose step isn't positive have none."""
+    attach(tiles.sparkSession)
+    sized = with_steps(frames.select("image_id", "height", "width"), overlap).where("step_h > 0 and step_w > 0")
+    sized = sized.select("image_id", F.col("height").alias("n_h"), F.col("width").alias("n_w"), "tile_h", "tile_w", "step_h", "step_w")
+    first = lambda at, side, step: ((at - side) // step + 1) * step if at >= side else 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [batch.column(k).to_pylist() for k in ("n_h", "n_w", "tile_h", "tile_w", "step_h", "step_w")]
+            for (i, y, x, a), nh, nw, th, tw, sh, sw in zip(_rows(batch), *n, strict=True):
+                made, cells = [], []
+                for top in range(first(y, th, sh), min(y + a.shape[0], nh), sh):
+                    for left in range(first(x, tw, sw), min(x + a.shape[1], nw), sw):
+                        t, l_ = max(top, y), max(left, x)
+                        part = a[t - y : min(top + th, nh) - y, l_ - x : min(left + tw, nw) - x]
+                        if part.size:
+                            made.append((i, t, l_, part))
+                            cells.append((top, left))
+                out = _batch(made)
+                yield pa.RecordBatch.from_arrays([*out.columns, *[pa.array([c[k] for c in cells], pa.int32()) for k in (0, 1)]], [*out.schema.names, "gy", "gx"])
+
+    def join(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        i, top, left = (k.as_py() for k in key)
+        parts = [row for batch in batches for row in _rows(batch)]
+        cell = np.zeros((max(y + a.shape[0] for _, y, _, a in parts) - top, max(x + a.shape[1] for _, _, x, a in parts) - left), np.uint8)
+        for _, y, x, a in parts:
+            cell[y - top : y - top + a.shape[0], x - left : x - left + a.shape[1]] = a
+        yield _batch([(i, top, left, cell)])
+
+    sent = tiles.select(*[n for n, _ in _FIELDS]).join(sized, "image_id").mapInArrow(run, _TILE_SQL + ", gy int, gx int")
+    return sent.groupBy("image_id", "gy", "gx").applyInArrow(join, _TILE_SQL)
+
+
 def threshold(tiles: DataFrame, at: int = 128) -> DataFrame:
     """Bytes to 0/1 masks."""
 
@@ -175,3 +276,158 @@ def to_pixels(tiles: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(a.size, i, np.int64)), pa.array((ys + np.int32(y)).ravel()), pa.array((xs + np.int32(x)).ravel()), pa.array(a.ravel().astype(np.int32))], ["image_id", "y", "x", "v"])
 
     return tiles.select(*[n for n, _ in _FIELDS]).mapInArrow(run, "image_id long, y int, x int, v int")
+
+
+@lru_cache(maxsize=4096)
+def line_weights(n_src: int, n_dst: int, kind: str, begin: int, end: int) -> tuple[int, np.ndarray]:
+    """(first output, weights by output and source) of the outputs that sources from ``begin`` to ``end`` feed.
+
+    The same weights as ``resample.weights``: half-pixel centres, sums of 1 over all sources of an output."""
+    reach, widens = KERNELS[kind]
+    scale = n_src / n_dst
+    wide = max(scale, 1.0) if widens else 1.0
+    first = max(0, math.floor((begin - reach * wide) / scale - 0.5) - 1)
+    last = min(n_dst, math.ceil((end + reach * wide) / scale - 0.5) + 2)
+    centre = (np.arange(first, last) + 0.5) * scale
+    at = np.floor(centre - 0.5 - reach * wide).astype(np.int64)[:, None] + np.arange(2 * math.ceil(reach * wide) + 3)
+    t = (at + 0.5 - centre[:, None]) / wide
+    if kind == "lanczos":
+        k = np.where(np.abs(t) < 1e-12, 1.0, np.where(np.abs(t) >= 3, 0.0, np.sinc(t) * np.sinc(t / 3)))
+    else:
+        k = np.maximum(1 - np.abs(t), 0)
+    if widens:
+        k[(at < 0) | (at >= n_src)] = 0
+    at = np.clip(at, 0, n_src - 1)
+    k /= k.sum(axis=1, keepdims=True)
+    out = np.zeros((last - first, end - begin))
+    here = (at >= begin) & (at < end)
+    np.add.at(out, (np.nonzero(here)[0], at[here] - begin), k[here])
+    fed = np.flatnonzero(out.any(axis=1))
+    if not len(fed):
+        return first, out[:0]
+    return first + int(fed[0]), out[fed[0] : fed[-1] + 1]
+
+
+_SHARE_SQL = "image_id long, gy int, gx int, y int, x int, h int, w int, data binary"
+
+
+def _shares(tiles: DataFrame, sizes: DataFrame, kind: str, tile: int) -> DataFrame:
+    """What each tile adds to the outputs (doubles), cut at the output's grid."""
+    attach(tiles.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [batch.column(k).to_pylist() for k in ("n_h", "n_w", "out_h", "out_w")]
+            for (i, y, x, a), h, w, oh, ow in zip(_rows(batch), *n, strict=True):
+                top, down = line_weights(h, oh, kind, y, y + a.shape[0])
+                left, across = line_weights(w, ow, kind, x, x + a.shape[1])
+                part = down @ a.astype(float) @ across.T
+                cells = []
+                for gy in range(top // tile, -(-(top + part.shape[0]) // tile)):
+                    for gx in range(left // tile, -(-(left + part.shape[1]) // tile)):
+                        t, l_ = max(top, gy * tile), max(left, gx * tile)
+                        cut = np.ascontiguousarray(part[t - top : (gy + 1) * tile - top, l_ - left : (gx + 1) * tile - left])
+                        cells.append((i, gy, gx, t, l_, *cut.shape, cut.tobytes()))
+                columns = zip(*cells, strict=True) if cells else [[]] * 8
+                kinds = [pa.int64(), *[pa.int32()] * 6, pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["image_id", "gy", "gx", "y", "x", "h", "w", "data"])
+
+    sized = sizes.where("height > 0 and width > 0 and out_h > 0 and out_w > 0").select("image_id", F.col("height").alias("n_h"), F.col("width").alias("n_w"), "out_h", "out_w")
+    return tiles.select(*[n for n, _ in _FIELDS]).join(sized, "image_id").mapInArrow(run, _SHARE_SQL)
+
+
+def _summed(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch], tile: int) -> np.ndarray:
+    gy, gx = key[1].as_py(), key[2].as_py()
+    total, h, w = np.zeros((tile, tile)), 0, 0
+    for batch in batches:
+        for r in batch.to_pylist():
+            y, x = r["y"] - gy * tile, r["x"] - gx * tile
+            total[y : y + r["h"], x : x + r["w"]] += np.frombuffer(r["data"], np.float64).reshape(r["h"], r["w"])
+            h, w = max(h, y + r["h"]), max(w, x + r["w"])
+    return total[:h, :w]
+
+
+def resample(tiles: DataFrame, sizes: DataFrame, kind: str, tile: int = TILE) -> DataFrame:
+    """(image_id, y, x, v as double) of frames (image_id, height, width, out_h, out_w): for soft targets and small outputs."""
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a = _summed(key, batches, tile)
+        ys, xs = np.indices(a.shape, np.int32)
+        y0, x0 = np.int32(key[1].as_py() * tile), np.int32(key[2].as_py() * tile)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(a.size, key[0].as_py(), np.int64)), pa.array((ys + y0).ravel()), pa.array((xs + x0).ravel()), pa.array(a.ravel())], ["image_id", "y", "x", "v"])
+
+    return _shares(tiles, sizes, kind, tile).groupBy("image_id", "gy", "gx").applyInArrow(run, "image_id long, y int, x int, v double")
+
+
+def resize(tiles: DataFrame, sizes: DataFrame, kind: str, tile: int = TILE) -> DataFrame:
+    """Tiles of the resized frames, in bytes. Each tile adds its share to the outputs that it feeds, weighted in numpy by its
+    place; shares are summed by output tile and rounded once. Only small outputs and tile edges are shuffled on shrinking."""
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a = np.clip(np.floor(np.round(_summed(key, batches, tile), 6) + 0.5), 0, 255).astype(np.uint8)
+        yield _batch([(key[0].as_py(), key[1].as_py() * tile, key[2].as_py() * tile, a)])
+
+    return _shares(tiles, sizes, kind, tile).groupBy("image_id", "gy", "gx").applyInArrow(run, _TILE_SQL)
+
+
+def overlay_green(green: DataFrame, mask: DataFrame, strength: int = 191) -> DataFrame:
+    """Green planes raised by ``strength`` (and capped) where the mask's tile at the same place isn't 0. Other planes stay."""
+    attach(green.sparkSession)
+
+    def run(planes: pa.Array, masks: pa.Array) -> pa.Array:
+        out = []
+        for g, m in zip(planes, masks, strict=True):
+            g = np.frombuffer(g.as_buffer(), np.uint8)
+            hit = np.frombuffer(m.as_buffer(), np.uint8) != 0 if m.is_valid else np.zeros(len(g), bool)
+            out.append(np.where(hit, np.minimum(g.astype(np.int32) + strength, 255), g).astype(np.uint8).tobytes())
+        return pa.array(out, pa.binary())
+
+    place = ["image_id", "y0", "x0", "height", "width"]
+    met = green.join(mask.select(*place, F.col("data").alias("_m")), place, "left")
+    return met.select(*place, F.arrow_udf(run, "binary")(F.col("data"), F.col("_m")).alias("data"))
+
+
+def paste(tiles: DataFrame, boxes: DataFrame, frames: DataFrame, tile: int = TILE, empty: int = 0) -> DataFrame:
+    """A crop's tiles at their box (x0, y0) in a frame (width, height) that is ``empty`` elsewhere; also pads to a canvas.
+
+    The frame's empty tiles come from its size, and meet the moved parts on the fixed grid."""
+    moved = tiles.join(boxes.select("image_id", F.col("y0").alias("_y"), F.col("x0").alias("_x")), "image_id")
+    moved = moved.select("image_id", (F.col("y0") + F.col("_y")).alias("y0"), (F.col("x0") + F.col("_x")).alias("x0"), "height", "width", "data").withColumn("over", F.lit(1))
+    grid = frames.where("height > 0 and width > 0").select("image_id", F.col("height").alias("_h"), F.col("width").alias("_w"))
+    for k, side in (("y0", "_h"), ("x0", "_w")):
+        grid = grid.withColumn(k, F.explode(F.sequence(F.lit(0), F.col(side) - 1, F.lit(tile))))
+    grid = grid.select("image_id", "y0", "x0", F.least(F.lit(tile), F.col("_h") - F.col("y0")).alias("height"), F.least(F.lit(tile), F.col("_w") - F.col("x0")).alias("width"), F.lit(None).cast("binary").alias("data"), F.lit(0).alias("over"))
+    attach(tiles.sparkSession)
+    fields = [*_FIELDS, ("over", pa.int32())]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for r in batch.to_pylist():
+                if not r["over"]:
+                    made.append((*[r[k] for k, _ in fields], r["y0"] // tile, r["x0"] // tile))
+                    continue
+                a, y, x = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"]), r["y0"], r["x0"]
+                for top in range(y // tile * tile, y + a.shape[0], tile):
+                    for left in range(x // tile * tile, x + a.shape[1], tile):
+                        t, l_ = max(top, y), max(left, x)
+                        part = np.ascontiguousarray(a[t - y : top + tile - y, l_ - x : left + tile - x])
+                        made.append((r["image_id"], t, l_, *part.shape, part.tobytes(), 1, top // tile, left // tile))
+            columns = zip(*made, strict=True) if made else [[]] * (len(fields) + 2)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [*[k for _, k in fields], pa.int32(), pa.int32()], strict=True)], [*[n for n, _ in fields], "gy", "gx"])
+
+    def merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        rows = table.sort_by("over").to_pylist()
+        base = rows[0]
+        if base["over"]:  # outside the frame
+            return pa.Table.from_batches([_batch([])])
+        cell = np.full((base["height"], base["width"]), empty, np.uint8)
+        for r in rows[1:]:
+            y, x = r["y0"] - base["y0"], r["x0"] - base["x0"]
+            a = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"])
+            view = cell[y : y + r["height"], x : x + r["width"]]
+            view[:] = a[: view.shape[0], : view.shape[1]]
+        return pa.Table.from_batches([_batch([(base["image_id"], base["y0"], base["x0"], cell)])])
+
+    both = moved.unionByName(grid).mapInArrow(cut, _TILE_SQL + ", over int, gy int, gx int")
+    return both.groupBy("image_id", "gy", "gx").applyInArrow(merge, _TILE_SQL)

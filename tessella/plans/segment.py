@@ -4,32 +4,82 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import scalar as S
 from ..operators import boxes as B
+from ..operators import packed as P
 from ..operators import tiling as T
 from ..operators.rasterops import fit_to_target
+from ..session import materialise
+from ..sources import images, sinks
+
+
+def _boxed(frames: DataFrame, detections: DataFrame, limit: int, overlap: int, tie_break: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(box of each frame to segment, size and route of its crop, frames left out with the reason), from metadata alone.
+
+    A frame is left out if it has no detection, if its box is empty once cut to the frame, or if its tiles' step isn't positive."""
+    attached = B.no_detection_filter(B.attach_detection(frames, detections, tie_break))
+    cut = B.clamp_box(B.trunc_box(attached.where("reason = ''")), F.col("width"), F.col("height"))
+    cut = cut.select("image_id", F.col("x_min").alias("x0"), F.col("y_min").alias("y0"), F.col("x_max").alias("x1"), F.col("y_max").alias("y1"))
+    some = (F.col("x1") > F.col("x0")) & (F.col("y1") > F.col("y0"))
+    sizes = T.route_by_size(cut.where(some).select("image_id", (F.col("x1") - F.col("x0")).alias("width"), (F.col("y1") - F.col("y0")).alias("height")), limit)
+    bad = T.bad_tile_steps(sizes.where("route = 'tiled'"), overlap).select("image_id", "reason")
+    left_out = attached.where("reason <> ''").select("image_id", "reason").unionByName(cut.where(~some).select("image_id", F.lit("empty_box").alias("reason"))).unionByName(bad)
+    sizes = sizes.join(bad.select("image_id"), "image_id", "left_anti")
+    return cut.where(some).join(sizes.select("image_id"), "image_id"), sizes, left_out
 
 
 def segment_pipeline(pixels: DataFrame, frames: DataFrame, detections: DataFrame, score: Callable[[DataFrame], DataFrame], limit: int, overlap: int, tie_break: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """(full-frame masks (image_id, y, x, v) of frames with a box, frames left out with the reason).
+    """(full-frame masks (image_id, y, x, v), frames left out with the reason); every frame is in just one of them.
 
     Best box per frame, crop, route by size, score directly or tile by tile, merge by maximum, paste into the frame.
     ``score`` adds ``pred`` (0/1) to pixels (image_id, y, x, v). One lazy plan, nothing collected."""
-    attached = B.no_detection_filter(B.attach_detection(frames, detections, tie_break))
-    found = B.clamp_box(B.trunc_box(attached.where("reason = ''")), F.col("width"), F.col("height"))
-    box = found.select("image_id", F.col("x_min").alias("x0"), F.col("y_min").alias("y0"), F.col("x_max").alias("x1"), F.col("y_max").alias("y1")).where("x1 > x0 and y1 > y0")
-    sizes = T.route_by_size(box.select("image_id", (F.col("x1") - F.col("x0")).alias("width"), (F.col("y1") - F.col("y0")).alias("height")), limit)
+    box, sizes, left_out = _boxed(frames, detections, limit, overlap, tie_break)
     crops = B.crop_by_box(pixels.select("image_id", "y", "x", "v"), box).join(sizes, "image_id")
     direct = score(crops.where("route = 'direct'").select("image_id", "y", "x", "v")).select("image_id", "y", "x", "pred")
     tiled = T.assign_tiles(crops.where("route = 'tiled'").select("image_id", "width", "height", "y", "x", "v"), overlap)
     merged = T.merge_tiles_max(score(tiled).select("image_id", "y", "x", "pred"))
     masks = T.paste_to_frame(direct.unionByName(merged), box, frames.join(box.select("image_id"), "image_id", "left_semi"), "pred").withColumnRenamed("pred", "v")
-    left_out = attached.where("reason <> ''").select("image_id", "reason").unionByName(T.bad_tile_steps(sizes.where("route = 'tiled'"), overlap).select("image_id", "reason"))
     return masks, left_out
 
 
+def segment_tiles(tiles: DataFrame, frames: DataFrame, detections: DataFrame, make_predict: Callable, limit: int = 4000, overlap: int = 500, tie_break: Sequence[str] = (), tile: int = P.TILE) -> tuple[DataFrame, DataFrame]:
+    """``segment_pipeline`` on packed tiles of the fixed grid: (tiles of full-frame masks, frames left out with the reason).
+
+    The model (``make_predict()``, from a plane of bytes to one of 0/1) gets crops under ``limit`` whole and larger ones in
+    overlapping tiles of half their sides. A row is never larger than a crop under the limit or a half of a larger one."""
+    box, sizes, left_out = _boxed(frames, detections, limit, overlap, tie_break)
+    crops = P.crop(tiles, box)
+    of = lambda route: crops.join(sizes.where(F.col("route") == route).select("image_id"), "image_id", "left_semi")
+    direct = P.merge_max(of("direct"), limit)  # a crop under the limit lies in one cell of so large a grid
+    tiled = P.cut_overlapping(of("tiled"), sizes.where("route = 'tiled'"), overlap)
+    merged = P.merge_max(P.score(direct.unionByName(tiled), make_predict), tile)
+    return P.paste(merged, box, frames.join(box.select("image_id"), "image_id", "left_semi"), tile), left_out
+
+
+def segment_files(spark: SparkSession, folder: str, out: str, detections: DataFrame, make_predict: Callable, limit: int = 4000, overlap: int = 500, pattern: str = "*.png", masks: bool = True, overlays: bool = False, side_by_side: bool = False) -> DataFrame:
+    """The plan from image files to files: (image_id, reason) of the frames left out, undecodable ones with a null id.
+
+    Frames are decoded by Spark's image source; the model gets their gray plane. ``out`` gets ``masks`` (black and white),
+    ``overlays`` (green over the photograph) and ``side_by_side``, as switched on, each file under its photograph's stem."""
+    good, broken = images.split_frames(images.read_frames(spark, folder, pattern))
+    rgb = images.decode_rgb(images.with_image_id(good)).withColumn("name", S.stem(F.col("path")))
+    gray = rgb.select("image_id", "height", "width", images.gray_plane(F.col("data")).alias("data"))
+    found, left_out = segment_tiles(P.cut_tiles(gray), rgb.select("image_id", "width", "height"), detections, make_predict, limit, overlap)
+    mask = materialise(P.whole(found), "masks")
+    named = rgb.select("image_id", "name", "height", "width", "channels", "data")
+    if masks:
+        sinks.sink_mask_png(mask.join(named.select("image_id", "name"), "image_id"), f"{out}/masks")
+    both = named.join(mask.select("image_id", F.col("data").alias("mask")), "image_id")
+    if overlays:
+        sinks.write_png(both.withColumn("data", images.green_over(F.col("data"), F.col("mask"))), f"{out}/overlays")
+    if side_by_side:
+        sinks.write_png(both.withColumn("data", images.beside(F.col("data"), F.col("mask"), F.col("width"))).withColumn("width", F.col("width") * 2), f"{out}/side_by_side")
+    return left_out.unionByName(broken.select(F.lit(None).cast("long").alias("image_id"), "reason"))
+
+
 def prepare_pairs(images: DataFrame, masks: DataFrame, frames: DataFrame, target: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(image pixels by channel, mask pixels, skipped frames): every pair at target by target."""
     box = B.mask_bbox(masks, "dark")

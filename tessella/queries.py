@@ -7,6 +7,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,24 +52,37 @@ _STEM = "regexp_extract(path, '([^/]*)\\.[^./]*$', 1)"
 _RANK = f"CAST(list_position(['jpg', 'png', 'jpeg'], {_EXT}) AS INTEGER)"
 
 
+def _files(paths) -> str:
+    """A folder of shared storage with a file at every path."""
+    root = session.shared_path(paths.sparkSession, "files")
+    sinks.write_files(paths.select(F.col("path").alias("name"), F.col("path").cast("binary").alias("data")), root)
+    return root
+
+
+def _short(found, *others: str):
+    """Listed files with their path below the written folder."""
+    return found.select(*others, F.regexp_extract("path", "/(data/[^/]+/[^/]+)$", 1).alias("path"))
+
+
 @_query(f"SELECT path FROM paths WHERE role = 'image' AND {_EXT} = 'jpg'", "paths")
 def scan_recursive(paths):
-    return L.by_extension(paths.where("role = 'image'"), ["jpg"]).select("path").orderBy("path")
+    return _short(images.scan_recursive(paths.sparkSession, f"{_files(paths)}/data", "*.jpg")).orderBy("path")
 
 
 @_query(f"SELECT {_RANK} AS ext_rank, path FROM paths WHERE role = 'image' AND split = 'train' AND {_EXT} IN ('jpg', 'png', 'jpeg')", "paths")
 def scan_multi_ext(paths):
-    return L.extension_major(paths.where("role = 'image' and split = 'train'")).select("ext_rank", "path")
+    found = images.scan_multi_ext(paths.sparkSession, f"{_files(paths.where("split = 'train'"))}/data/train")
+    return _short(found, "ext_rank").orderBy("ext_rank", "path")
 
 
 @_query("SELECT path FROM paths WHERE role = 'mask' AND split = 'train' AND path LIKE '%.png'", "paths")
 def scan_masks(paths):
-    return L.by_extension(paths.where("role = 'mask' and split = 'train'"), ["png"]).select("path").orderBy("path")
+    return _short(images.scan_masks(paths.sparkSession, f"{_files(paths)}/data/train_masks")).orderBy("path")
 
 
 @_query("SELECT split, role, path FROM paths WHERE split = 'train'", "paths")
 def scan_split_dirs(paths):
-    return paths.where("split = 'train'").select("split", "role", "path").orderBy("role", "path")
+    return _short(images.scan_split_dirs(paths.sparkSession, f"{_files(paths)}/data"), "split", "role").orderBy("role", "path")
 
 
 _RUN_DATE = "CASE WHEN regexp_full_match(split_part(folder, '_', 2), '[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}') THEN TRY_CAST(split_part(folder, '_', 2) AS DATE) END"
@@ -76,7 +90,9 @@ _RUN_DATE = "CASE WHEN regexp_full_match(split_part(folder, '_', 2), '[0-9]{4}-[
 
 @_query(f"SELECT folder, CAST({_RUN_DATE} AS VARCHAR) AS run_date FROM runs WHERE {_RUN_DATE} IS NOT NULL", "runs")
 def scan_runs(runs):
-    return L.scan_runs(runs).select("folder", F.col("run_date").cast("string").alias("run_date"))
+    root = session.shared_path(runs.sparkSession, "run-folders")
+    sinks.write_files(runs.select(F.concat("folder", F.lit("/project/weights/best")).alias("name"), F.lit(b"w").alias("data")), root)
+    return L.scan_runs(images.scan_folders(runs.sparkSession, root)).select("folder", F.col("run_date").cast("string").alias("run_date"))
 
 
 @_query(f"SELECT folder FROM runs WHERE {_RUN_DATE} IS NULL", "runs")
@@ -315,6 +331,13 @@ def merge_tiles_max(pixels, plots):
     return T.merge_tiles_max(scored)
 
 
+@_query(f"WITH m AS (SELECT p.image_id, y, x, max(CASE WHEN v <> 255 AND (tile_y0 + tile_x0) % 2 = 0 THEN 1 ELSE 0 END) AS pred FROM mask_pixels p JOIN {_TILES} t ON p.image_id = t.image_id AND y >= tile_y0 AND y < y1 AND x >= tile_x0 AND x < x1 GROUP BY ALL) SELECT * FROM m", "mask_pixels", "plots")
+def merge_tiles_max_packed(pixels, plots):
+    tiles = P.cut_overlapping(P.pack(pixels), plots, 3)
+    scored = P.map_tiles(tiles, lambda row: [(row[0], row[1], row[2], ((row[3] != 255) & ((row[1] + row[2]) % 2 == 0)).astype("uint8"))])
+    return P.to_pixels(P.merge_max(scored, 8)).withColumnRenamed("v", "pred")
+
+
 @_query(f"SELECT image_id, y, x, CASE WHEN b.image_id IS NOT NULL AND x >= x0 AND x < x1 AND y >= y0 AND y < y1 THEN v ELSE 0 END AS v FROM mask_pixels p LEFT JOIN {_BOX} b USING (image_id)".replace("SELECT image_id, y", "SELECT p.image_id, y"), "mask_pixels", "plots")
 def paste_to_frame(pixels, plots):
     box = B.mask_bbox(pixels, "dark")
@@ -323,9 +346,8 @@ def paste_to_frame(pixels, plots):
 
 @_query("SELECT r.image_id, r.y, r.x, r.c, r.v, CASE WHEN m.v <> 255 THEN 1 ELSE 0 END AS m, least(255, r.v + CASE WHEN m.v <> 255 AND r.c = 1 THEN 191 ELSE 0 END) AS shown FROM rgb_pixels r JOIN mask_pixels m ON r.image_id = m.image_id AND r.y = m.y AND r.x = m.x", "rgb_pixels", "mask_pixels")
 def compose_frame_mask(rgb, masks):
-    m = _m01(masks)
-    shown = R.overlay_green(rgb, m).select("image_id", "y", "x", "c", F.col("v").alias("shown"))
-    return rgb.join(m, ["image_id", "y", "x"]).join(shown, ["image_id", "y", "x", "c"]).select("image_id", "y", "x", "c", "v", "m", "shown")
+    met = rgb.join(_m01(masks), ["image_id", "y", "x"])
+    return met.select("image_id", "y", "x", "c", "v", "m", R.greener(F.col("v"), F.col("c"), F.col("m")).alias("shown"))
 
 
 def _m01(masks):
@@ -393,9 +415,7 @@ f AS (SELECT *, coalesce(a, greatest(coalesce(a, 0), coalesce(b, 0))) AS w1, coa
 r AS (SELECT 2 * (w1 * tp + w0 * tn) AS up, w1 * (2 * tp + fp + fn) + w0 * (2 * tn + fp + fn) AS down, {_DICE} AS one FROM f)
 SELECT round(avg(one), 6) AS dice, round(avg(CASE WHEN down > 0 THEN up / down ELSE 0 END), 6) AS dice_2class FROM r""", "raster8")
 def generalized_dice(raster8):
-    rows = _batched(raster8)
-    one, two = M.generalized_dice(rows), M.generalized_dice(rows, classes=2)
-    return one.withColumn("k", F.lit(1)).join(two.select(F.col("dice").alias("dice_2class"), F.lit(1).alias("k")), "k").select(F.round("dice", 6).alias("dice"), F.round("dice_2class", 6).alias("dice_2class"))
+    return M.both_dice(_batched(raster8)).select(F.round("dice", 6).alias("dice"), F.round("dice_2class", 6).alias("dice_2class"))
 
 
 _EPOCH_BATCH = f"CASE WHEN split = 'val' THEN (image_id // 5) // {BATCH} ELSE (image_id - image_id // 5) // {BATCH} END"
@@ -412,10 +432,9 @@ def epoch_report(scores):
     return report.select("epoch", *[F.round(c, 6).alias(c) for c in ("train_loss", "val_loss", "iou", "dice")])
 
 
-@_query("SELECT image_id, y // 2 AS y, x // 2 AS x, 0 AS c, max(v) AS v FROM raster8 WHERE y < 6 AND x < 6 GROUP BY ALL", "raster8")
+@_query("SELECT image_id, y // 2 AS y, x // 2 AS x, 0 AS c, max(v) AS v FROM raster8 GROUP BY ALL", "raster8")
 def max_pool(raster8):
-    # Of the 7x7 corner, so that an odd row and column are dropped.
-    return R.max_pool(raster8.where("y < 7 and x < 7").withColumn("c", F.lit(0)), 7, 7)
+    return R.max_pool(raster8.withColumn("c", F.lit(0)), 8, 8)
 
 
 @_query(f"SELECT image_id, round(conf, 6) AS conf, round(x_min, 6) AS x_min, round(y_max, 6) AS y_max, k1, k2, k3 FROM ({_TOP1}) t", "detections")
@@ -459,22 +478,28 @@ def _frames8(raster8, n: int):
 
 @_query(_resize_sql("lanczos", 5), "raster8")
 def resize_lanczos(raster8):
-    return Z.resize(raster8, _frames8(raster8, 5), "lanczos")
+    return P.to_pixels(P.resize(P.pack(raster8), _frames8(raster8, 5), "lanczos"))
 
 
 @_query(_resize_sql("triangle", 5), "raster8")
 def resize_bilinear_aa(raster8):
-    return Z.resize(raster8, _frames8(raster8, 5), "triangle")
+    return P.to_pixels(P.resize(P.pack(raster8), _frames8(raster8, 5), "triangle"))
 
 
 @_query(_resize_sql("linear", 12), "raster8")
 def resize_bilinear(raster8):
-    return Z.resize(raster8, _frames8(raster8, 12), "linear")
+    return P.to_pixels(P.resize(P.pack(raster8), _frames8(raster8, 12), "linear"))
 
 
 @_query(_resize_sql("linear", 5, as_byte=False), "raster8")
 def resample_join(raster8):
-    return Z.resample_join(raster8, _frames8(raster8, 5), "linear").withColumn("v", F.round("v", 6))
+    return P.resample(P.pack(raster8), _frames8(raster8, 5), "linear").withColumn("v", F.round("v", 6))
+
+
+@_query(_resize_sql("lanczos", 5), "raster8")
+def resize_lanczos_long(raster8):
+    """The long form, the packed one's yardstick."""
+    return Z.resize(raster8, _frames8(raster8, 5), "lanczos")
 
 
 @_query("SELECT image_id, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x, v FROM (SELECT unnest(range(0, 5)) AS y) a, (SELECT unnest(range(0, 5)) AS x) b, (SELECT image_id, y AS sy, x AS sx, v FROM raster8) r WHERE sy = floor((y + 0.5) * 8 / 5) AND sx = floor((x + 0.5) * 8 / 5)", "raster8")
@@ -487,7 +512,7 @@ _TARGET5 = _resize_sql("triangle", 5, "target", as_byte=False)
 
 @_query(f"SELECT image_id, y, x, target AS uncut, CAST(floor(target) AS INTEGER) AS target FROM ({_TARGET5}) t", "raster8")
 def truncate_target(raster8):
-    soft = Z.resample_join(raster8, _frames8(raster8, 5), "triangle", "target").withColumn("uncut", F.round("target", 6))
+    soft = P.resample(P.pack(raster8, "target"), _frames8(raster8, 5), "triangle").withColumn("uncut", F.round("v", 6))
     return soft.select("image_id", "y", "x", "uncut", F.col("uncut").cast("int").alias("target"))
 
 
@@ -538,7 +563,13 @@ _OVER = "(SELECT r.image_id, r.y, r.x, r.c, r.width, r.height, least(255, r.v +
 SELECT o.image_id, o.c, CAST(b.dst AS INTEGER) AS y, CAST(a.dst AS INTEGER) AS x, sum(o.v * a.w * b.w) AS s FROM {_OVER} o
 JOIN {_weights_sql("linear", "width", "width // 10", "plots")} a ON o.width = a.n_src AND o.x = a.src JOIN {_weights_sql("linear", "height", "height // 10", "plots")} b ON o.height = b.n_src AND o.y = b.src GROUP BY ALL) z""", "rgb_pixels", "mask_pixels", "plots")
 def overlay_mask(rgb, masks, plots):
-    return R.overlay_mask(rgb, _m01(masks), plots.select("image_id", "width", "height")).select("image_id", "c", "y", "x", "v")
+    # Each channel is a plane of its own; only the green ones meet the mask, tile by tile.
+    of_plane = lambda c: (F.col("image_id") * 3 + c).alias("image_id")
+    planes = P.pack(rgb.select(of_plane(F.col("c")), "y", "x", "v"))
+    green = P.overlay_green(planes, P.pack(_m01(masks).select(of_plane(F.lit(1)), "y", "x", "m"), "m"))
+    sizes = plots.select(F.explode(F.array(*[(F.col("image_id") * 3 + c) for c in range(3)])).alias("image_id"), "height", "width", F.floor(F.col("height") / 10).cast("int").alias("out_h"), F.floor(F.col("width") / 10).cast("int").alias("out_w"))
+    small = P.to_pixels(P.resize(green, sizes, "linear"))
+    return small.select(F.floor(F.col("image_id") / 3).cast("long").alias("image_id"), (F.col("image_id") % 3).cast("int").alias("c"), "y", "x", "v")
 
 
 @_query("SELECT image_id, y, x, c, v FROM rgb_pixels UNION ALL SELECT image_id, y, x + width, CAST(c AS INTEGER), CASE WHEN v <> 255 THEN 255 ELSE 0 END FROM (SELECT *, unnest(range(0, 3)) AS c FROM mask_pixels) m", "rgb_pixels", "mask_pixels")
@@ -560,6 +591,16 @@ def focal_conv3(raster8):
     return R.focal_conv3(raster8.withColumn("c", F.lit(0)), _KERNEL3, _BIAS2, 8, 8).withColumn("v", F.round("v", 6))
 
 
+_BLUR = [[(dy * 3 + dx + 5) / 64 for dx in (-1, 0, 1)] for dy in (-1, 0, 1)]
+
+
+@_query(f"""SELECT image_id, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x, CAST(least(greatest(floor(round(s, 6) + 0.5), 0), 255) AS INTEGER) AS v FROM (
+SELECT image_id, y - dy AS y, x - dx AS x, sum(v * CAST(w AS DOUBLE)) AS s FROM raster8, {_values([(dy, dx, _BLUR[dy + 1][dx + 1]) for dy in (-1, 0, 1) for dx in (-1, 0, 1)], "dy, dx, w")} GROUP BY ALL) z WHERE y BETWEEN 0 AND 7 AND x BETWEEN 0 AND 7""", "raster8")
+def focal_conv3_packed(raster8):
+    # Tiles of three pixels, so that every frame has edges between tiles.
+    return P.to_pixels(P.focal3(P.pack(raster8, tile=3), np.array(_BLUR), 3))
+
+
 _MIX = [(0, 0, 0.5), (1, 0, 0.25), (2, 0, -0.125), (0, 1, 1.0), (2, 1, -0.5)]
 
 
@@ -602,6 +643,35 @@ def segment_pipeline(plots, masks):
     return segment.segment_pipeline(masks, plots.select("image_id", "width", "height"), _plot_detections(plots), score, limit=12, overlap=1)[0]
 
 
+_SEGMENTED = _ORACLE["segment_pipeline"]
+_FOUND = {"limit": 12, "overlap": 1}
+
+
+def segment_pipeline_packed(spark, sf_dir):
+    """The same plan on packed tiles, each scored whole by a model made once per worker."""
+    plots, masks = fixture(spark, sf_dir, "plots"), fixture(spark, sf_dir, "mask_pixels")
+    out, _ = segment.segment_tiles(P.pack(masks, tile=8), plots.select("image_id", "width", "height"), _plot_detections(plots), _dark_model, tile=8, **_FOUND)
+    return P.to_pixels(out)
+
+
+def segment_files(spark, sf_dir):
+    """From image files to mask files: listing, decoding, segmenting, writing, and reading the masks back."""
+    plots, masks = fixture(spark, sf_dir, "plots"), fixture(spark, sf_dir, "mask_pixels")
+    folder, out = session.shared_path(spark, "photos"), session.shared_path(spark, "segmented")
+    sinks.write_png(sinks.pack_pixels(masks.withColumn("c", F.lit(0))).withColumn("name", F.format_string("img_%08d", "image_id")), folder)
+    segment.segment_files(spark, folder, out, _plot_detections(plots), _dark_model, **_FOUND)
+    shown = images.with_image_id(images.read_frames(spark, f"{out}/masks"))
+    return images.to_pixels(shown, ["image_id"]).select("image_id", "y", "x", (F.col("v") / 255).cast("int").alias("v"))
+
+
+def _dark_model():
+    """A model of planes: 1 where a byte isn't background."""
+    return lambda plane: (plane != 255).astype(np.uint8)
+
+
+for _f in (segment_pipeline_packed, segment_files):
+    _QUERIES[_f.__name__], _ORACLE[_f.__name__] = _f, _SEGMENTED
+
 _FEATURES = ["logit", "v"]
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
@@ -33,6 +34,12 @@ def scan_masks(spark: SparkSession, root: str) -> DataFrame:
     return scan_files(spark, root, "*.png")
 
 
+def scan_folders(spark: SparkSession, root: str) -> DataFrame:
+    """(folder) of the folders right below ``root`` that hold a file at any depth, such as the runs of a model folder."""
+    below = F.regexp_extract("path", "/" + re.escape(root.rstrip("/").rsplit("/", 1)[1]) + "/([^/]+)/", 1)
+    return scan_files(spark, root, recursive=True).select(below.alias("folder")).where("folder <> ''").distinct()
+
+
 def scan_split_dirs(spark: SparkSession, root: str, test: bool = False) -> DataFrame:
     """Files of ``train`` and ``train_masks`` (or of the test folders), with ``split`` and ``role``."""
     split = "test" if test else "train"
@@ -70,6 +77,47 @@ def decode_rgb(frames: DataFrame, data_col: str = "data") -> DataFrame:
     return frames.withColumn(data_col, F.arrow_udf(run, "binary")(F.col(data_col), F.col("channels"))).withColumn("channels", F.lit(3))
 
 
+def _bytes(packed: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), np.uint8) for x in packed]
+
+
+def gray_plane(rgb: Column) -> Column:
+    """Packed RGB to packed gray, by the luma of ``decode_gray``."""
+
+    def run(data: pa.Array) -> pa.Array:
+        weights = np.array([19595, 38470, 7471])
+        return pa.array([((x.reshape(-1, 3) @ weights + 32768) >> 16).astype(np.uint8).tobytes() for x in _bytes(data)], pa.binary())
+
+    return F.arrow_udf(run, "binary")(rgb)
+
+
+def green_over(rgb: Column, mask: Column, strength: int = 191) -> Column:
+    """Packed RGB with green raised (and capped) under a packed 0/1 mask."""
+
+    def run(data: pa.Array, masks: pa.Array) -> pa.Array:
+        out = []
+        for x, m in zip(_bytes(data), _bytes(masks), strict=True):
+            x = x.reshape(-1, 3).astype(np.int32)
+            x[m != 0, 1] = np.minimum(x[m != 0, 1] + strength, 255)
+            out.append(x.astype(np.uint8).tobytes())
+        return pa.array(out, pa.binary())
+
+    return F.arrow_udf(run, "binary")(rgb, mask)
+
+
+def beside(rgb: Column, mask: Column, width: Column) -> Column:
+    """Packed RGB of twice the width: the frame, and its mask in black and white on the right."""
+
+    def run(data: pa.Array, masks: pa.Array, widths: pa.Array) -> pa.Array:
+        out = []
+        for x, m, w in zip(_bytes(data), _bytes(masks), widths.to_pylist(), strict=True):
+            right = np.repeat((m * np.uint8(255)).reshape(-1, w, 1), 3, axis=2)
+            out.append(np.concatenate([x.reshape(-1, w, 3), right], axis=1).tobytes())
+        return pa.array(out, pa.binary())
+
+    return F.arrow_udf(run, "binary")(rgb, mask, width)
+
+
 def to_pixels(frames: DataFrame, keys: Sequence[str] = ("path",)) -> DataFrame:
     """Packed frames to long pixels (keys, y, x, c, v). Meant for small rasters; large ones stay packed."""
     attach(frames.sparkSession)

@@ -29,13 +29,14 @@ def png(data: bytes, height: int, width: int, channels: int) -> bytes:
 
 @dataclass
 class _Written(WriterCommitMessage):
-    names: list[str]
+    n: int
 
 
-class _PngWriter(DataSourceArrowWriter):
-    """Each task writes its files under temporary names; the commit gives them their own, an abort removes them.
+class _FileWriter(DataSourceArrowWriter):
+    """Each task writes a file under a temporary name and gives it its own at once: a name has one content, so a second
+    attempt changes nothing, and the driver hears of counts alone. A failed attempt's temporary file goes with it.
 
-    The folder must be mounted on all executors and the driver, as any shared storage reached by path."""
+    The folder must be mounted on all executors, as any shared storage reached by path."""
 
     def __init__(self, path: str):
         self.path = path.removeprefix("file://")
@@ -43,48 +44,60 @@ class _PngWriter(DataSourceArrowWriter):
     def write(self, batches: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         from pyspark import TaskContext
 
-        attempt = TaskContext.get().taskAttemptId()
-        names = []
-        os.makedirs(self.path, exist_ok=True)
+        attempt, n = TaskContext.get().taskAttemptId(), 0
         for batch in batches:
-            for r in batch.to_pylist():
-                name = f"{r['name']}.png"
-                with open(f"{self.path}/.{name}.{attempt}", "wb") as f:
-                    f.write(png(r["data"], r["height"], r["width"], r["channels"]))
-                names.append(f"{name}.{attempt}")
-        return _Written(names)
+            for name, data in zip(batch.column("name").to_pylist(), batch.column("data"), strict=True):
+                folder, _, last = f"{self.path}/{name}".rpartition("/")
+                os.makedirs(folder, exist_ok=True)
+                draft = f"{folder}/.{last}.{attempt}"
+                try:
+                    with open(draft, "wb") as f:
+                        f.write(data.as_buffer())
+                    os.replace(draft, f"{folder}/{last}")
+                finally:
+                    if os.path.exists(draft):
+                        os.remove(draft)
+                n += 1
+        return _Written(n)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
-        for m in messages:
-            for name in m.names if isinstance(m, _Written) else ():
-                os.replace(f"{self.path}/.{name}", f"{self.path}/{name.rpartition('.')[0]}")
+        """Nothing is left to do: whole files are there already."""
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        for m in messages:
-            for name in m.names if isinstance(m, _Written) else ():
-                if os.path.exists(f"{self.path}/.{name}"):
-                    os.remove(f"{self.path}/.{name}")
+        """Whole files stay; a later run writes the same."""
 
 
-class PngSource(DataSource):
-    """``df.write.format("tessella_png").mode("append").save(folder)`` for rows (name, height, width, channels, data)."""
+class FileSource(DataSource):
+    """``df.write.format("tessella_files").mode("append").save(folder)`` for rows (name, data), a file each."""
 
     @classmethod
     def name(cls) -> str:
-        return "tessella_png"
+        return "tessella_files"
 
     def schema(self) -> str:
-        return "name string, height int, width int, channels int, data binary"
+        return "name string, data binary"
 
-    def writer(self, schema, overwrite: bool) -> _PngWriter:
-        return _PngWriter(self.options["path"])
+    def writer(self, schema, overwrite: bool) -> _FileWriter:
+        return _FileWriter(self.options["path"])
+
+
+def write_files(rows: DataFrame, folder: str) -> None:
+    """Rows (name, data) as files; a name may have folders in it."""
+    attach(rows.sparkSession)
+    rows.sparkSession.dataSource.register(FileSource)
+    rows.select("name", "data").write.format("tessella_files").mode("append").save(folder)
 
 
 def write_png(frames: DataFrame, folder: str) -> None:
     """Frames (name, height, width, channels, data as packed rows) as ``<name>.png``."""
     attach(frames.sparkSession)
-    frames.sparkSession.dataSource.register(PngSource)
-    frames.select("name", "height", "width", "channels", "data").write.format("tessella_png").mode("append").save(folder)
+
+    def run(data: pa.Array, height: pa.Array, width: pa.Array, channels: pa.Array) -> pa.Array:
+        sizes = zip(height.to_pylist(), width.to_pylist(), channels.to_pylist(), strict=True)
+        return pa.array([png(x.as_buffer(), *size) for x, size in zip(data, sizes, strict=True)], pa.binary())
+
+    file = F.arrow_udf(run, "binary")(F.col("data"), F.col("height"), F.col("width"), F.col("channels"))
+    write_files(frames.select(F.concat("name", F.lit(".png")).alias("name"), file.alias("data")), folder)
 
 
 def pack_pixels(pixels: DataFrame, value: str = "v", key: str = "image_id") -> DataFrame:

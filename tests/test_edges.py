@@ -190,6 +190,119 @@ def test_packed_merge_of_overlapping_tiles(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("kind", ["lanczos", "triangle", "linear"])
+def test_packed_resize_equals_long(spark, kind):
+    """Shares of small tiles against the joins of the long form, growing and shrinking."""
+    df, data = packed_frames(spark)
+    sizes = spark.createDataFrame([(1, 13, 9, 5, 4), (2, 4, 4, 9, 7), (3, 8, 17, 8, 6)], "image_id long, height int, width int, out_h int, out_w int")
+    long = P.to_pixels(P.cut_tiles(df, 4))
+    want = rows(Z.resize(long, sizes, kind), "image_id", "y", "x", "v")
+    for tile in (3, 512):
+        assert rows(P.to_pixels(P.resize(P.cut_tiles(df, 4), sizes, kind, tile)), "image_id", "y", "x", "v") == want
+    soft = {(r.image_id, r.y, r.x): r.v for r in Z.resample_join(long, sizes, kind).collect()}
+    got = {(r.image_id, r.y, r.x): r.v for r in P.resample(P.cut_tiles(df, 4), sizes, kind, 3).collect()}
+    assert got.keys() == soft.keys() and all(abs(got[k] - soft[k]) < 1e-9 for k in soft)
+
+
+def test_packed_forms_of_tiles_crops_and_pastes(spark):
+    df, data = packed_frames(spark)
+    frames = spark.createDataFrame([(i, w, h) for i, h, w, _ in data], FRAME)
+    tiles, long = P.cut_tiles(df, 4), P.to_pixels(P.cut_tiles(df, 4))
+    assert rows(P.to_pixels(P.pack(long, tile=5)), "image_id", "y", "x", "v") == rows(long, "image_id", "y", "x", "v")
+    cut = P.cut_overlapping(tiles, frames, 1)
+    want = T.assign_tiles(long.join(frames, "image_id"), 1).select("image_id", "tile_y0", "tile_x0", "y", "x", "v")
+    assert rows(cut.select("image_id", "y0", "x0", "height", "width"), "image_id", "y0", "x0") == sorted(want.select("image_id", "tile_y0", "tile_x0").distinct().collect())
+    assert rows(P.to_pixels(cut), "image_id", "y", "x", "v") == rows(want, "image_id", "y", "x", "v")
+    box = spark.createDataFrame([(1, 2, 3, 8, 12), (3, 0, 0, 17, 2)], "image_id long, x0 int, y0 int, x1 int, y1 int")
+    cropped = P.crop(tiles, box)
+    assert rows(P.to_pixels(cropped), "image_id", "y", "x", "v") == rows(B.crop_by_box(long, box), "image_id", "y", "x", "v")
+    pasted = P.paste(cropped, box, frames, 5)
+    assert rows(P.to_pixels(pasted), "image_id", "y", "x", "v") == rows(T.paste_to_frame(B.crop_by_box(long, box), box, frames), "image_id", "y", "x", "v")
+    masks = P.threshold(tiles)
+    shown = {(r.image_id, r.y, r.x): r.v for r in P.to_pixels(P.overlay_green(tiles, masks)).collect()}
+    assert all(shown[r.image_id, r.y, r.x] == (min(255, r.v + 191) if r.v >= 128 else r.v) for r in long.collect())
+
+
+def test_max_pool_of_odd_sides(spark):
+    px = spark.createDataFrame([(1, y, x, 0, 10 * y + x) for y in range(5) for x in range(3)], "image_id long, y int, x int, c int, v int")
+    assert rows(R.max_pool(px, 5, 3), "y", "x", "v") == [(0, 0, 11), (1, 0, 31)]
+
+
+def test_every_frame_is_segmented_or_left_out(spark):
+    from tessella.plans import segment
+
+    frames = spark.createDataFrame([(i, 10, 10) for i in range(1, 6)], FRAME)
+    d = [(1, 1.0, 1.0, 5.0, 6.0, 0.9), (2, -5.0, 2.0, -1.0, 4.0, 0.9), (3, 0.0, 0.0, 10.0, 3.0, 0.9), (4, 0.0, 0.0, 10.0, 10.0, 0.9)]
+    detections = spark.createDataFrame(d, "image_id long, x_min double, y_min double, x_max double, y_max double, conf double")
+    px = T.frame_grid(frames).select("image_id", "y", "x", ((F.col("y") + F.col("x")) % 3 * 100).cast("int").alias("v"))
+    score = lambda p: p.withColumn("pred", (F.col("v") >= 128).cast("int"))
+    masks, left_out = segment.segment_pipeline(px, frames, detections, score, limit=8, overlap=2)
+    assert rows(left_out, "image_id", "reason") == [(2, "empty_box"), (3, "bad_tile_step"), (5, "no_detection")]
+    assert rows(masks.groupBy("image_id").count(), "image_id", "count") == [(1, 100), (4, 100)]
+    packed, again = segment.segment_tiles(P.pack(px, tile=4), frames, detections, lambda: lambda a: (a >= 128).astype(np.uint8), limit=8, overlap=2, tile=4)
+    assert rows(again, "image_id", "reason") == rows(left_out, "image_id", "reason")
+    assert rows(P.to_pixels(packed), "image_id", "y", "x", "v") == rows(masks, "image_id", "y", "x", "v")
+
+
+def test_segmenting_files(spark, tmp_path):
+    """From files to files with all three outputs; a broken file and one without a detection are reported."""
+    from tessella.plans import segment
+
+    rng = np.random.default_rng(4)
+    photos = {i: rng.integers(0, 256, (12, 9, 3), np.uint8) for i in (1, 2)}
+    df = spark.createDataFrame([(f"img_{i}", 12, 9, 3, bytearray(a.tobytes())) for i, a in photos.items()], "name string, height int, width int, channels int, data binary")
+    sinks.write_png(df, str(tmp_path / "in"))
+    (tmp_path / "in" / "img_3.png").write_bytes(b"\x89PNG broken")
+    detections = spark.createDataFrame([(1, 2.0, 1.0, 8.0, 9.0, 0.7)], "image_id long, x_min double, y_min double, x_max double, y_max double, conf double")
+    model = lambda: lambda a: (a >= 100).astype(np.uint8)
+    left_out = segment.segment_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), detections, model, limit=100, overlap=1, overlays=True, side_by_side=True)
+    assert {(r.image_id, r.reason) for r in left_out.collect()} == {(2, "no_detection"), (None, "undecodable")}
+    p = photos[1].astype(int)
+    mask = ((p @ [19595, 38470, 7471] + 32768) >> 16 >= 100).astype(np.uint8)
+    mask[:1] = mask[9:] = mask[:, :2] = mask[:, 8:] = 0
+    over = p.copy()
+    over[mask == 1, 1] = np.minimum(over[mask == 1, 1] + 191, 255)
+    want = {"masks": np.repeat(mask[:, :, None] * 255, 3, 2), "overlays": over, "side_by_side": np.concatenate([p, np.repeat(mask[:, :, None] * 255, 3, 2)], axis=1)}
+    for name, a in want.items():
+        r = images.decode_rgb(images.with_image_id(images.read_frames(spark, str(tmp_path / "out" / name)))).collect()
+        assert [x.image_id for x in r] == [1] and bytes(r[0].data) == a.astype(np.uint8).tobytes()
+
+
+def test_fit_against_newton_steps(spark):
+    """Coefficients, losses of every epoch, and a saved model, against plain numpy."""
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    from tessella.operators import model as Model
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 2))
+    y = (rng.random(600) < 1 / (1 + np.exp(-(1.5 * x[:, 0] - x[:, 1] + 0.3)))).astype(int)
+    df = spark.createDataFrame([(int(i // 50), int(i // 200), float(a), float(b), int(t)) for i, ((a, b), t) in enumerate(zip(x, y))], "image_id long, batch_id long, a double, b double, target int")
+    design, w = np.hstack([x, np.ones((600, 1))]), np.zeros(3)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-design @ w))
+        w -= np.linalg.solve((design.T * (p * (1 - p))) @ design, design.T @ (p - y))
+    saved = []
+    last, report = Model.train_val_loop(df, df.drop("logit"), ["a", "b"], epochs=12, save=saved.append)
+    got = {r.epoch: r for r in report.collect()}
+    assert sorted(got) == list(range(1, 13)) and saved == [last]
+    assert np.allclose([*last.coefficients, last.intercept], w, atol=1e-3)
+    z = design @ w
+    assert abs(got[12].train_loss - np.mean(np.log1p(np.exp(-np.abs(z))) + np.maximum(z, 0) - z * y)) < 1e-5
+    assert abs(got[12].val_loss - got[12].train_loss) < 1e-5 and got[1].train_loss > got[12].train_loss
+    path = sinks.sink_model(last, "/tmp/tessella-model-" + str(rng.integers(1 << 40)), "2024-01-15")
+    again = LogisticRegressionModel.load(path)
+    assert again.coefficients == last.coefficients and again.intercept == last.intercept
+
+
+def test_run_folders_on_storage(spark, tmp_path):
+    for name in ("runs_2024-01-14", "runs_2024-01-17", "notes"):
+        (tmp_path / "models" / name / "project").mkdir(parents=True)
+        (tmp_path / "models" / name / "project" / "w.pt").write_bytes(b"x")
+    found = images.scan_folders(spark, str(tmp_path / "models"))
+    assert {r.folder for r in found.collect()} == {"runs_2024-01-14", "runs_2024-01-17", "notes"} and L.latest_run(found, "2024-01-15 12:00:00").first().folder == "runs_2024-01-17"
+
+
 def test_png_round_trip_and_broken_files(spark, tmp_path):
     rgb = np.arange(5 * 3 * 3, dtype=np.uint8)
     gray = np.arange(6, dtype=np.uint8)
