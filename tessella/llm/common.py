@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +10,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROOT = str(Path(__file__).resolve().parents[2])
+from .. import session
+from ..session import materialise, shared_path
+
+__all__ = ["attach", "give_back", "join_counted", "materialise", "shared_path", "slabs", "utf8", "with_ids"]
 #: Texts in an Arrow batch.
 BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -27,28 +27,7 @@ def attach(spark: SparkSession) -> None:
     Rows here hold whole texts, so batches get fewer of them than Spark's 10,000, unless the session says how many."""
     if spark.conf.get(_BATCH, None) is None:
         spark.conf.set(_BATCH, BATCH_ROWS)
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
-    if ROOT not in paths:
-        env["PYTHONPATH"] = ":".join([ROOT, *paths])
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new folder name in the storage that driver and executors share.
-
-    The session's ``spark.checkpoint.dir`` decides; a temporary folder stands in only where it is unset (local tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="tessella-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write the rows to shared storage and read them back, so lost executors cost nothing upstream."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    session.attach(spark)
 
 
 def join_counted(rows: DataFrame, table: DataFrame, key: str, n: str, share: int = 10_000) -> DataFrame:
