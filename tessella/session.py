@@ -25,7 +25,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
     Where that is unset, a temporary folder stands in on a local master; a cluster has to name one that it shares."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.partition("[")[0] == "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tessella-")
         spark.conf.set("spark.checkpoint.dir", base)
