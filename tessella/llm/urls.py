@@ -26,6 +26,8 @@ BACKOFF = 4.0
 UNSEEN = 1 / 256
 #: Of every so many seeds one calibrates instead of being counted.
 HOLD_OUT = 4
+#: A key is frequent with more than one in so many rows; there are no more frequent keys than that.
+SHARE = 10_000
 #: Characters of URLs that a task takes apart.
 TASK_CHARS = 1 << 23
 
@@ -68,9 +70,9 @@ def gram_ratios(counts: DataFrame) -> DataFrame:
     orders = materialise(orders, "url-orders")
     context = F.expr("substring(g, 1, length(g) - 1)")
     contexts = materialise(orders.groupBy(context.alias("c")).agg(*[F.sum(s).alias(f"of_{s}") for s in sides], F.count("*").alias("follow")), "url-contexts")
-    known = join_counted(orders.withColumn("c", context), contexts, "c", "follow")
+    known = join_counted(orders.withColumn("c", context), contexts, "c", "follow", SHARE)
     known = materialise(known.select("g", "uses", F.struct(F.length("g").alias("k"), *sides, *[f"of_{s}" for s in sides]).alias("at")), "url-known")
-    met = join_counted(counts.select("gram", "n", endings.alias("g")), known, "g", "uses").groupBy("gram").agg(F.first("n").alias("n"), F.array_sort(F.collect_list("at")).alias("orders"))
+    met = join_counted(counts.select("gram", "n", endings.alias("g")), known, "g", "uses", SHARE).groupBy("gram").agg(F.first("n").alias("n"), F.array_sort(F.collect_list("at")).alias("orders"))
 
     def log_p(side: str) -> Column:
         step = lambda below, at: (at[side] + F.lit(BACKOFF) * below) / (at[f"of_{side}"] + F.lit(BACKOFF))
@@ -92,8 +94,16 @@ def url_scores(seeds: DataFrame, hold_out: int = HOLD_OUT) -> tuple[DataFrame, f
     rows = each.repartition(max(each.sparkSession.sparkContext.defaultParallelism, chars // TASK_CHARS), "url").withColumn("gram", F.explode(grams(F.col("url"))))
     counts = materialise(rows.groupBy("gram").agg(weight("allow").alias("accepted"), weight("block").alias("rejected"), F.count("*").alias("n")), "url-grams")
     ratios = materialise(gram_ratios(counts), "url-ratios")
-    met = join_counted(rows.select("gram", "url", "seed", "held"), ratios, "gram", "n")
-    scores = materialise(met.groupBy("url").agg(F.avg("ratio").alias("score"), F.first("seed").alias("seed"), F.first("held").alias("held")), "url-scores")
+    # The ratios of frequent grams come by broadcast; a URL's
+    # other grams are gathered with its sum, where it is, and only they are shuffled.
+    often = F.col("n") * SHARE > (ratios.agg(F.sum("n")).first()[0] or 0)
+    first = lambda *names: [F.first(k).alias(k) for k in names]
+    near = rows.join(F.broadcast(ratios.where(often).select("gram", "ratio")), "gram", "left").groupBy("url")
+    partial = materialise(near.agg(*first("seed", "held"), F.sum("ratio").alias("sum"), F.count("*").alias("all"), F.collect_list(F.when(F.col("ratio").isNull(), F.col("gram"))).alias("rest")), "url-sums")
+    rest = partial.select("url", F.explode("rest").alias("gram")).join(ratios.where(~often), "gram").groupBy("url").agg(F.sum("ratio").alias("more"))
+    zero = F.lit(0.0)
+    scores = partial.join(rest, "url", "left").select("url", ((F.coalesce("sum", zero) + F.coalesce("more", zero)) / F.col("all")).alias("score"), "seed", "held")
+    scores = materialise(scores, "url-scores")
     side = {r.seed: r for r in scores.where("held and seed is not null").groupBy("seed").agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("spread")).collect()}
     threshold = 0.0
     if len(side) == 2:

@@ -663,10 +663,16 @@ def test_url_rules(spark):
     assert urls.filter_urls(df.limit(0), queries.URL_RULES).count() == 0
 
 
-def test_url_model_against_brute_force(spark):
+@pytest.mark.parametrize("share", [10_000, 30])
+def test_url_model_against_brute_force(spark, share, monkeypatch):
+    """Scores, threshold and verdicts, with all keys broadcast and with most of them shuffled."""
+    import statistics
+
+    monkeypatch.setattr(urls, "SHARE", share)
     pages = [r.url for r in spark.read.parquet(f"{DATA}/pages.parquet").select("url").collect()] + ["q", None]
     df = spark.createDataFrame(list(enumerate(pages)), "page_id long, url string")
-    got = {r.url: r.score for r in urls.filter_urls(df, queries.URL_RULES).join(df, "page_id").collect()}
+    found = urls.filter_urls(df, queries.URL_RULES).join(df, "page_id").collect()
+    got = {r.url: r.score for r in found}
     host, path = urls.host_and_path(F.col("url"))
     said = {r.url: r.seed for r in df.select("url", urls.fitting_rule(host, path, queries.URL_RULES)[1].alias("seed")).collect()}
 
@@ -701,6 +707,12 @@ def test_url_model_against_brute_force(spark):
         gs = grams(u)
         want = sum(math.log(p("allow", g)) - math.log(p("block", g)) for g in gs) / len(gs)
         assert abs(got[u] - want) < 1e-9
+    held = {side: [got[u] for u in {x or "": x for x in pages}.values() if said[u] == side and zlib.crc32((u or "").encode()) % 4 == 0] for side in sides}
+    (a, sa), (b, sb) = ((statistics.fmean(held[k]), statistics.pstdev(held[k])) for k in ("allow", "block"))
+    threshold = (a * sb + b * sa) / (sa + sb)
+    for r in found:
+        assert abs(r.threshold - threshold) < 1e-9 and r.verdict == (said[r.url] or ("allow" if r.score >= r.threshold else "block"))
+    assert {r.verdict for r in found if said[r.url] is None} == {"allow", "block"}
 
 
 # --- licences ---
