@@ -3,8 +3,12 @@
 import base64
 import collections
 import hashlib
+import io
 import math
 import re
+import struct
+import wave
+import zipfile
 import zlib
 
 import duckdb
@@ -374,6 +378,88 @@ def test_media_round_trip(spark, texts):
         assert r.tail_crc32 == zlib.crc32(payload[-64:]) and r.media_bytes > len(payload)
 
 
+def samples_by_other_readers(stored):
+    """(format, payload, width, height) by the standard library and plain header fields."""
+    if stored[:2] == b"PK":
+        return samples_by_other_readers(zipfile.ZipFile(io.BytesIO(stored)).read("media"))
+    if stored[:4] == b"RIFF":
+        with wave.open(io.BytesIO(stored)) as w:
+            assert (w.getnchannels(), w.getsampwidth()) == (1, 1)
+            return "wav", w.readframes(w.getnframes()), w.getnframes(), 1
+    if stored[:4] == b"FORM":
+        n = struct.unpack_from(">I", stored, 22)[0]
+        return "aiff", stored[54 : 54 + n], n, 1
+    if stored[:2] == b"BM":
+        at, width, height = struct.unpack_from("<I", stored, 10)[0], *struct.unpack_from("<ii", stored, 18)
+        return "bmp", stored[at:], width, -height
+    width, height = stored.split(b"\n", 3)[1].split()
+    return "pgm", stored.split(b"\n", 3)[3], int(width), int(height)
+
+
+def test_media_columns_by_other_readers(spark, docs):
+    forms = {r.doc_id: (bytes(r.stored.content), r.stored.declared) for r in media.store_column(docs).collect()}
+    counts = collections.Counter()
+    for r in queries.op7_signature_sniffing(spark, DATA).collect():
+        stored, declared = forms[r.doc_id]
+        form, payload, width, height = samples_by_other_readers(stored)
+        whole = "zip" if stored[:2] == b"PK" else form
+        assert (r.payload_sha256, r.media_bytes, r.media_sha256) == (hashlib.sha256(payload).hexdigest(), len(stored), hashlib.sha256(stored).hexdigest())
+        turns = sum((a >= 128) != (b >= 128) for a, b in zip(payload, payload[1:], strict=False))
+        assert r.feature == f"{form} {width}x{height} min={min(payload)} max={max(payload)} mean={sum(payload) // len(payload)} crossings={turns}"
+        assert (r.declared_type, r.media_type, r.type_corrected) == (declared, whole, whole != declared)
+        assert r.n_carved == (whole == "zip") and (r.carved_from > 0) == (whole == "zip")
+        counts[whole, r.type_corrected] += 1
+    assert {k for k, _ in counts} == {"wav", "aiff", "bmp", "pgm", "zip"} and all(counts[k, True] for k in ("wav", "aiff", "bmp", "pgm", "zip"))
+
+
+def by_java(spark, kind):
+    jvm = spark._jvm
+    out = jvm.java.io.ByteArrayOutputStream()
+    assert jvm.javax.imageio.ImageIO.write(jvm.java.awt.image.BufferedImage(7, 5, 5), kind, out)
+    return bytes(out.toByteArray())
+
+
+def ogg_page(flags, number, body):
+    return b"OggS\0" + struct.pack("<BQIII", flags, 0, 9, number, 0) + bytes([1, len(body)]) + body
+
+
+def test_formats_of_other_writers(spark):
+    sound, archive = io.BytesIO(), io.BytesIO()
+    with wave.open(sound, "wb") as w:
+        w.setparams((2, 2, 44100, 0, "NONE", ""))
+        w.writeframes(bytes(400))
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a.txt", "a" * 1000)
+        z.writestr("b.txt", "b")
+    start = b"%PDF-1.4\n1 0 obj\n<<>>\nendobj\n"
+    made = {
+        "wav": sound.getvalue(),
+        "zip": archive.getvalue(),
+        "ogg": ogg_page(2, 0, b"abc") + ogg_page(0, 1, b"d" * 200) + ogg_page(4, 2, b""),
+        "pdf": start + b"xref\n0 1\ntrailer<<>>\nstartxref\n%d\n%%%%EOF\n" % len(start),
+        "ppm": b"P6\n# made by hand\n3 2\n255\n" + bytes(18),
+        **{"jpeg" if k == "jpg" else k: by_java(spark, k) for k in ("jpg", "gif", "png", "bmp")},
+    }
+    for kind, value in made.items():
+        top = media.whole(value, media.sniff(value))
+        assert top is not None and top.format == kind and not top.plain, kind
+        if kind in ("jpeg", "gif", "png", "bmp"):
+            assert (top.width, top.height) == (7, 5)
+        inside = b"before " + value + b" behind" * 10
+        assert [(x.format, x.begin, x.end) for x in media.sniff(inside)] == [(kind, 7, 7 + len(value))], kind
+        assert media.whole(value[: len(value) // 2], media.sniff(value[: len(value) // 2])) is None, kind
+    assert media._wav(made["wav"], 0).height == 2 and media.sniff(b"P5\n4 0\n255\n") == []
+
+
+def test_media_long_texts_and_clashing_names(spark):
+    long = "déjà " * 600_000
+    df = spark.createDataFrame([(1, long, "mine", "x", 3), (2, None, "mine", "y", 4)], "id int, text string, stored string, digest string, n_carved int")
+    got = {r.id: r for r in media.digest_column(media.store_column(df)).collect()}
+    assert got[1].digest.n_bytes == len(long.encode()) and got[2].digest.payload_bytes == 64 and (got[1].n_carved, got[2].n_carved) == (3, 4)
+    alone = media.sniff_column(spark.createDataFrame([(bytearray(media._as_wav(b"a" * 64)),)], "content binary"))
+    assert media.carve(alone).columns[0] == "format" and media.carve(alone).count() == 1
+
+
 def test_every_form_and_its_damage():
     for make, kind in ((media._as_wav, "wav"), (media._as_aiff, "aiff"), (media._as_bmp, "bmp"), (media._as_pgm, "pgm")):
         payload = bytes(range(256)) + b"RIFF....WAVE BM P5\n" + b"\0" * 45
