@@ -23,11 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import attach, shared_path
+from .common import attach, materialise, shared_path
 
 MIN_BYTES = 100
-#: Rows in one archive file at most; bounds what a reading task holds (each archive is one value).
-FILE_ROWS = 2000
+#: Payload bytes in one archive file at most, unless one page alone is larger; bounds what a reading task holds (each archive is one value).
+FILE_BYTES = 1 << 27
+#: Upper bounds of the payload sizes that are written together.
+SIZE_CLASSES = (1 << 16, 1 << 20, 1 << 24)
+#: A payload with more than one in so many of all pages is matched by broadcast.
+HOT_SHARE = 10_000
 _READ = 1 << 16
 
 
@@ -36,9 +40,16 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     raw = F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"), F.sha2(raw, 256).alias("digest"), F.octet_length(raw).cast("long").alias("n_bytes"))
     large = F.col("n_bytes") >= min_bytes
-    first = rows.where(large & F.col("page_id").isNotNull()).groupBy(F.col("digest").alias("of")).agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("of", "first")
-    met = rows.join(first, (F.col("digest") == F.col("of")) & large, "left")
-    return met.select("page_id", "url", "html", "digest", "n_bytes", F.when(F.col("first") < F.col("page_id"), F.col("first")).alias("refers_to"))
+    counts = rows.where(large & F.col("page_id").isNotNull()).groupBy(F.col("digest").alias("of")).agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+    first = materialise(counts.where("n > 1"), "warc-first")
+    often = F.col("n") * HOT_SHARE > rows.count()
+    hot = first.where(often).select(F.col("of").alias("hot_of"), F.col("first").alias("hot_first"))
+    met = rows.join(F.broadcast(hot), (F.col("digest") == F.col("hot_of")) & large, "left")
+    # Rows that have met their payload, or need not, get a key that nothing has, so that they spread evenly.
+    alone = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
+    met = met.withColumn("key", F.when(large & F.col("hot_of").isNull(), F.col("digest")).otherwise(alone)).join(first.where(~often).select("of", "first"), F.col("key") == F.col("of"), "left")
+    of = F.coalesce("hot_first", "first")
+    return met.select("page_id", "url", "html", "digest", "n_bytes", F.when(of < F.col("page_id"), of).alias("refers_to"))
 
 
 def _record(kind: str, record_id, extra, content_type: str, body):
@@ -47,8 +58,22 @@ def _record(kind: str, record_id, extra, content_type: str, body):
     return F.concat(head, F.lit(f"Content-Type: {content_type}\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body)
 
 
-def write(judged: DataFrame, path: str, file_rows: int = FILE_ROWS) -> None:
-    """Archives of the judged pages: request, response or revisit, and metadata for each row, next to each other."""
+def write(judged: DataFrame, path: str, file_bytes: int = FILE_BYTES, largest: int | None = None) -> None:
+    """Archives of the judged pages: request, response or revisit, and metadata for each row, next to each other.
+
+    Pages are written by size class, as many to an archive as its bytes allow at the class's upper bound; ``largest`` is the
+    longest payload's size, if it is known."""
+    if largest is None:
+        largest = judged.agg(F.max("n_bytes")).first()[0] or 0
+    below = 0
+    for bound in (*SIZE_CLASSES, None):
+        of = (F.col("n_bytes") >= below) & (F.col("n_bytes") < bound if bound else F.lit(True))
+        if below <= largest:
+            _write(judged.where(of), f"{path}/from-{below}", max(1, file_bytes // bound) if bound else 1)
+        below = bound
+
+
+def _write(judged: DataFrame, path: str, file_rows: int) -> None:
     ids = judged.withColumn("u", F.uuid())  # every row is a capture of its own, so repeated rows don't share ids
     safe = F.regexp_replace(F.col("url"), "[\\x00-\\x20\\x7f]", "%20")
     target = F.coalesce(F.concat(F.lit("WARC-Target-URI: "), safe, F.lit("\r\n")), F.lit(""))
@@ -150,7 +175,7 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
                 if rows:
                     yield _batch(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", True).load(path).select("content")
     return files.mapInArrow(run, _SQL)
 
 
@@ -177,7 +202,8 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """Write the pages' archives to shared storage, read them back and assemble them."""
     spark = pages.sparkSession
     path = shared_path(spark, "warc")
-    write(judge(pages, id_col, url_col, html_col, min_bytes), path)
+    largest = pages.agg(F.max(F.octet_length(html_col))).first()[0] or 0
+    write(judge(pages, id_col, url_col, html_col, min_bytes), path, largest=largest)
     return assemble(read(spark, path, payloads))
 
 

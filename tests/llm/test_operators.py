@@ -510,6 +510,23 @@ def test_warc_odd_rows(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_archives_are_bounded_and_hot_payloads_meet(spark, tmp_path, monkeypatch):
+    pages = [(i, "u", f"<p>{i}" + "x" * (200_000 if i % 50 == 3 else 300)) for i in range(200)]
+    pages += [(1000 - i, "u", "hot " * 50) for i in range(300)] + [(2000 + i, "u", f"pair {i // 2} " * 30) for i in range(60)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2)
+    first = {}
+    for i, _, html in sorted(pages):
+        first.setdefault(html, i)
+    for share in (10, 10_000):  # only the hot payload by broadcast, then every repeated one
+        monkeypatch.setattr(warc, "HOT_SHARE", share)
+        path = str(tmp_path / str(share))
+        warc.write(warc.judge(df), path, file_bytes=1 << 20)
+        got = {r.page_id: r.refers_to for r in warc.captures(warc.assemble(warc.read(spark, path))).collect()}
+        assert got == {i: None if first[html] == i else first[html] for i, _, html in pages}
+        sizes = [sum(len(body) for _, body in warc.records(f.read_bytes())) for f in (tmp_path / str(share)).rglob("*.gz")]
+        assert max(sizes) <= (1 << 20) + 20_000 and len(sizes) > 30
+
+
 def test_warc_nested_rows_have_payloads(spark):
     df = spark.createDataFrame([(1, "http://a/", "héllo"), (2, "http://b/", "wörld")], "page_id long, url string, html string")
     for r in warc.round_trip(df, payloads=True).collect():
