@@ -34,6 +34,8 @@ SEGMENTS = ((0, 21), (21, 21), (42, 22))
 CROWD = 64
 #: taken between blocks of this many fingerprints.
 BLOCK = 1024
+#: Fingerprints that a task takes variants from.
+DEAL_ROWS = 500_000
 _SEED = 42
 _COUNT_BLOCK = 1 << 15
 
@@ -141,6 +143,11 @@ def _forest(fps: np.ndarray, other: np.ndarray | None, key: int, most: int) -> n
     return np.array(kept, np.int64).reshape(-1, 2)
 
 
+def _dealt(fps: DataFrame) -> DataFrame:
+    """The fingerprints over all cores, by hash: a small table would be read in few tasks, and each row becomes 64 variants."""
+    return fps.repartition(max(fps.sparkSession.sparkContext.defaultParallelism, fps.count() // DEAL_ROWS), "fp")
+
+
 def links(fps: DataFrame, most: int = MAX_BITS, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
     """(a, b): links between different fingerprints at ``most`` or fewer differing bits, enough to tell the classes.
 
@@ -148,7 +155,7 @@ def links(fps: DataFrame, most: int = MAX_BITS, crowd: int = CROWD, block: int =
     of blocks gives a spanning forest."""
     if not 0 <= most <= 5:
         raise ValueError("three segments with one deleted bit find up to five differing bits")
-    index = variants(fps)
+    index = variants(_dealt(fps))
     sizes = index.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     large = materialise(sizes.where(F.col("n") > crowd), "large-buckets")
     some_large = bool(large.limit(1).count())
