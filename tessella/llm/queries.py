@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, bytebpe, licences, media, packing, quality, simhash, toxicity, urls, warc
+from . import brown, bytebpe, licences, media, merkle, packing, quality, simhash, toxicity, urls, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -80,6 +80,11 @@ def op10_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, upper = _read(spark, sf_dir, "documents"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return merkle.manifest(docs, changed=_crc(F.col("doc_id")) % 3 == 0, change=F.translate("text", upper, upper.lower()))
+
+
 _WARC_SQL = """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
@@ -103,8 +108,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repetition_coverage": op8_repetition_coverage,
         "op9_transaction_assembly": op9_transaction_assembly,
         "op10_simhash_variants": op10_simhash_variants,
+        "op12_merkle_manifest": op12_merkle_manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_licence_sentences": licences.scan_sql(), "op9_transaction_assembly": _WARC_SQL}
+    return {"op4_licence_sentences": licences.scan_sql(), "op9_transaction_assembly": _WARC_SQL, "op12_merkle_manifest": merkle.manifest_sql()}
