@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, bytebpe, licences, media, merkle, packing, quality, simhash, toxicity, urls, warc
+from . import brown, bytebpe, licences, media, merkle, packing, periods, quality, simhash, toxicity, urls, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -85,6 +85,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, changed=_crc(F.col("doc_id")) % 3 == 0, change=F.translate("text", upper, upper.lower()))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, key = _read(spark, sf_dir, "documents").select("doc_id", "text"), F.col("doc_id")
+    docs = docs.withColumn("text", F.when(_crc(key) % 10 == 0, periods.looped(F.col("text"), key)).otherwise(F.col("text")))
+    return periods.measure_runs(docs).select("doc_id", "runs.*")
+
+
 _WARC_SQL = """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
@@ -109,6 +115,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_transaction_assembly": op9_transaction_assembly,
         "op10_simhash_variants": op10_simhash_variants,
         "op12_merkle_manifest": op12_merkle_manifest,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
