@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import brown, bytebpe, licences, media, merkle, packing, periods, quality, simhash, toxicity, urls, warc
+from . import brown, bytebpe, licences, media, merkle, packing, periods, quality, simhash, suffixes, toxicity, urls, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -80,6 +80,11 @@ def op10_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op11_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.cut_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "cut.n_bytes", "cut.n_removed", "cut.n_spans", F.sha2("cut.kept", 256).alias("kept_sha256"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, upper = _read(spark, sf_dir, "documents"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return merkle.manifest(docs, changed=_crc(F.col("doc_id")) % 3 == 0, change=F.translate("text", upper, upper.lower()))
@@ -114,10 +119,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_repetition_coverage": op8_repetition_coverage,
         "op9_transaction_assembly": op9_transaction_assembly,
         "op10_simhash_variants": op10_simhash_variants,
+        "op11_suffix_repeats": op11_suffix_repeats,
         "op12_merkle_manifest": op12_merkle_manifest,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_licence_sentences": licences.scan_sql(), "op9_transaction_assembly": _WARC_SQL, "op12_merkle_manifest": merkle.manifest_sql()}
+    return {"op4_licence_sentences": licences.scan_sql(), "op9_transaction_assembly": _WARC_SQL, "op11_suffix_repeats": suffixes.cut_sql(), "op12_merkle_manifest": merkle.manifest_sql()}
