@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,11 +32,11 @@ def tile_grid(frames: DataFrame, overlap: int = 500) -> DataFrame:
     return rows.select("image_id", "y0", "x0", F.least(F.col("y0") + F.col("tile_h"), F.col("height")).alias("y1"), F.least(F.col("x0") + F.col("tile_w"), F.col("width")).alias("x1"))
 
 
-def _covering(at: str, tile: str, step: str) -> Column:
-    """Begins of the tiles that cover a place: multiples of the step from place - tile + 1 to place."""
-    first = F.greatest(F.lit(0), F.ceil((F.col(at) - F.col(tile) + 1) / F.col(step))).cast("int")
-    last = F.floor(F.col(at) / F.col(step)).cast("int")
-    return F.when(last >= first, F.transform(F.sequence(first, F.greatest(first, last)), lambda i: i * F.col(step))).otherwise(F.array().cast("array<int>"))
+def _covering(rows: DataFrame, at: str, tile: str, step: str, into: str) -> DataFrame:
+    """A row for each tile that covers a place: multiples of the step from place - tile + 1 to place."""
+    rows = rows.withColumns({"_first": F.expr(f"cast(greatest(0, ({at} - {tile} + {step}) div {step}) AS int)"), "_last": F.expr(f"cast({at} div {step} AS int)")})
+    rows = rows.where("_first <= _last").withColumn("_i", F.explode(F.sequence("_first", "_last")))
+    return rows.withColumn(into, F.col("_i") * F.col(step)).drop("_first", "_last", "_i")
 
 
 def assign_tiles(pixels: DataFrame, overlap: int) -> DataFrame:
@@ -44,7 +44,7 @@ def assign_tiles(pixels: DataFrame, overlap: int) -> DataFrame:
 
     The tiles of a pixel are computed, not joined."""
     sized = with_steps(pixels, overlap).where("step_h > 0 and step_w > 0")
-    rows = sized.withColumn("tile_y0", F.explode(_covering("y", "tile_h", "step_h"))).withColumn("tile_x0", F.explode(_covering("x", "tile_w", "step_w")))
+    rows = _covering(_covering(sized, "y", "tile_h", "step_h", "tile_y0"), "x", "tile_w", "step_w", "tile_x0")
     return rows.drop("tile_h", "tile_w", "step_h", "step_w")
 
 
