@@ -21,9 +21,10 @@ from .operators import model as Model
 from .operators import packed as P
 from .operators import rasterops as R
 from .operators import resample as Z
+from .operators import runs as Runs
 from .operators import tiling as T
 from .plans import segment
-from .sources import images, sinks
+from .sources import headers, images, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -298,6 +299,16 @@ def route_by_size(frames):
     return T.route_by_size(frames).select("image_id", "route")
 
 
+@_query("SELECT image_id, height, width, 1 AS channels, CASE WHEN height < 24 AND width < 24 THEN 'direct' ELSE 'tiled' END AS route FROM plots", "plots", "mask_pixels")
+def scan_frame_sizes(plots, masks):
+    """Sizes and routes of image files by their headers."""
+    spark = plots.sparkSession
+    folder = session.shared_path(spark, "sized")
+    sinks.write_png(sinks.pack_pixels(masks.withColumn("c", F.lit(0))).withColumn("name", F.format_string("a/img_%08d", "image_id")), folder)
+    found = T.route_by_size(headers.scan_frame_sizes(spark, folder, recursive=True), 24)
+    return found.select(F.regexp_extract("path", "img_([0-9]+)", 1).cast("long").alias("image_id"), "height", "width", "channels", "route")
+
+
 # --- joins ---
 
 
@@ -618,6 +629,40 @@ def upsample2_kernel(raster8):
     return R.upsample2_kernel(raster8.withColumn("c", F.lit(0)), _UP, [0.5]).withColumn("v", F.round("v", 6))
 
 
+# --- masks as runs ---
+
+
+def _islands_sql(pixels: str) -> str:
+    return f"SELECT image_id, y, min(x) AS x0, max(x) + 1 AS x1 FROM (SELECT *, x - row_number() OVER (PARTITION BY image_id, y ORDER BY x) AS g FROM {pixels}) i GROUP BY image_id, y, g"
+
+
+_dark = lambda a: a != 255
+
+
+@_query(_islands_sql("(SELECT image_id, y, x FROM mask_pixels WHERE v <> 255)"), "mask_pixels")
+def mask_runs(pixels):
+    return Runs.listed(Runs.from_tiles(P.pack(pixels, tile=7), _dark))
+
+
+@_query(_islands_sql(f"(SELECT DISTINCT p.image_id, y, x FROM mask_pixels p JOIN {_TILES} t ON p.image_id = t.image_id AND y >= tile_y0 AND y < y1 AND x >= tile_x0 AND x < x1 WHERE v <> 255 AND (tile_y0 + tile_x0) % 2 = 0)"), "mask_pixels", "plots")
+def merge_runs(pixels, plots):
+    """``merge_tiles_max`` for binary tiles, as a union of their runs."""
+    tiles = P.cut_overlapping(P.pack(pixels), plots, 3)
+    scored = P.map_tiles(tiles, lambda row: [(row[0], row[1], row[2], ((row[3] != 255) & ((row[1] + row[2]) % 2 == 0)).astype("uint8"))])
+    return Runs.listed(Runs.from_tiles(scored))
+
+
+@_query("""SELECT image_id, tp, fp, fn, round(tp * 1.0::DOUBLE / (tp + fp + fn), 6) AS iou FROM (
+SELECT image_id, count(*) FILTER (a AND b) AS tp, count(*) FILTER (a AND NOT b) AS fp, count(*) FILTER (b AND NOT a) AS fn FROM (
+SELECT t.image_id, coalesce(s.v <> 255, false) AS a, t.v <> 255 AS b FROM mask_pixels t LEFT JOIN mask_pixels s ON s.image_id = t.image_id AND s.y = t.y - 1 AND s.x = t.x - 2) p GROUP BY image_id) c WHERE tp + fp + fn > 0""", "mask_pixels", "plots")
+def iou_runs(pixels, plots):
+    """A mask against itself, moved and cut to the frame."""
+    target = Runs.from_pixels(pixels, B.foreground(F.col("v"), "dark"))
+    frames = plots.select("image_id", F.lit(0).alias("x0"), F.lit(0).alias("y0"), F.col("width").alias("x1"), F.col("height").alias("y1"))
+    counts = Runs.overlap_counts(Runs.clip(Runs.shift(target, F.lit(1), F.lit(2)), frames), target)
+    return counts.select("image_id", "tp", "fp", "fn", F.round(M.iou(*[F.col(c).cast("double") for c in ("tp", "fp", "fn")]), 6).alias("iou"))
+
+
 # --- models and whole plans ---
 
 
