@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import session
 from ..session import materialise, shared_path
 
-__all__ = ["attach", "give_back", "join_counted", "materialise", "shared_path", "slabs", "utf8", "with_ids"]
+__all__ = ["attach", "give_back", "join_counted", "materialise", "settle", "shared_path", "slabs", "utf8", "with_ids"]
 #: Texts in an Arrow batch.
 BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -41,6 +42,14 @@ def join_counted(rows: DataFrame, table: DataFrame, key: str, n: str, share: int
     return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))
 
 
+def settle(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of steps that are written and done with.
+
+    It does so once the driver has collected the objects that stood for them, which by itself may happen much later."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def with_ids(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
     """The rows of ``df`` with one of ``ids`` (one column, repeats allowed); of several rows with the same id, one.
 

@@ -29,35 +29,37 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, give_back, join_counted, materialise, slabs, utf8
+from .common import attach, give_back, join_counted, materialise, settle, slabs, utf8
 
 N = 50
 #: Windows in a string at most: a mask of them fits a long.
 MOST = 32
 #: An anchor of more texts than this has its windows dealt one by one.
-HOT = 2000
+HOT = 10_000
 #: Bytes of text, or strings, whose equals are met before they are dealt; bytes of strings in a bucket.
 BATCH_BYTES = 8 << 20
+#: Bytes hashed in one go, so that numpy's passes stay in a core's cache.
+SLAB = 1 << 16
 BATCH_STRINGS = 200_000
 BUCKET_BYTES = 2 << 20
 _BASE, _MIX = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 _TABLE = np.random.default_rng(20).integers(0, 2**64, 256, np.uint64)
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(_MIX)
-    return h ^ (h >> np.uint64(32))
-
-
 def rolled(data: np.ndarray, k: int) -> np.ndarray:
-    """A hash of each window of k bytes, by doubling."""
+    """A hash of each window of k bytes: a polynomial by doubling (of overlapping halves in the last step), mixed once."""
     h, width = _TABLE[data], 1
     while width < k:
         step = min(width, k - width)
-        # of overlapping halves too: the window's hash depends on its bytes alone
-        h = h[:-step] * np.uint64(pow(_BASE, step, 2**64)) + _mixed(h[step:]) if len(h) > step else h[:0]
+        if len(h) <= step:
+            return h[:0]
+        low, h = h[step:], h[:-step] * np.uint64(pow(_BASE, step, 2**64))
+        h += low
         width += step
-    return _mixed(h)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(_MIX)
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def _smallest(h: np.ndarray, w: int) -> np.ndarray:
@@ -103,7 +105,7 @@ def _anchors(n: int):
         for batch in batches:
             dg = batch.column("dg").to_numpy()
             hashes, texts, row = [], [], 0
-            for slab in slabs(batch.column("text").cast(pa.large_string())):
+            for slab in slabs(batch.column("text").cast(pa.large_string()), SLAB):
                 anchor, text, _, _ = anchored(*utf8(slab), n)
                 hashes.append(anchor)
                 texts.append(text + row)
@@ -119,9 +121,11 @@ def _anchors(n: int):
             first = np.ones(len(h), bool)
             first[1:] = h[1:] != h[:-1]
             shared = ~first | ~np.append(first[1:], True)
+            known = np.arange(shared.sum() + first.sum()) < shared.sum()
             out = [np.concatenate([x[shared], x[first]]) for x in (h, d)]
+            order = np.argsort(out[1], kind="stable")  # by text, which the shuffle's compression uses
             del batch
-            yield give_back(pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1]), pa.array(np.arange(len(out[0])) < shared.sum())], ["anchor", "dg", "known"]))
+            yield give_back(pa.RecordBatch.from_arrays([pa.array(x[order]) for x in (*out, known)], ["anchor", "dg", "known"]))
 
     return run
 
@@ -152,20 +156,21 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield give_back(pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_h)), pa.array(np.concatenate(out_d))], ["anchor", "dg"]))
 
 
-_STRINGS = "deal long, doc long, dg long, pos int, windows int, string binary"
+_STRINGS = "bucket int, doc long, dg long, pos int, windows int, string binary"
 
 
-def _strings(n: int):
+def _strings(n: int, buckets: int):
     """Rows of _STRINGS for the anchors wanted of each text; a row without a string has windows that go."""
     names = [f.split()[0] for f in _STRINGS.split(", ")]
+    deal = lambda x: xxhash.xxh32_intdigest(x) % buckets
 
     def met(rows: list[tuple]) -> pa.RecordBatch:
         least: dict[bytes, int] = {}
         for r in rows:
             if r[1] < least.setdefault(r[5], r[1]):
                 least[r[5]] = r[1]
-        columns = list(zip(*[r if r[1] == least[r[5]] else (r[1] ^ r[3], *r[1:5], None) for r in rows], strict=True)) or [[]] * 6
-        kinds = [pa.int64()] * 3 + [pa.int32()] * 2 + [pa.binary()]
+        columns = list(zip(*[r if r[1] == least[r[5]] else (*r[:5], None) for r in rows], strict=True)) or [[]] * 6
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,10 +178,11 @@ def _strings(n: int):
         for batch in batches:
             ids, dg = batch.column("doc").to_pylist(), batch.column("dg").to_pylist()
             row = 0
-            for slab in slabs(batch.column("text").cast(pa.large_string())):
+            for slab in slabs(batch.column("text").cast(pa.large_string()), SLAB):
                 data, at = utf8(slab)
                 anchor, text, begin, windows = anchored(data, at, n)
                 raw, signed, starts = data.tobytes(), anchor.view(np.int64), np.searchsorted(text, np.arange(len(slab) + 1))
+                own_bucket = (anchor % np.uint64(buckets)).astype(np.int64)
                 for i in range(len(slab)):
                     a, b, base = starts[i], starts[i + 1], int(at[i])
                     cold, hot = (batch.column(c)[row + i].values.to_numpy() for c in ("cold", "hot"))
@@ -184,11 +190,11 @@ def _strings(n: int):
                     own = signed[a:b]
                     for j in (a + np.flatnonzero(np.isin(own, cold))).tolist():
                         s, w = int(begin[j]), int(windows[j])
-                        rows.append((int(signed[j]), *who, s - base, w, raw[s : s + w + n - 1]))
+                        rows.append((int(own_bucket[j]), *who, s - base, w, raw[s : s + w + n - 1]))
                     for j in (a + np.flatnonzero(np.isin(own, hot))).tolist() if len(hot) else ():
                         for s in range(int(begin[j]), int(begin[j] + windows[j])):
                             string = raw[s : s + n]
-                            rows.append((int.from_bytes(xxhash.xxh64_digest(string), "big", signed=True), *who, s - base, 1, string))
+                            rows.append((deal(string), *who, s - base, 1, string))
                 row += len(slab)
                 held += len(data)
                 if held >= BATCH_BYTES or len(rows) >= BATCH_STRINGS:
@@ -330,13 +336,15 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     anchors = docs.select("dg", "text").mapInArrow(_anchors(n), "anchor long, dg long, known boolean")
     dealt = anchors.repartition(F.when(F.col("known"), F.xxhash64("anchor", "dg")).otherwise(F.col("anchor"))).sortWithinPartitions("anchor", "dg")
     shared = materialise(dealt.mapInArrow(_shared, "anchor long, dg long"), "anchors")
+    del anchors, dealt
+    settle(spark)
     often = shared.groupBy("anchor").agg(F.count("*").alias("_n")).where(F.col("_n") > hot).select("anchor", F.lit(True).alias("often"))
     cold, warm = F.when(F.col("often").isNull(), F.col("anchor")), F.when(F.col("often"), F.col("anchor"))
     wanted = shared.join(often, "anchor", "left").groupBy("dg").agg(F.collect_set(cold).alias("cold"), F.collect_set(warm).alias("hot"))
     wanted = firsts.select(F.col("first").alias("doc"), "dg").join(wanted, "dg")
-    strings = docs.join(wanted, ["doc", "dg"]).select("doc", "dg", "text", "cold", "hot").mapInArrow(_strings(n), _STRINGS)
     buckets = max(spark.sparkContext.defaultParallelism, shared.count() * (3 * n // 2) // BUCKET_BYTES)
-    found = strings.groupBy(F.pmod(F.xxhash64("deal"), F.lit(buckets)).alias("bucket")).applyInArrow(_bucket(n), "doc long, dg long, pos int, mask long")
+    strings = docs.join(wanted, ["doc", "dg"]).select("doc", "dg", "text", "cold", "hot").mapInArrow(_strings(n, buckets), _STRINGS)
+    found = strings.groupBy("bucket").applyInArrow(_bucket(n), "doc long, dg long, pos int, mask long")
     parts = found.groupBy("doc", "dg").agg(F.collect_list(F.struct("pos", "mask")).alias("parts")).select("doc", "dg", _runs(n)("parts").alias("repeats"))
     return parts.unionByName(whole)
 
@@ -344,7 +352,9 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", into: str = "cut", n: int = N, hot: int = HOT) -> DataFrame:
     """``df`` with a struct: the bytes of the text, the runs of bytes that go (start, end), how many and how much that is, and the
     rest, whose characters may be cut in two, as bytes."""
-    found = materialise(find_repeats(df, id_col, text_col, n, hot), "repeats").select(F.col("doc").alias("_doc"), F.col("dg").alias("_dg"), F.col("repeats").alias("_repeats"))
+    found = materialise(find_repeats(df, id_col, text_col, n, hot), "repeats")
+    settle(df.sparkSession)
+    found = found.select(F.col("doc").alias("_doc"), F.col("dg").alias("_dg"), F.col("repeats").alias("_repeats"))
     met = df.join(found, (F.col(id_col).cast("long") == F.col("_doc")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_dg")), "left")
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
