@@ -1,6 +1,7 @@
 """Packed tiles (image_id, y0, x0, height, width, data): numpy kernels over Arrow batches with the long form's semantics.
 
-A tile is at most TILE pixels a side, so a row's size is bounded whatever the photograph's."""
+A tile is at most TILE pixels a side, so a row's size is bounded whatever the photograph's. It has one plane or several, as its data's
+length tells: a kernel gets (height, width) or (height, width, planes)."""
 
 from __future__ import annotations
 
@@ -18,7 +19,7 @@ from .resample import KERNELS
 from .tiling import with_steps
 
 TILE = 512
-_TILE_SQL = "image_id long, y0 int, x0 int, height int, width int, data binary"
+TILE_SQL = "image_id long, y0 int, x0 int, height int, width int, data binary"
 _FIELDS = [("image_id", pa.int64()), ("y0", pa.int32()), ("x0", pa.int32()), ("height", pa.int32()), ("width", pa.int32()), ("data", pa.binary())]
 Row = tuple[int, int, int, np.ndarray]
 
@@ -26,10 +27,11 @@ Row = tuple[int, int, int, np.ndarray]
 def _rows(batch: pa.RecordBatch) -> Iterator[Row]:
     ids, y0, x0, h, w = (batch.column(n).to_pylist() for n in ("image_id", "y0", "x0", "height", "width"))
     for i, raw in enumerate(batch.column("data")):
-        yield ids[i], y0[i], x0[i], np.frombuffer(raw.as_buffer(), np.uint8).reshape(h[i], w[i])
+        a = np.frombuffer(raw.as_buffer(), np.uint8)
+        yield ids[i], y0[i], x0[i], a.reshape((h[i], w[i]) if len(a) == h[i] * w[i] else (h[i], w[i], -1))
 
 
-def _batch(rows: list[Row]) -> pa.RecordBatch:
+def batch_of(rows: list[Row]) -> pa.RecordBatch:
     cells = [(i, y, x, a.shape[0], a.shape[1], np.ascontiguousarray(a).tobytes()) for i, y, x, a in rows]
     columns = list(zip(*cells, strict=True)) if cells else [[]] * len(_FIELDS)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _FIELDS, strict=True)], [n for n, _ in _FIELDS])
@@ -46,16 +48,16 @@ def map_tiles(tiles: DataFrame, kernel: Callable[[Row], Iterator[Row]]) -> DataF
                 for made in kernel(row):
                     out.append(made)
                     if len(out) >= 16:
-                        yield _batch(out)
+                        yield batch_of(out)
                         out = []
             if out:
-                yield _batch(out)
+                yield batch_of(out)
 
-    return tiles.select(*[n for n, _ in _FIELDS]).mapInArrow(run, _TILE_SQL)
+    return tiles.select(*[n for n, _ in _FIELDS]).mapInArrow(run, TILE_SQL)
 
 
 def cut_tiles(frames: DataFrame, tile: int = TILE) -> DataFrame:
-    """One-channel packed frames to tiles that don't overlap."""
+    """Packed frames to tiles that don't overlap, with as many planes."""
 
     def kernel(row: Row) -> Iterator[Row]:
         i, y, x, a = row
@@ -75,11 +77,11 @@ def pack(pixels: DataFrame, value: str = "v", tile: int = TILE) -> DataFrame:
         y0, x0 = int(key[1].as_py()) * tile, int(key[2].as_py()) * tile
         cell = np.zeros((int(y.max()) - y0 + 1, int(x.max()) - x0 + 1), np.uint8)
         cell[y - y0, x - x0] = table["v"].to_numpy()
-        return pa.Table.from_batches([_batch([(key[0].as_py(), y0, x0, cell)])])
+        return pa.Table.from_batches([batch_of([(key[0].as_py(), y0, x0, cell)])])
 
     rows = pixels.select(F.col("image_id").cast("long").alias("image_id"), "y", "x", F.col(value).cast("int").alias("v"))
     cells = [F.floor(F.col(k) / tile).cast("int").alias(f"g{k}") for k in ("y", "x")]
-    return rows.groupBy("image_id", *cells).applyInArrow(run, _TILE_SQL)
+    return rows.groupBy("image_id", *cells).applyInArrow(run, TILE_SQL)
 
 
 def mask_bbox(tiles: DataFrame, convention: str) -> DataFrame:
@@ -117,10 +119,10 @@ def crop(tiles: DataFrame, boxes: DataFrame) -> DataFrame:
                 part = a[t - y : max(0, y1 - y), l_ - x : max(0, x1 - x)]
                 if part.size:
                     out.append((i, t - y0, l_ - x0, part))
-            yield _batch(out)
+            yield batch_of(out)
 
     met = tiles.select(*[n for n, _ in _FIELDS]).join(boxes.select("image_id", *[F.col(k).alias(f"b_{k}") for k in ("y0", "x0", "y1", "x1")]), "image_id")
-    return met.mapInArrow(run, _TILE_SQL)
+    return met.mapInArrow(run, TILE_SQL)
 
 
 def score(tiles: DataFrame, make_predict: Callable[[], Callable[[np.ndarray], np.ndarray]]) -> DataFrame:
@@ -142,14 +144,29 @@ def whole(tiles: DataFrame) -> DataFrame:
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [row for batch in batches for row in _rows(batch)]
-        a = np.zeros((max(y + p.shape[0] for _, y, _, p in parts), max(x + p.shape[1] for _, _, x, p in parts)), np.uint8)
+        a = np.zeros((max(y + p.shape[0] for _, y, _, p in parts), max(x + p.shape[1] for _, _, x, p in parts), *parts[0][3].shape[2:]), np.uint8)
         for _, y, x, p in parts:
             a[y : y + p.shape[0], x : x + p.shape[1]] = p
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), *[pa.array([n], pa.int32()) for n in (*a.shape, 1)], pa.array([a.tobytes()], pa.binary())], ["image_id", "height", "width", "channels", "data"])
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), *[pa.array([n], pa.int32()) for n in (*a.shape, 1)[:3]], pa.array([a.tobytes()], pa.binary())], ["image_id", "height", "width", "channels", "data"])
 
     return tiles.groupBy("image_id").applyInArrow(run, "image_id long, height int, width int, channels int, data binary")
 
 
+def planes(tiles: DataFrame, of: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """Tiles with other planes, made from all of a tile's: a choice of them, gray, or a mask."""
+
+    def kernel(row: Row) -> Iterator[Row]:
+        i, y, x, a = row
+        yield i, y, x, of(a)
+
+    return map_tiles(tiles, kernel)
+
+
+def gray(a: np.ndarray) -> np.ndarray:
+    """The luma of an RGB plane, as in ``rasterops.decode_gray``."""
+    return ((a[:, :, :3] @ np.array([19595, 38470, 7471]) + 32768) >> 16).astype(np.uint8)
+
+
 def cut_overlapping(tiles: DataFrame, frames: DataFrame, overlap: int) -> DataFrame:
     """Tiles of the fixed grid to the overlapping tiles of ``tiling.tile_grid``: each is put together from the parts that the
     fixed tiles send it. A group is one overlapping tile; frames whose step isn't positive have none."""
@@ -170,19 +187,19 @@ def cut_overlapping(tiles: DataFrame, frames: DataFrame, overlap: int) -> DataFr
                         if part.size:
                             made.append((i, t, l_, part))
                             cells.append((top, left))
-                out = _batch(made)
+                out = batch_of(made)
                 yield pa.RecordBatch.from_arrays([*out.columns, *[pa.array([c[k] for c in cells], pa.int32()) for k in (0, 1)]], [*out.schema.names, "gy", "gx"])
 
     def join(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         i, top, left = (k.as_py() for k in key)
         parts = [row for batch in batches for row in _rows(batch)]
-        cell = np.zeros((max(y + a.shape[0] for _, y, _, a in parts) - top, max(x + a.shape[1] for _, _, x, a in parts) - left), np.uint8)
+        cell = np.zeros((max(y + a.shape[0] for _, y, _, a in parts) - top, max(x + a.shape[1] for _, _, x, a in parts) - left, *parts[0][3].shape[2:]), np.uint8)
         for _, y, x, a in parts:
             cell[y - top : y - top + a.shape[0], x - left : x - left + a.shape[1]] = a
-        yield _batch([(i, top, left, cell)])
+        yield batch_of([(i, top, left, cell)])
 
-    sent = tiles.select(*[n for n, _ in _FIELDS]).join(sized, "image_id").mapInArrow(run, _TILE_SQL + ", gy int, gx int")
-    return sent.groupBy("image_id", "gy", "gx").applyInArrow(join, _TILE_SQL)
+    sent = tiles.select(*[n for n, _ in _FIELDS]).join(sized, "image_id").mapInArrow(run, TILE_SQL + ", gy int, gx int")
+    return sent.groupBy("image_id", "gy", "gx").applyInArrow(join, TILE_SQL)
 
 
 def threshold(tiles: DataFrame, at: int = 128) -> DataFrame:
@@ -203,11 +220,11 @@ def _send(tiles: DataFrame, parts: Callable[[Row], Iterator[tuple[int, int, Row]
         for batch in batches:
             for row in _rows(batch):
                 sent = list(parts(row))
-                made = _batch([r for _, _, r in sent])
+                made = batch_of([r for _, _, r in sent])
                 cells = [pa.array([s[k] for s in sent], pa.int32()) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays([*made.columns, *cells], [*made.schema.names, "gy", "gx"])
 
-    return tiles.select(*[n for n, _ in _FIELDS]).mapInArrow(run, _TILE_SQL + ", gy int, gx int")
+    return tiles.select(*[n for n, _ in _FIELDS]).mapInArrow(run, TILE_SQL + ", gy int, gx int")
 
 
 def merge_max(tiles: DataFrame, tile: int = TILE) -> DataFrame:
@@ -223,17 +240,18 @@ def merge_max(tiles: DataFrame, tile: int = TILE) -> DataFrame:
 
     def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         i, gy, gx = (k.as_py() for k in key)
-        cell = np.zeros((tile, tile), np.uint8)
-        h = w = 0
+        cell, h, w = None, 0, 0
         for batch in batches:
             for _, y, x, a in _rows(batch):
                 t, l_ = y - gy * tile, x - gx * tile
+                if cell is None:
+                    cell = np.zeros((tile, tile, *a.shape[2:]), np.uint8)
                 view = cell[t : t + a.shape[0], l_ : l_ + a.shape[1]]
                 np.maximum(view, a, out=view)
                 h, w = max(h, t + a.shape[0]), max(w, l_ + a.shape[1])
-        yield _batch([(i, gy * tile, gx * tile, cell[:h, :w])])
+        yield batch_of([(i, gy * tile, gx * tile, cell[:h, :w])])
 
-    return _send(tiles, parts).groupBy("image_id", "gy", "gx").applyInArrow(merge, _TILE_SQL)
+    return _send(tiles, parts).groupBy("image_id", "gy", "gx").applyInArrow(merge, TILE_SQL)
 
 
 def focal3(tiles: DataFrame, kernel3: np.ndarray, tile: int = TILE) -> DataFrame:
@@ -260,9 +278,9 @@ def focal3(tiles: DataFrame, kernel3: np.ndarray, tile: int = TILE) -> DataFrame
                     h, w = a.shape
         if h:
             out = sum(kernel3[1 + dy, 1 + dx] * pad[1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w] for dy in (-1, 0, 1) for dx in (-1, 0, 1))
-            yield _batch([(i, gy * tile, gx * tile, np.clip(np.floor(np.round(out, 6) + 0.5), 0, 255).astype(np.uint8))])
+            yield batch_of([(i, gy * tile, gx * tile, np.clip(np.floor(np.round(out, 6) + 0.5), 0, 255).astype(np.uint8))])
 
-    return _send(tiles, parts).groupBy("image_id", "gy", "gx").applyInArrow(apply, _TILE_SQL)
+    return _send(tiles, parts).groupBy("image_id", "gy", "gx").applyInArrow(apply, TILE_SQL)
 
 
 def to_pixels(tiles: DataFrame) -> DataFrame:
@@ -365,9 +383,9 @@ def resize(tiles: DataFrame, sizes: DataFrame, kind: str, tile: int = TILE) -> D
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = np.clip(np.floor(np.round(_summed(key, batches, tile), 6) + 0.5), 0, 255).astype(np.uint8)
-        yield _batch([(key[0].as_py(), key[1].as_py() * tile, key[2].as_py() * tile, a)])
+        yield batch_of([(key[0].as_py(), key[1].as_py() * tile, key[2].as_py() * tile, a)])
 
-    return _shares(tiles, sizes, kind, tile).groupBy("image_id", "gy", "gx").applyInArrow(run, _TILE_SQL)
+    return _shares(tiles, sizes, kind, tile).groupBy("image_id", "gy", "gx").applyInArrow(run, TILE_SQL)
 
 
 def overlay_green(green: DataFrame, mask: DataFrame, strength: int = 191) -> DataFrame:
@@ -387,6 +405,26 @@ def overlay_green(green: DataFrame, mask: DataFrame, strength: int = 191) -> Dat
     return met.select(*place, F.arrow_udf(run, "binary")(F.col("data"), F.col("_m")).alias("data"))
 
 
+def overlay_tiles(rgb: DataFrame, mask: DataFrame, strength: int = 191) -> DataFrame:
+    """RGB tiles with green raised (and capped) where the mask's tile at the same place isn't 0."""
+    attach(rgb.sparkSession)
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for planes, masks in batches:
+            out = []
+            for p, m in zip(planes, masks, strict=True):
+                a = np.frombuffer(p.as_buffer(), np.uint8).reshape(-1, 3).copy()
+                if m.is_valid:
+                    hit = np.frombuffer(m.as_buffer(), np.uint8) != 0
+                    a[hit, 1] = np.minimum(a[hit, 1].astype(np.int32) + strength, 255)
+                out.append(a.tobytes())
+            yield pa.array(out, pa.binary())
+
+    place = ["image_id", "y0", "x0", "height", "width"]
+    met = rgb.join(mask.select(*place, F.col("data").alias("_m")), place, "left")
+    return met.select(*place, F.arrow_udf(run, "binary")(F.col("data"), F.col("_m")).alias("data"))
+
+
 def paste(tiles: DataFrame, boxes: DataFrame, frames: DataFrame, tile: int = TILE, empty: int = 0) -> DataFrame:
     """A crop's tiles at their box (x0, y0) in a frame (width, height) that is ``empty`` elsewhere; also pads to a canvas.
 
@@ -420,14 +458,14 @@ def paste(tiles: DataFrame, boxes: DataFrame, frames: DataFrame, tile: int = TIL
         rows = table.sort_by("over").to_pylist()
         base = rows[0]
         if base["over"]:  # outside the frame
-            return pa.Table.from_batches([_batch([])])
+            return pa.Table.from_batches([batch_of([])])
         cell = np.full((base["height"], base["width"]), empty, np.uint8)
         for r in rows[1:]:
             y, x = r["y0"] - base["y0"], r["x0"] - base["x0"]
             a = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"])
             view = cell[y : y + r["height"], x : x + r["width"]]
             view[:] = a[: view.shape[0], : view.shape[1]]
-        return pa.Table.from_batches([_batch([(base["image_id"], base["y0"], base["x0"], cell)])])
+        return pa.Table.from_batches([batch_of([(base["image_id"], base["y0"], base["x0"], cell)])])
 
-    both = moved.unionByName(grid).mapInArrow(cut, _TILE_SQL + ", over int, gy int, gx int")
-    return both.groupBy("image_id", "gy", "gx").applyInArrow(merge, _TILE_SQL)
+    both = moved.unionByName(grid).mapInArrow(cut, TILE_SQL + ", over int, gy int, gx int")
+    return both.groupBy("image_id", "gy", "gx").applyInArrow(merge, TILE_SQL)

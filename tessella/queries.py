@@ -23,7 +23,7 @@ from .operators import rasterops as R
 from .operators import resample as Z
 from .operators import runs as Runs
 from .operators import tiling as T
-from .plans import segment
+from .plans import photographs, segment
 from .sources import headers, images, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -717,6 +717,32 @@ def _dark_model():
 for _f in (segment_pipeline_packed, segment_files):
     _QUERIES[_f.__name__], _ORACLE[_f.__name__] = _f, _SEGMENTED
 
+_LARGE9 = f"(SELECT * FROM {_BOX} b WHERE x1 - x0 > 9 OR y1 - y0 > 9)"
+
+
+@_query(f"""SELECT 'mask' AS side, image_id, y, x, 0 AS c, v FROM ({_PAD9} UNION ALL
+SELECT e.image_id, CAST(gy.y AS INTEGER), CAST(gx.x AS INTEGER), m.v FROM {_LARGE9} e, {_GRID9}
+JOIN mask_pixels m ON m.image_id = e.image_id AND m.x = e.x0 + floor((gx.x + 0.5) * (e.x1 - e.x0) / 9) AND m.y = e.y0 + floor((gy.y + 0.5) * (e.y1 - e.y0) / 9)) a
+UNION ALL
+SELECT 'image', e.image_id, CAST(gy.y AS INTEGER), CAST(gx.x AS INTEGER), CAST(ch.c AS INTEGER), coalesce(m.v, 0) FROM {_EXT9} e, {_GRID9}, (SELECT unnest(range(0, 3)) AS c) ch
+LEFT JOIN rgb_pixels m ON m.image_id = e.image_id AND m.c = ch.c AND m.x = gx.x - (9 - (e.x1 - e.x0)) // 2 + e.x0 AND m.y = gy.y - (9 - (e.y1 - e.y0)) // 2 + e.y0 AND m.x >= e.x0 AND m.x < e.x1 AND m.y >= e.y0 AND m.y < e.y1
+WHERE e.w <= 9 AND e.h <= 9
+UNION ALL
+SELECT 'image', image_id, y, x, c, CAST(least(greatest(floor(round(s, 6) + 0.5), 0), 255) AS INTEGER) FROM (
+SELECT o.image_id, o.c, CAST(b.dst AS INTEGER) AS y, CAST(a.dst AS INTEGER) AS x, sum(o.v * a.w * b.w) AS s FROM (
+SELECT r.image_id, c, y - y0 AS y, x - x0 AS x, v, x1 - x0 AS w, y1 - y0 AS h FROM rgb_pixels r JOIN {_LARGE9} e USING (image_id) WHERE x >= x0 AND x < x1 AND y >= y0 AND y < y1) o
+JOIN {_weights_sql("lanczos", "(x1 - x0)", "9", _LARGE9)} a ON o.w = a.n_src AND o.x = a.src JOIN {_weights_sql("lanczos", "(y1 - y0)", "9", _LARGE9)} b ON o.h = b.n_src AND o.y = b.src GROUP BY ALL) z""", "plots", "mask_pixels", "rgb_pixels")
+def prepare_files(plots, masks, rgb):
+    """From a folder of photographs and one of masks to pairs of the target size; tiles of 7, so that every frame has several."""
+    spark = plots.sparkSession
+    given, out = session.shared_path(spark, "pairs"), session.shared_path(spark, "prepared")
+    named = lambda df: df.withColumn("name", F.format_string("img_%08d", "image_id"))
+    sinks.write_png(named(sinks.pack_pixels(rgb)), f"{given}/images")
+    sinks.write_png(named(sinks.pack_pixels(masks.withColumn("c", F.lit(0)))), f"{given}/masks")
+    photographs.prepare_files(spark, f"{given}/images", f"{given}/masks", out, 9, "*.png", tile=7)
+    read = lambda side: images.with_image_id(images.read_frames(spark, f"{out}/{side}s")).withColumn("side", F.lit(side))
+    return images.to_pixels(images.decode_rgb(read("image")), ["side", "image_id"]).unionByName(images.to_pixels(read("mask"), ["side", "image_id"]))
+
 _FEATURES = ["logit", "v"]
 
 
