@@ -226,16 +226,22 @@ _GIVEN = "(?:licen[sc]ed|dual licen[sc]ed|released|distributed|redistributed|pub
 LEAD = f"(?:^| ){_GIVEN} (?:[a-z]+ )?(?:under|by|through|with)(?: either)?(?: the| a| an)?(?: terms)?(?: and conditions)?(?: of)?(?: the| a| an)? (?:[a-z0-9 ]+ (?:or|and)(?: the)? )?"
 LEADS, TAG = f"(?:^| ){_GIVEN} ", "(?:^| )spdx license identifier "
 DENIED = f"(?:^| )(?:not|never|no longer|cannot be)(?: [a-z]+)?(?: [a-z]+)? {_GIVEN}(?: |$)"
+#: A name with "licensed" behind it, and what takes the sense from that.
+BEHIND = lambda spdx: f"(?:(?:^| )(?:is|are|was|were|stays|remains)(?: [a-z]+)? {spdx}(?: {_LICENSE})? licen[sc]ed(?: |$)|^{spdx} licen[sc]ed$)"
+BEHIND_DENIED = "(?:^| )(?:not|never|no longer|non)(?: [a-z0-9]+){1,5} licen[sc]ed(?: |$)"
+#: A reservation of rights says something only where no licence is found beside it; a ban on copying always does.
+_RESERVED, _BAN = "proprietary", " proprietary_copying "
 #: Fixed value: a GPL with its version, which isn't one of no version.
 VERSIONED = f"(?:general public {_LICENSE}|gpl)(?: gpl)? ?(?:gpl )?(?:v|version)? ?[0-9]"
 _LAST_WINS = ("restricted", "copyleft", "permissive")
-#: What is replaced, in this order, by the three readings; a byte 1 ends a sentence, as a line break does in the first.
+#: What is replaced, in this order, by the four readings, of which the last takes marks at the beginning of a line for bullets, not comments; a byte 1 ends a sentence, as a line break does in the first.
 _END, _BLANK, _MARK = "([.!?])[ \\t\\r\\n]+", "\\r?\\n\\r?\\n", "[ \\t]*(?://+|/?[*]+/?|#+|;+|--+|%+|>+|<!--|\"\"\")[ \\t]*"
-_LIST = "[ \\t]*(?:[(]?[0-9]{1,2}[.)]|[(]?[a-z][)]|-|\u2022)[ \\t]+"
+_LIST = "[ \\t]*(?:[(]?[0-9]{1,2}[.)]|[(]?[a-z][)]|[*+o\u2022\u00b7-])[ \\t]+"
 READINGS = {
     "a": [("([.!?])[ \\t\\r]+", 1), ("\n", 0)],
     "b": [(_BLANK, 0), (_END, 1)],
     "c": [(f"(?m)^{_MARK}", None), ("(?m)[ \\t\\r]+$", None), ("\n\n+", 0), (f"(?m)^{_LIST}", 0), (_END, 1)],
+    "d": [("(?m)[ \\t\\r]+$", None), ("\n\n+", 0), (f"(?m)^{_LIST}", 0), (_END, 1)],
 }
 
 
@@ -270,7 +276,10 @@ def _names(sentence: Column) -> Column:
     tagged = F.array_compact(F.array(*[F.when(sentence.rlike(f" identifier (?:.* )?{n}(?: |$)"), F.lit(i)) for i, n, _ in NAMES if n]))
     prose = F.array_compact(F.array(*[F.when((plain if i == "gpl_named" else sentence).rlike(_prose(i, p)), F.lit(i)) for i, _, p in NAMES]))
     leads = sentence.rlike(LEADS) & ~sentence.rlike(DENIED)
-    return F.when(sentence.rlike(TAG), tagged).when(leads, prose).otherwise(F.array().cast("array<string>"))
+    behind = F.array_compact(F.array(*[F.when(sentence.rlike(BEHIND(n)), F.lit(i)) for i, n, _ in NAMES if n]))
+    none = F.array().cast("array<string>")
+    prose = F.array_union(F.when(leads, prose).otherwise(none), F.when(sentence.rlike(" licen[sc]ed(?: |$)") & ~sentence.rlike(BEHIND_DENIED), behind).otherwise(none))
+    return F.when(sentence.rlike(TAG), tagged).otherwise(prose)
 
 
 def _anchored(text: Column) -> Column:
@@ -289,7 +298,9 @@ def scan(df: DataFrame, text_col: str = "text", into: str = "licence") -> DataFr
     rows = df.withColumn("_readings", readings)
     all3 = F.col("_readings")
     most = F.greatest(*[F.size(all3[x]) for x in READINGS])
-    ids = F.when(F.size(all3["a"]) == most, all3["a"]).when(F.size(all3["b"]) == most, all3["b"]).otherwise(all3["c"])
+    ids = all3["d"]
+    for k in ("c", "b", "a"):
+        ids = F.when(F.size(all3[k]) == most, all3[k]).otherwise(ids)
     rows = rows.withColumn("_ids", ids).withColumn("_line", F.concat(F.lit(" "), F.array_join("_ids", "  "), F.lit(" ")))
     line, found = F.col("_line"), []
     for name, family, _ in RULES:
@@ -297,6 +308,8 @@ def scan(df: DataFrame, text_col: str = "text", into: str = "licence") -> DataFr
         hit = line.rlike(own) if wider is None else line.rlike(own) & ~line.rlike(wider)
         found.append(F.when(hit, F.struct(F.lit(name).alias("name"), F.lit(family).alias("family"))))
     rows = rows.withColumn("_rules", F.when(F.size("_ids") > 0, F.array_compact(F.array(*found))).otherwise(F.array().cast("array<struct<name:string,family:string>>")))
+    alone = (F.size("_rules") < 2) | F.contains("_line", F.lit(_BAN))
+    rows = rows.withColumn("_rules", F.when(alone, F.col("_rules")).otherwise(F.filter("_rules", lambda r: r["name"] != _RESERVED)))
     families = F.col("_rules")["family"]
     verdict = F.lit("none")
     for f in reversed(_LAST_WINS):
@@ -330,7 +343,10 @@ def scan_sql(table: str = "documents", id_col: str = "doc_id", text_col: str = "
     tagged = listed([f"CASE WHEN {matches('s', f' identifier (?:.* )?{n}(?: |$)')} THEN '{i}' END" for i, n, _ in NAMES if n])
     plain = f"regexp_replace(s, {_quoted(VERSIONED)}, 'versioned', 'g')"
     prose = listed([f"CASE WHEN {matches(plain if i == 'gpl_named' else 's', _prose(i, p))} THEN '{i}' END" for i, _, p in NAMES])
-    names = f"CASE WHEN {matches('s', TAG)} THEN {tagged} WHEN {matches('s', LEADS)} AND NOT {matches('s', DENIED)} THEN {prose} ELSE [] END"
+    behind = listed([f"CASE WHEN {matches('s', BEHIND(n))} THEN '{i}' END" for i, n, _ in NAMES if n])
+    led = f"CASE WHEN {matches('s', LEADS)} AND NOT {matches('s', DENIED)} THEN {prose} ELSE [] END"
+    after = f"CASE WHEN {matches('s', ' licen[sc]ed(?: |$)')} AND NOT {matches('s', BEHIND_DENIED)} THEN {behind} ELSE [] END"
+    names = f"CASE WHEN {matches('s', TAG)} THEN {tagged} ELSE {led} || [i FOR i IN {after} IF NOT list_contains({led}, i)] END"
     identifiers = lambda k: f"flatten([CASE WHEN known[s] IS NOT NULL THEN [known[s]] ELSE {names} END FOR s IN {k}])"
     hits = [(n, f, *_hit(n)) for n, f, _ in RULES]
     rules = listed([f"CASE WHEN {matches('line', own)}{'' if wider is None else ' AND NOT ' + matches('line', wider)} THEN {{'name': '{n}', 'family': '{f}'}} END" for n, f, own, wider in hits])
@@ -339,8 +355,9 @@ def scan_sql(table: str = "documents", id_col: str = "doc_id", text_col: str = "
 WITH t AS (SELECT {id_col}, coalesce({text_col}, '') AS x, {known} AS known FROM {table}),
 r AS (SELECT {id_col}, known, {', '.join(f'{reading(steps)} AS s{k}' for k, steps in READINGS.items())} FROM t),
 n AS (SELECT {id_col}, {', '.join(f"{identifiers(f's{k}')} AS {k}" for k in READINGS)} FROM r),
-i AS (SELECT {id_col}, CASE WHEN len(a) >= greatest(len(b), len(c)) THEN a WHEN len(b) >= len(c) THEN b ELSE c END AS ids FROM n),
+i AS (SELECT {id_col}, CASE greatest(len(a), len(b), len(c), len(d)) WHEN len(a) THEN a WHEN len(b) THEN b WHEN len(c) THEN c ELSE d END AS ids FROM n),
 m AS (SELECT {id_col}, ids, ' ' || array_to_string(ids, '  ') || ' ' AS line FROM i),
-h AS (SELECT {id_col}, ids, CASE WHEN len(ids) > 0 THEN {rules} ELSE [] END AS rules FROM m)
+g AS (SELECT {id_col}, ids, line, CASE WHEN len(ids) > 0 THEN {rules} ELSE [] END AS rules FROM m),
+h AS (SELECT {id_col}, ids, CASE WHEN len(rules) < 2 OR contains(line, '{_BAN}') THEN rules ELSE [r FOR r IN rules IF r.name <> '{_RESERVED}'] END AS rules FROM g)
 SELECT {id_col}, array_to_string(ids, ' ') AS sentences, array_to_string([r.name FOR r IN rules], ',') AS licences, {verdict} AS verdict, CAST(len(ids) AS BIGINT) AS n_sentences FROM h
 """

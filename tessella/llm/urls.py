@@ -120,6 +120,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", ur
     rule, said = fitting_rule(F.col("host"), F.col("path"), rules)
     distinct = rows.groupBy("url").agg(F.count("*").alias("n")).withColumn("host", host).withColumn("path", path)
     scores, threshold = url_scores(distinct.select("url", "n", said.alias("seed")))
-    met = rows.join(scores, "url", "left").withColumn("host", host).withColumn("path", path)
+    known = materialise(distinct.select("url", "n").join(scores, "url", "left"), "url-known")
+    met = join_counted(rows, known, "url", "n").withColumn("host", host).withColumn("path", path)
     by_model = F.when(F.coalesce("score", F.lit(0.0)) >= threshold, "allow").otherwise("block")
     return met.select(id_col, "host", "path", rule.alias("rule"), F.coalesce(said, by_model).alias("verdict"), "score", F.lit(threshold).alias("threshold"))

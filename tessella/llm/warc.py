@@ -45,11 +45,18 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     often = F.col("n") * HOT_SHARE > rows.count()
     hot = first.where(often).select(F.col("of").alias("hot_of"), F.col("first").alias("hot_first"))
     met = rows.join(F.broadcast(hot), (F.col("digest") == F.col("hot_of")) & large, "left")
-    # Rows that have met their payload, or need not, get a key that nothing has, so that they spread evenly.
-    alone = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
+    # Rows that have met their payload, or need not, get a key that nothing has, so that they spread evenly; it is made of the row
+    # alone, so that a condition on the size is settled at the scan, before anything is digested.
+    alone = F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))
     met = met.withColumn("key", F.when(large & F.col("hot_of").isNull(), F.col("digest")).otherwise(alone)).join(first.where(~often).select("of", "first"), F.col("key") == F.col("of"), "left")
     of = F.coalesce("hot_first", "first")
-    return met.select("page_id", "url", "html", "digest", "n_bytes", F.when(of < F.col("page_id"), of).alias("refers_to"))
+    return met.select("page_id", "url", "html", "digest", "n_bytes", F.when(of < F.col("page_id"), of).alias("refers_to"), F.coalesce(of == F.col("page_id"), F.lit(False)).alias("referred"))
+
+
+def _named_uuid(page_id):
+    """The record id of a page that revisits refer to."""
+    h = F.md5(F.concat(F.lit("page:"), page_id.cast("string")))
+    return F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
 
 
 def _record(kind: str, record_id, extra, content_type: str, body):
@@ -74,18 +81,19 @@ def write(judged: DataFrame, path: str, file_bytes: int = FILE_BYTES, largest: i
 
 
 def _write(judged: DataFrame, path: str, file_rows: int) -> None:
-    ids = judged.withColumn("u", F.uuid())  # every row is a capture of its own, so repeated rows don't share ids
+    # Every row is a capture of its own, so repeated rows don't share ids, but for a page that revisits refer to by its id.
+    ids = judged.withColumn("u", F.when(F.col("referred"), _named_uuid(F.col("page_id"))).otherwise(F.uuid()))
     safe = F.regexp_replace(F.col("url"), "[\\x00-\\x20\\x7f]", "%20")
     target = F.coalesce(F.concat(F.lit("WARC-Target-URI: "), safe, F.lit("\r\n")), F.lit(""))
     response_id = F.concat(F.lit("urn:uuid:"), F.col("u"))
     concurrent = F.concat(F.lit("WARC-Concurrent-To: <"), response_id, F.lit(">\r\n"))
     digest = F.concat(F.lit("WARC-Payload-Digest: sha256:"), F.col("digest"), F.lit("\r\n"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("n_bytes").cast("string"), F.lit("\r\n\r\n"))
-    refers = F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.col("refers_to").cast("string"), F.lit(">\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n"))
+    refers = F.concat(F.lit("WARC-Refers-To: <urn:uuid:"), _named_uuid(F.col("refers_to")), F.lit(">\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n"))
     http_type = "application/http; msgtype=response"
     main = F.when(F.col("refers_to").isNull(), _record("response", response_id, F.concat(target, digest), http_type, F.concat(http, F.col("html")))).otherwise(_record("revisit", response_id, F.concat(target, digest, refers), http_type, http))
     request = _record("request", F.concat(F.lit("urn:request:"), F.col("u")), F.concat(target, concurrent), "application/http; msgtype=request", F.concat(F.lit("GET "), F.coalesce(safe, F.lit("/")), F.lit(" HTTP/1.1\r\n\r\n")))
-    metadata = _record("metadata", F.concat(F.lit("urn:metadata:"), F.col("u")), F.concat(target, concurrent), "application/warc-fields", F.coalesce(F.concat(F.lit("pageId: "), F.col("page_id").cast("string"), F.lit("\r\n")), F.lit("")))
+    metadata = _record("metadata", F.concat(F.lit("urn:metadata:"), F.col("u")), F.concat(target, concurrent), "application/warc-fields", F.concat(*[F.coalesce(F.concat(F.lit(f"{k}: "), F.col(c).cast("string"), F.lit("\r\n")), F.lit("")) for k, c in (("pageId", "page_id"), ("refersToPageId", "refers_to"))]))
     text = F.concat_ws("\r\n\r\n", request, main, metadata)
     ids.select(text.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", file_rows).text(path)
 
@@ -209,6 +217,6 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
 def captures(assembled: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of assembled captures."""
-    page = F.regexp_extract(F.decode(F.col("metadata.payload"), "UTF-8"), "pageId: (-?[0-9]+)", 1)
-    refers = F.regexp_extract(F.col("capture.refers_to"), "^urn:page:(-?[0-9]+)$", 1)
+    said = F.decode(F.col("metadata.payload"), "UTF-8")
+    page, refers = (F.regexp_extract(said, f"(?:^|\n){k}: (-?[0-9]+)", 1) for k in ("pageId", "refersToPageId"))
     return assembled.select(F.when(page != "", page.cast("long")).alias("page_id"), F.col("capture.payload_bytes").alias("payload_bytes"), F.col("capture.payload_digest").alias("payload_digest"), F.col("capture.warc_type").alias("record_type"), F.when(refers != "", refers.cast("long")).alias("refers_to"), F.col("capture.digest_ok").alias("digest_ok"), F.col("capture.target_uri").alias("url"))

@@ -109,3 +109,68 @@ def test_sql_says_the_same(spark):
     want = con.execute(f"SELECT sentences, licences, verdict, n_sentences FROM ({licences.scan_sql()}) ORDER BY doc_id").fetchall()
     assert [tuple(x) for x in found(spark, texts)] == want
     assert sum(1 for x in want if x[3]) > len(texts) // 2
+
+
+# --- headers as they stand in source files, expectations written by hand ---
+
+_CLAUSES = [
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+]
+_GRANT = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+_RIGHTS = "Copyright (c) 2015, Jane Doe. All rights reserved."
+_WRAPS = {"plain": ("", "", ""), "c": ("/*\n", " * ", "\n */"), "hash": ("", "# ", ""), "slash": ("", "// ", ""), "dash": ("", "-- ", "")}
+
+
+def _header(clauses, bullet, wrap):
+    marks = {"number": "1234", "letter": "abcd"}.get(bullet)
+    lines = [_RIGHTS, "", *_fold(_GRANT)]
+    for i, clause in enumerate(clauses):
+        mark = {"number": f"{i + 1}. ", "letter": f"{'abcd'[i]}) ", "none": ""}.get(bullet, f"{bullet} ") if marks or bullet != "none" else ""
+        lines += ["", *_fold(mark + clause)] if bullet == "none" else _fold(mark + clause)
+    head, each, tail = _WRAPS[wrap]
+    return head + "\n".join((each + line).rstrip() for line in lines) + tail
+
+
+def _fold(text, width=70):
+    out = [""]
+    for word in text.split(" "):
+        if len(out[-1]) + len(word) > width:
+            out.append("  " + word)
+        else:
+            out[-1] += (" " if out[-1].strip() else "") + word
+    return out
+
+
+@pytest.mark.parametrize("wrap", list(_WRAPS))
+def test_bsd_headers_with_reserved_rights(spark, wrap):
+    rows = [(n, bullet, _header(_CLAUSES[:n], bullet, wrap)) for n in (2, 3) for bullet in ("number", "letter", "none", "*", "-", "+", "o", "•")]
+    found = {(r.n, r.bullet): (r.licence.licences, r.licence.verdict) for r in licences.scan(spark.createDataFrame(rows, "n int, bullet string, text string")).collect()}
+    assert found == {(n, b): (f"BSD-{n}-Clause", "permissive") for n, b, _ in rows}
+
+
+LINES = {
+    "This file is MIT licensed.": ("MIT", "permissive"),
+    "This file is not MIT licensed.": ("", "none"),
+    "The parser is Apache-2.0 licensed, see NOTICE.": ("Apache-2.0", "permissive"),
+    "Licensed under the MIT License (see LICENSE). All rights reserved.": ("MIT", "permissive"),
+    "Copyright 2019 Somebody. All rights reserved.": ("proprietary", "restricted"),
+    "SPDX-License-Identifier: ISC\n// All rights reserved.": ("ISC", "permissive"),
+}
+
+
+def test_notes_by_hand(spark):
+    rows = list(enumerate(LINES))
+    got = {r.text: (r.licence.licences, r.licence.verdict) for r in licences.scan(spark.createDataFrame(rows, "i int, text string")).collect()}
+    assert got == LINES
+
+
+def test_headers_against_sql(spark):
+    texts = [_header(_CLAUSES[:n], b, w) for n in (2, 3) for b in ("number", "none", "*", "o") for w in _WRAPS] + list(LINES)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    want = sorted(con.execute(licences.scan_sql()).fetchall())
+    got = licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).select("doc_id", "licence.*")
+    assert sorted(tuple(r) for r in got.collect()) == want

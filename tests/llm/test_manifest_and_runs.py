@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessella.llm import merkle, periods, queries
+from tessella.llm import merkle, periods, queries, suffixes, warc
 
 DATA = "/root/testdata/sf0.001"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -215,3 +215,111 @@ def test_looped_texts(spark):
         a = g % len(w)
         p = 1 + (len(w) - a) // (3 + g % 8)
         assert r.out.split() == [w[i] if i < a else w[a + (i - a) % p] for i in range(len(w))]
+
+
+# --- repeated passages ---
+
+
+def expected_cut(rows, n):
+    """By row: (removed, runs, rest) of (id, text) pairs."""
+    first = {}
+    for i, text in rows:
+        raw = (text or "").encode()
+        for k in range(len(raw) - n + 1) if i is not None else ():
+            w = raw[k : k + n]
+            first[w] = min(first.get(w, i), i)
+    out = []
+    for i, text in rows:
+        raw = (text or "").encode()
+        gone = bytearray(len(raw))
+        for k in range(len(raw) - n + 1) if i is not None else ():
+            if first[raw[k : k + n]] < i:
+                gone[k : k + n] = b"\x01" * n
+        runs = sum(1 for k in range(len(raw)) if gone[k] and not (k and gone[k - 1]))
+        out.append((i, len(raw), sum(gone), runs, bytes(b for b, g in zip(raw, gone, strict=True) if not g)))
+    return out
+
+
+def passages(seed, count=60):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 8)))
+    shared = [" ".join(word() for _ in range(k)) for k in (5, 12, 20, 40)]
+    rows = [(i * 7 % 101, " ".join(rng.choice(shared) if rng.random() < 0.3 else word() for _ in range(rng.randrange(60)))) for i in range(count)]
+    rows += [(500, None), (501, ""), (502, "x" * 300), (503, "y" + "x" * 120 + "z"), (504, shared[3]), (505, shared[3]), (505, shared[3] + " tail"), (505, shared[3]), (None, shared[3]), (None, None), (506, "short")]
+    rows += [(700 + i, f"{word()} {shared[2]} {word()}") for i in range(30)]
+    return rows
+
+
+@pytest.mark.parametrize(("n", "hot"), [(50, 10_000), (50, 3), (8, 5), (2, 10_000)])
+def test_repeats_by_the_definition(spark, n, hot):
+    rows = passages(n + hot)
+    df = spark.createDataFrame([(i, t, 1.5) for i, t in rows], "doc_id long, text string, cut double").repartition(5)
+    got = suffixes.cut_repeats(df, n=n, hot=hot).select("doc_id", "cut.n_bytes", "cut.n_removed", "cut.n_spans", "cut.kept").collect()
+    key = lambda r: (r[0] is not None, r[0] or 0, bytes(r[4]), *r[1:4])
+    assert sorted([(*r[:4], bytes(r[4])) for r in got], key=key) == sorted(expected_cut(rows, n), key=key)
+    assert suffixes.cut_repeats(df.limit(0), n=n).count() == 0
+
+
+def test_repeats_query(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op11_suffix_repeats(spark, DATA).collect()}
+    assert got == {i: (a, b, c, hashlib.sha256(rest).hexdigest()) for i, a, b, c, rest in expected_cut(rows, 50)}
+    assert sum(v[1] > 0 for v in got.values()) > 10
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_transform_orders_all_suffixes(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        strings = [bytes(rng.choice(b"abc\x00\xff"[: rng.randrange(1, 6)]) for _ in range(rng.randrange(1, 12))) for _ in range(rng.randrange(1, 9))]
+        of, size, common = (x.tolist() for x in suffixes.transform(strings))
+        suffix = [strings[o][len(strings[o]) - z :] for o, z in zip(of, size, strict=True)]
+        assert suffix == sorted(suffix) and len(suffix) == sum(map(len, strings)) + len(strings)
+        for a, b, k in zip(suffix, suffix[1:], common[1:], strict=False):
+            assert a[:k] == b[:k] and (len(a) == k or len(b) == k or a[k] != b[k])
+
+
+def test_strings_cover_every_window_once():
+    rng = random.Random(9)
+    for n in (2, 5, 50):
+        texts = ["".join(rng.choice("ab") for _ in range(rng.choice([0, 1, n - 1, n, n + 1, 300]))).encode() for _ in range(9)]
+        at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        anchor, text, begin, windows = suffixes.anchored(np.frombuffer(b"".join(texts), np.uint8), at, n)
+        seen, key, whole = [], {}, b"".join(texts)
+        for a, t, b, w in zip(anchor.tolist(), text.tolist(), begin.tolist(), windows.tolist(), strict=True):
+            assert 0 < w <= suffixes.MOST
+            for j in range(b, b + w):
+                assert at[t] <= j and j + n <= at[t + 1]
+                assert key.setdefault(whole[j : j + n], a) == a
+                seen.append(j)
+        assert sorted(seen) == [j for t in range(9) for j in range(at[t], at[t + 1] - n + 1)]
+
+
+def test_revisits_refer_to_a_record_of_the_archives(spark, tmp_path):
+    """A reader of its own: gzip members, headers split at line ends, nothing of the library."""
+    import gzip
+
+    rows = [(i, f"https://a.org/{i}", "p" * 200 if i % 2 else f"page {i} " * 30) for i in range(20)] + [(1, "https://a.org/1", "p" * 200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write(warc.judge(pages), str(tmp_path / "w"))
+    ids, refers = [], []
+    for path in (tmp_path / "w").rglob("*.gz"):
+        for line in gzip.decompress(path.read_bytes()).decode().split("\r\n"):
+            name, _, value = line.partition(": ")
+            if name == "WARC-Record-ID":
+                ids.append(value)
+            if name == "WARC-Refers-To":
+                refers.append(value)
+    assert len(refers) == 9 and set(refers) <= set(ids)
+    got = warc.captures(warc.round_trip(pages)).collect()
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in got if r.page_id % 2) == sorted((i, "response" if i == 1 else "revisit", None if i == 1 else 1) for i, _, _ in rows if i % 2)
+
+
+def test_half_of_the_urls_null_spread_over_tasks(spark):
+    from tessella.llm import urls
+
+    rows = spark.range(4000).select(F.col("id").alias("page_id"), F.when(F.col("id") % 2 == 0, F.concat(F.lit("https://x.org/"), F.col("id").cast("string"))).alias("url"))
+    out = urls.filter_urls(rows.repartition(8), queries.URL_RULES)
+    sizes = [r["count"] for r in out.where("url is null" if "url" in out.columns else "host = ''").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) < 1000
+    assert {r.verdict for r in out.where("host = ''").select("verdict").distinct().collect()} <= {"allow", "block"}
