@@ -22,6 +22,7 @@ from .operators import packed as P
 from .operators import rasterops as R
 from .operators import resample as Z
 from .operators import runs as Runs
+from .operators import stencil as St
 from .operators import tiling as T
 from .plans import photographs, segment
 from .sources import headers, images, sinks
@@ -629,6 +630,28 @@ def upsample2_kernel(raster8):
     return R.upsample2_kernel(raster8.withColumn("c", F.lit(0)), _UP, [0.5]).withColumn("v", F.round("v", 6))
 
 
+_UP2 = [(dy, dx, ci, co, (1 + 2 * dy + dx - ci + 2 * co) / 8) for dy in (0, 1) for dx in (0, 1) for ci in (0, 1) for co in (0, 1)]
+_MIX2 = [(0, 0, 0.5), (1, 0, -0.25), (0, 1, 0.75), (1, 1, 1.0), (1, 2, -0.5)]
+
+
+_BIASED = "s + CASE c WHEN 0 THEN 0.5 ELSE -0.25 END"
+
+
+@_query(f"""WITH conv AS (SELECT image_id, y, x, c, greatest({_BIASED}, 0) AS v FROM (SELECT image_id, y - dy AS y, x - dx AS x, co AS c, sum(v * CAST(w AS DOUBLE)) AS s
+  FROM raster8, {_values(_KERNEL3, "dy, dx, ci, co, w")} GROUP BY ALL) a WHERE y BETWEEN 0 AND 7 AND x BETWEEN 0 AND 7
+), pool AS (SELECT image_id, y // 2 AS y, x // 2 AS x, c, max(v) AS v FROM conv GROUP BY ALL
+), up AS (SELECT image_id, y, x, c, {_BIASED} AS v FROM (SELECT image_id, 2 * y + dy AS y, 2 * x + dx AS x, co AS c, sum(v * CAST(w AS DOUBLE)) AS s FROM pool JOIN {_values(_UP2, "dy, dx, ci, co, w")} ON c = ci GROUP BY ALL) a
+), conv2 AS (SELECT image_id, y, x, c, {_BIASED} AS v FROM (SELECT image_id, y - dy AS y, x - dx AS x, co AS c, sum(v * CAST(w AS DOUBLE)) AS s
+  FROM up JOIN {_values(_KERNEL3, "dy, dx, ci, co, w")} ON c = ci GROUP BY ALL) a WHERE y BETWEEN 0 AND 7 AND x BETWEEN 0 AND 7)
+SELECT image_id, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x, CAST(c AS INTEGER) AS c, round(s + CASE c WHEN 0 THEN 1.0 WHEN 1 THEN 0.0 ELSE -1.0 END, 6) AS v
+FROM (SELECT image_id, y, x, co AS c, sum(v * CAST(w AS DOUBLE)) AS s FROM conv2 JOIN {_values(_MIX2, "ci, co, w")} ON c = ci GROUP BY ALL) m""", "raster8")
+def stencil_chain(raster8):
+    """Convolution, activation, pooling, upsampling, convolution and mixing in one exchange; tiles of three, so every frame has edges."""
+    chain = [St.conv3(_KERNEL3, _BIAS2), St.relu(), St.pool2(), St.upsample2(_UP2, _BIAS2), St.conv3([(*k[:2], 0, *k[3:]) for k in _KERNEL3], _BIAS2), St.mix(_MIX2, [1.0, 0.0, -1.0])]
+    tiles = P.pack(raster8, tile=3).withColumns({"frame_h": F.lit(8), "frame_w": F.lit(8)})
+    return St.to_values(St.stencil_chain(tiles, chain, 3)).withColumn("v", F.round("v", 6))
+
+
 # --- masks as runs ---
 
 
