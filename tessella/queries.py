@@ -438,12 +438,28 @@ b AS (SELECT epoch, split, batch_id, sum(loss) / sum(n) AS loss, avg({_IOU}) AS
 SELECT epoch, round(avg(loss) FILTER (split = 'train'), 6) AS train_loss, round(avg(loss) FILTER (split = 'val'), 6) AS val_loss, round(avg(iou) FILTER (split = 'val'), 6) AS iou,
  round((SELECT avg({_DICE}) FROM i WHERE i.epoch = b.epoch AND split = 'val'), 6) AS dice FROM b GROUP BY epoch""", "epoch_scores")
 def epoch_report(scores):
+    return _rounded(M.epoch_report(_epoch_batches(scores)))
+
+
+def _epoch_batches(scores):
     fifth = F.floor(F.col("image_id") / 5)
     batch = F.floor(F.when(F.col("split") == "val", fifth).otherwise(F.col("image_id") - fifth) / BATCH).cast("long")
-    report = M.epoch_report(scores.withColumn("batch_id", batch))
+    return scores.withColumn("batch_id", batch)
+
+
+def _rounded(report):
     return report.select("epoch", *[F.round(c, 6).alias(c) for c in ("train_loss", "val_loss", "iou", "dice")])
 
 
+@_query(_ORACLE["epoch_report"])
+def metric_state(spark, sf_dir):
+    """The same report from kept state: two updates that overlap, one repeated, and a state merged into it."""
+    scored = _epoch_batches(fixture(spark, sf_dir, "epoch_scores"))
+    state, other = (M.MetricState(spark, session.shared_path(spark, n)).reset() for n in ("state", "other"))
+    state.update(scored.where("image_id % 2 = 0")).update(scored.where("image_id % 3 = 0")).update(scored.where("image_id % 2 = 0"))
+    return _rounded(state.merge(other.update(scored.where("image_id % 3 > 0"))).compute())
+
+
 @_query("SELECT image_id, y // 2 AS y, x // 2 AS x, 0 AS c, max(v) AS v FROM raster8 GROUP BY ALL", "raster8")
 def max_pool(raster8):
     return R.max_pool(raster8.withColumn("c", F.lit(0)), 8, 8)
@@ -781,6 +797,14 @@ def train_val_loop(raster8):
     return Model.train_val_loop(rows.where("image_id % 5 <> 4"), rows.where("image_id % 5 = 4").drop("logit").withColumn("logit", F.col("v") / 255.0 - 0.5), ["v"])[1]
 
 
+@_query(None, "raster8")
+def train_batches(raster8):
+    """Batches of a hundred and twenty-eight images."""
+    rows = raster8.withColumns({"batch_id": F.floor(F.col("image_id") / 128).cast("long"), "share": F.col("v") / 255.0})
+    folder = session.shared_path(raster8.sparkSession, "training")
+    return Model.train_batches(rows.where("image_id % 5 <> 4"), rows.where("image_id % 5 = 4"), ["share", "logit"], folder, 3, 0.05)[1]
+
+
 # --- sinks, read back ---
 
 
