@@ -8,6 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_MADE: list[str] = []
 ROOT = str(Path(__file__).resolve().parents[1])
 
 
@@ -29,7 +30,19 @@ def shared_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tessella-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def drop_shared(spark: SparkSession, since: int = 0) -> int:
+    """Delete the folders that this driver has got from ``shared_path``, but for the first ``since``: once no result that is read
+    from them is needed any more. Gives back how many are kept, for a later call."""
+    for path in _MADE[since:]:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    del _MADE[since:]
+    return len(_MADE)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
+import shutil
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,17 +32,23 @@ def png(data: bytes, height: int, width: int, channels: int) -> bytes:
 
 @dataclass
 class _Written(WriterCommitMessage):
+    attempt: int
     n: int
 
 
 class _FileWriter(DataSourceArrowWriter):
-    """Each task writes a file under a temporary name and gives it its own at once: a name has one content, so a second
-    attempt changes nothing, and the driver hears of counts alone. A failed attempt's temporary file goes with it.
+    """Tasks write below a hidden folder of the run, each attempt in its own; the commit moves the files of the attempts that
+    count into place and then publishes the run in ``_manifest.json``. What a broken run has written is never seen.
 
-    The folder must be mounted on all executors, as any shared storage reached by path."""
+    With ``overwrite``, the commit takes out what the folder had before; otherwise only files of the same name are replaced. The
+    folder must be mounted on the driver and all executors, as any shared storage reached by path."""
 
-    def __init__(self, path: str):
-        self.path = path.removeprefix("file://")
+    def __init__(self, path: str, overwrite: bool):
+        self.path, self.overwrite, self.run = path.removeprefix("file://"), overwrite, uuid.uuid4().hex
+
+    @property
+    def stage(self) -> str:
+        return f"{self.path}/_staging-{self.run}"
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         from pyspark import TaskContext
@@ -47,28 +56,53 @@ class _FileWriter(DataSourceArrowWriter):
         attempt, n = TaskContext.get().taskAttemptId(), 0
         for batch in batches:
             for name, data in zip(batch.column("name").to_pylist(), batch.column("data"), strict=True):
-                folder, _, last = f"{self.path}/{name}".rpartition("/")
-                os.makedirs(folder, exist_ok=True)
-                draft = f"{folder}/.{last}.{attempt}"
-                try:
-                    with open(draft, "wb") as f:
-                        f.write(data.as_buffer())
-                    os.replace(draft, f"{folder}/{last}")
-                finally:
-                    if os.path.exists(draft):
-                        os.remove(draft)
+                path = f"{self.stage}/{attempt}/{name}"
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                with open(path, "wb") as f:
+                    f.write(data.as_buffer())
                 n += 1
-        return _Written(n)
+        return _Written(attempt, n)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
-        """Nothing is left to do: whole files are there already."""
+        os.makedirs(self.path, exist_ok=True)
+        if self.overwrite:
+            for entry in os.scandir(self.path):
+                if not entry.name.startswith("_staging-"):
+                    shutil.rmtree(entry.path) if entry.is_dir(follow_symlinks=False) else os.remove(entry.path)
+        files = 0
+        for message in messages:
+            top = f"{self.stage}/{message.attempt}" if isinstance(message, _Written) else ""
+            for folder, _, names in os.walk(top) if top else ():
+                target = os.path.normpath(f"{self.path}/{os.path.relpath(folder, top)}")
+                os.makedirs(target, exist_ok=True)
+                for name in names:
+                    os.replace(f"{folder}/{name}", f"{target}/{name}")
+                files += len(names)
+        draft = f"{self.stage}.json"
+        with open(draft, "w") as f:
+            json.dump({"run": self.run, "files": files}, f)
+        os.replace(draft, f"{self.path}/{MANIFEST}")
+        shutil.rmtree(self.stage, ignore_errors=True)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        """Whole files stay; a later run writes the same."""
+        shutil.rmtree(self.stage, ignore_errors=True)
+
+
+#: Names the last run that was published in a folder of files, and how many files it wrote.
+MANIFEST = "_manifest.json"
+
+
+def published(folder: str) -> dict[str, object] | None:
+    """The last run published in a folder of files, or None."""
+    try:
+        with open(f"{folder.removeprefix('file://')}/{MANIFEST}") as f:
+            return json.load(f)
+    except FileNotFoundError:
+        return None
 
 
 class FileSource(DataSource):
-    """``df.write.format("tessella_files").mode("append").save(folder)`` for rows (name, data), a file each."""
+    """``df.write.format("tessella_files").mode("append").save(folder)`` for rows (name, data), a file each; or ``overwrite``."""
 
     @classmethod
     def name(cls) -> str:
@@ -78,17 +112,17 @@ class FileSource(DataSource):
         return "name string, data binary"
 
     def writer(self, schema, overwrite: bool) -> _FileWriter:
-        return _FileWriter(self.options["path"])
+        return _FileWriter(self.options["path"], overwrite)
 
 
-def write_files(rows: DataFrame, folder: str) -> None:
-    """Rows (name, data) as files; a name may have folders in it."""
+def write_files(rows: DataFrame, folder: str, mode: str = "append") -> None:
+    """Rows (name, data) as files; a name may have folders in it. ``mode``: append, or overwrite the folder's files."""
     attach(rows.sparkSession)
     rows.sparkSession.dataSource.register(FileSource)
-    rows.select("name", "data").write.format("tessella_files").mode("append").save(folder)
+    rows.select("name", "data").write.format("tessella_files").mode(mode).save(folder)
 
 
-def write_png(frames: DataFrame, folder: str) -> None:
+def write_png(frames: DataFrame, folder: str, mode: str = "append") -> None:
     """Frames (name, height, width, channels, data as packed rows) as ``<name>.png``."""
     attach(frames.sparkSession)
 
@@ -97,7 +131,7 @@ def write_png(frames: DataFrame, folder: str) -> None:
         return pa.array([png(x.as_buffer(), *size) for x, size in zip(data, sizes, strict=True)], pa.binary())
 
     file = F.arrow_udf(run, "binary")(F.col("data"), F.col("height"), F.col("width"), F.col("channels"))
-    write_files(frames.select(F.concat("name", F.lit(".png")).alias("name"), file.alias("data")), folder)
+    write_files(frames.select(F.concat("name", F.lit(".png")).alias("name"), file.alias("data")), folder, mode)
 
 
 def pack_pixels(pixels: DataFrame, value: str = "v", key: str = "image_id") -> DataFrame:
