@@ -105,12 +105,17 @@ def character_model(df: DataFrame, text_col: str = "text") -> np.ndarray:
     return np.log(p).astype(np.float32).ravel()
 
 
+#: Longest span whose states are walked one by one; longer ones have many states and go through arrays.
+SHORT = 24
+
+
 class Restorer:
     """Restores disguised places of a text under a character model."""
 
     def __init__(self, model: np.ndarray):
         self.model = memoryview(np.ascontiguousarray(model, np.float32))
-        self.decode = lru_cache(maxsize=50_000)(self._decode)
+        self.table = np.ascontiguousarray(model, np.float32).reshape((SYMBOLS,) * 4)
+        self.decode = lru_cache(maxsize=50_000)(self._read)
 
     def _options(self, c: str, before: str, drawn: bool) -> list[tuple[int, str, float]]:
         repeat = (_DROP_DRAWN if drawn else _DROP_DOUBLE) if c == before else None
@@ -148,6 +153,71 @@ class Restorer:
             path = path[1]
         return "".join(reversed(letters))
 
+    def _read(self, span: str) -> str:
+        return self._decode(span) if len(span) <= SHORT else self._decode_dense(span)
+
+    def _decode_dense(self, span: str) -> str:
+        """``_decode`` for long spans: a step is one maximum over an array of all states of the symbols that the span can have.
+
+        Scores are kept at the beginning of blocks, and a block's choices are made again on the way back, so memory grows with the
+        square root of the span's length."""
+        before, kinds, steps = "", {}, []
+        run = [len(m[0]) for m in _run.finditer(span) for _ in m[0]]
+        for c, n in zip(span, run, strict=True):
+            key = (c, c == before, n > 2)
+            if key not in kinds:
+                kinds[key] = self._options(c, before, n > 2)
+            steps.append(key)
+            before = c
+        kinds["end"] = [(0, "", 0.0)]
+        steps.append("end")
+        alphabet = sorted({0, *(s for o in kinds.values() for s, _, _ in o if s >= 0)})
+        sub = self.table[np.ix_(*[alphabet] * 4)].astype(np.float64)
+        m, plans = len(alphabet), {}
+        for key, options in kinds.items():
+            best: dict[int, tuple[float, str]] = {}
+            for symbol, letter, cost in options:
+                if symbol >= 0 and (symbol not in best or best[symbol][0] < cost):
+                    best[symbol] = (cost, letter)
+            at = [alphabet.index(s) for s in best]
+            drops = [cost for symbol, _, cost in options if symbol < 0]
+            letters = dict(zip(at, [letter for _, letter in best.values()], strict=True))
+            plans[key] = (np.array(at), sub[:, :, :, at] + np.array([cost for cost, _ in best.values()]), max(drops, default=None), letters)
+
+        def step(score: np.ndarray, key) -> tuple[np.ndarray, np.ndarray]:
+            at, costs, drop, _ = plans[key]
+            new = np.full((m, m, m), -np.inf) if drop is None else score + drop
+            back = np.full((m, m, m), 255, np.uint8)
+            met = score[:, :, :, None] + costs
+            first = met.argmax(axis=0)
+            top = np.take_along_axis(met, first[None], axis=0)[0]
+            here = new[:, :, at]
+            better = top > here
+            new[:, :, at] = np.where(better, top, here)
+            back[:, :, at] = np.where(better, first, 255)
+            return new, back
+
+        size = math.isqrt(8 * len(steps)) + 1
+        score, starts = np.full((m, m, m), -np.inf), []
+        score[0, 0, 0] = 0.0
+        for i, key in enumerate(steps):
+            if i % size == 0:
+                starts.append(score)
+            score = step(score, key)[0]
+        state = tuple(int(v) for v in np.unravel_index(score.argmax(), score.shape))
+        out: list[str] = []
+        for b in range(len(starts) - 1, -1, -1):
+            score, backs, block = starts[b], [], steps[b * size : (b + 1) * size]
+            for key in block:
+                score, back = step(score, key)
+                backs.append(back)
+            for key, back in zip(reversed(block), reversed(backs), strict=True):
+                code = int(back[state])
+                if code != 255:
+                    out.append(plans[key][3][state[2]])
+                    state = (code, state[0], state[1])
+        return "".join(reversed(out))
+
     def restore(self, text: str) -> str:
         """Lower-cased text with its disguised places read as the model reads them."""
         low = text.lower()
@@ -184,7 +254,7 @@ class Restorer:
                 i += 1
             if a >= b:
                 continue
-            out += [low[end:a], " ", self.decode(low[a:b]) if b - a <= 256 else self._decode(low[a:b]), " "]
+            out += [low[end:a], " ", self.decode(low[a:b]) if b - a <= 256 else self._read(low[a:b]), " "]
             end = b
         return "".join(out) + low[end:]
 

@@ -588,6 +588,43 @@ def test_decoding_long_spans(restorer):
     assert len(restorer.restore("a1" * 20_000 + " " + "i*" * 3000)) > 10_000
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_dense_decoding_is_the_same(restorer, seed):
+    """The arrays' reading of a span has the same likelihood as that of the walk over single states."""
+    import random
+
+    def score(span, reading):
+        run, before, live = [len(m[0]) for m in re.finditer(r"(.)\1*", span) for _ in m[0]], "", {("", 0): 0.0}
+        for c, n in [*zip(span, run, strict=True), ("", 1)]:
+            after = {}
+            for (text, state), s in live.items():
+                for symbol, letter, cost in restorer._options(c, before, n > 2) if c else [(0, "", 0.0)]:
+                    grown, to, total = text + letter, state, s + cost
+                    if symbol >= 0:
+                        total += restorer.model[state * toxicity.SYMBOLS + symbol]
+                        to = (state * toxicity.SYMBOLS + symbol) % toxicity.SYMBOLS**3
+                    if reading.startswith(grown) and after.get((grown, to), -1e9) < total:
+                        after[grown, to] = total
+            live, before = after, c
+        return max(s for (text, _), s in live.items() if text == reading)
+
+    rng = random.Random(seed)
+    for _ in range(12):
+        span = "".join(rng.choice("a1d0i$e33 .-o*" if seed % 2 else "ab10$ ") for _ in range(rng.randrange(1, 40)))
+        assert math.isclose(score(span, restorer._decode_dense(span)), score(span, restorer._decode(span)), abs_tol=1e-6)
+
+
+def test_a_hundred_thousand_digits(restorer):
+    import random
+    import time
+
+    rng = random.Random(2)
+    text = "a" + "".join(rng.choice("0123456789") for _ in range(100_000)) + "b"
+    began = time.process_time()
+    assert restorer.restore(text).strip().startswith("a")
+    assert time.process_time() - began < 60
+
+
 @pytest.mark.parametrize("seen,word", [("an 1d10t!", "idiot"), ("such a m0r0n", "moron"), ("i d i o t", "idiot"), ("l-o-s-e-r", "loser"), ("stuuupid", "stupid"), ("tr@sh", "trash"), ("w0rthl3ss", "worthless"), ("clоwn", "clown"), ("p.a.t.h.e.t.i.c", "pathetic"), ("st\u200bupid", "stupid"), ("id*ot", "idiot")])
 def test_restoring(restorer, seen, word):
     assert word in restorer.words(seen)
