@@ -374,19 +374,19 @@ def cut_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", i
 
 
 def cut_sql(n: int = N) -> str:
-    """Bytes, removed bytes and runs, and the digest of the rest in DuckDB, over ``documents``; each byte is a row."""
+    """Bytes, removed bytes and runs, and the digest of the rest in DuckDB, over ``documents``; a row for each window."""
     return f"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS size FROM documents
-), w AS (SELECT doc_id, unnest(range(size - {n - 1})) AS i, h FROM d WHERE size >= {n}
-), s AS (SELECT doc_id, i, substr(h, 2 * i + 1, {2 * n}) AS s FROM w
-), f AS (SELECT s, min(doc_id) AS first FROM s GROUP BY s
+), o AS (SELECT doc_id, least(400, size - {n - 1} - base) AS many, base, piece FROM (
+       SELECT doc_id, size, unnest(range(0, size - {n - 1}, 400)) AS base, unnest([substr(h, 2 * j + 1, {2 * (399 + n)}) FOR j IN range(0, size - {n - 1}, 400)]) AS piece FROM d WHERE size >= {n}) q
+), s AS (SELECT doc_id, base + unnest(range(many)) AS i, unnest([substr(piece, 2 * j + 1, {2 * n}) FOR j IN range(many)]) AS s FROM o
+), f AS (SELECT s, min(doc_id) AS first FROM s GROUP BY s HAVING min(doc_id) < max(doc_id)
 ), m AS (SELECT doc_id, i FROM s JOIN f USING (s) WHERE first < doc_id
-), b AS (SELECT doc_id, size, unnest(range(size)) AS i, h FROM d
-), c AS (SELECT b.doc_id, b.i, substr(h, 2 * b.i + 1, 2) AS byte,
-           coalesce(max(m.i) OVER (PARTITION BY b.doc_id ORDER BY b.i) > b.i - {n}, false) AS gone
-         FROM b LEFT JOIN m ON m.doc_id = b.doc_id AND m.i = b.i
-), e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM c
-), k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans,
-           sha256(unhex(coalesce(string_agg(byte, '' ORDER BY i) FILTER (NOT gone), ''))) AS kept_sha256 FROM e GROUP BY doc_id)
-SELECT d.doc_id, size AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, coalesce(kept_sha256, sha256('')) AS kept_sha256
-FROM d LEFT JOIN k ON k.doc_id = d.doc_id"""
+), g AS (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= {n} THEN 0 ELSE 1 END AS begins FROM m
+), r AS (SELECT *, sum(begins) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g
+), p AS (SELECT doc_id, run, min(i) AS a, max(i) + {n} AS b FROM r GROUP BY ALL
+), k AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b FROM p GROUP BY doc_id
+), e AS (SELECT d.doc_id, h, size, n_removed, n_spans, list_prepend(0, coalesce(b, [])) AS x, list_append(coalesce(a, []), size) AS y FROM d LEFT JOIN k ON k.doc_id = d.doc_id)
+SELECT doc_id, size AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(array_to_string([substr(h, 2 * x[j] + 1, 2 * (y[j] - x[j])) FOR j IN range(1, len(x) + 1)], ''))) AS kept_sha256
+FROM e"""
