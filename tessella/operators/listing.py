@@ -130,21 +130,47 @@ def latest_run(folders: DataFrame, now: str, folder_col: str = "folder") -> Data
     return runs.agg(F.min_by("folder", F.struct("diff", "folder")).alias("folder"), F.min("diff").alias("diff"))
 
 
+def last_and_next(df: DataFrame, order: Sequence[str | Column], value: Column) -> DataFrame:
+    """``df`` with ``last`` and ``next``: the nearest value that isn't null, at or before a row and at or behind it in a total order.
+
+    Rows are range-partitioned and sorted once into shared storage. Each partition looks at its own rows; what it hands on to the
+    others is its first and last value, two for a partition, which the driver carries over those that have none."""
+    rows = materialise(df.withColumn("_v", value).orderBy(*order).withColumn("_m", F.monotonically_increasing_id()), "sorted")
+    rows = rows.withColumn("_p", F.shiftright("_m", 33))
+    some = rows.where("_v IS NOT NULL").groupBy("_p").agg(F.min_by("_v", "_m").alias("first"), F.max_by("_v", "_m").alias("last"))
+    ends = {r["_p"]: r for r in some.collect()}
+    parts = sorted(r[0] for r in rows.select("_p").distinct().collect())
+    before, behind, carry = {}, {}, None
+    for p in parts:
+        before[p] = carry
+        carry = ends[p]["last"] if p in ends else carry
+    carry = None
+    for p in reversed(parts):
+        behind[p] = carry
+        carry = ends[p]["first"] if p in ends else carry
+    kind = dict(rows.dtypes)["_v"]
+    handed = rows.sparkSession.createDataFrame([(p, before[p], behind[p]) for p in parts], f"_p long, _before {kind}, _behind {kind}")
+    own = Window.partitionBy("_p").orderBy("_m")
+    last = F.last("_v", True).over(own.rowsBetween(Window.unboundedPreceding, 0))
+    following = F.first("_v", True).over(own.rowsBetween(0, Window.unboundedFollowing))
+    seen = rows.withColumns({"last": last, "next": following}).join(F.broadcast(handed), "_p")
+    return seen.withColumns({"last": F.coalesce("last", "_before"), "next": F.coalesce("next", "_behind")}).drop("_p", "_m", "_v", "_before", "_behind")
+
+
 def nearest_run(requests: DataFrame, folders: DataFrame, at_col: str = "ts") -> DataFrame:
     """(at_col, folder, diff) for each distinct time asked for: the run nearest by floored days, ties to the smallest name.
 
     Floored days count from the first midnight not before the request, so requests reduce to days; days and run dates are
-    one row per day of history, merged in one sorted pass (an as-of look back and ahead) instead of being compared in pairs."""
+    one row per day of history, merged in one sorted pass over all partitions (an as-of look back and ahead) instead of being compared in pairs."""
     midnight = F.date_trunc("day", F.col(at_col))
     day = F.when(F.col(at_col) == midnight, midnight.cast("date")).otherwise(F.date_add(midnight.cast("date"), 1))
     asked = requests.select(F.col(at_col)).distinct().withColumn("day", day)
     runs = scan_runs(folders).groupBy(F.col("run_date").alias("day")).agg(F.min("folder").alias("name"))
-    days = asked.select("day").distinct().withColumn("name", F.lit(None).cast("string")).unionByName(runs).withColumn("at", F.when(F.col("name").isNotNull(), F.col("day")))
-    back = Window.orderBy("day", F.col("name").isNull()).rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.orderBy(F.desc("day"), F.col("name").isNull()).rowsBetween(Window.unboundedPreceding, 0)
-    both = days.select("day", "name", F.last("at", True).over(back).alias("ba"), F.last("name", True).over(back).alias("bn"), F.last("at", True).over(ahead).alias("aa"), F.last("name", True).over(ahead).alias("an"))
+    days = asked.select("day").distinct().withColumn("name", F.lit(None).cast("string")).unionByName(runs)
+    seen = last_and_next(days, ["day", F.col("name").isNull()], F.when(F.col("name").isNotNull(), F.struct("day", "name")))
+    both = seen.select("day", "name", *[F.col(c)[f].alias(a) for c, f, a in (("last", "day", "ba"), ("last", "name", "bn"), ("next", "day", "aa"), ("next", "name", "an"))])
     gap_b, gap_a = F.datediff("day", "ba"), F.datediff("aa", "day")
-    take_b = F.col("aa").isNull() | (gap_b < gap_a) | ((gap_b == gap_a) & (F.col("bn") <= F.col("an")))
+    take_b = F.col("aa").isNull() | F.coalesce(gap_b == 0, F.lit(False)) | (gap_b < gap_a) | ((gap_b == gap_a) & (F.col("bn") <= F.col("an")))
     best = both.where("name is null").select("day", F.when(take_b, F.col("bn")).otherwise(F.col("an")).alias("folder"), F.when(take_b, gap_b).otherwise(gap_a).cast("long").alias("diff"))
     return asked.join(best, "day").select(at_col, "folder", "diff")
 
