@@ -268,7 +268,7 @@ def test_segmenting_files(spark, tmp_path):
         assert [x.image_id for x in r] == [1] and bytes(r[0].data) == a.astype(np.uint8).tobytes()
 
 
-def test_fit_against_newton_steps(spark):
+def test_fit_against_newton_steps(spark, tmp_path):
     """Coefficients, losses of every epoch, and a saved model, against plain numpy."""
     from pyspark.ml.classification import LogisticRegressionModel
 
@@ -290,7 +290,7 @@ def test_fit_against_newton_steps(spark):
     z = design @ w
     assert abs(got[12].train_loss - np.mean(np.log1p(np.exp(-np.abs(z))) + np.maximum(z, 0) - z * y)) < 1e-5
     assert abs(got[12].val_loss - got[12].train_loss) < 1e-5 and got[1].train_loss > got[12].train_loss
-    path = sinks.sink_model(last, "/tmp/tessella-model-" + str(rng.integers(1 << 40)), "2024-01-15")
+    path = sinks.sink_model(last, str(tmp_path / "model"), "2024-01-15")
     again = LogisticRegressionModel.load(path)
     assert again.coefficients == last.coefficients and again.intercept == last.intercept
 
