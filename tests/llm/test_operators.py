@@ -883,7 +883,7 @@ FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
     rows = [(1, mit), (2, "Text. Released under the MIT License.\nAll rights reserved."), (3, None), (4, "licensed to kill."), (5, "x\nlicensed UNDER cc by-nc 4.0.")]
     got = {r.id: r.licence for r in licences.scan(spark.createDataFrame(rows, "id int, text string").withColumn("licence", F.lit("clash"))).collect()}
     assert got[1].licences == "MIT" and got[1].sentences == "mit_title mit_grant as_is"
-    assert got[2].licences == "MIT,proprietary" and got[2].verdict == "restricted"
+    assert got[2].licences == "MIT" and got[2].verdict == "permissive"  # reserved rights say nothing beside a licence
     assert got[3].n_sentences == 0 and got[4].verdict == "none" and got[5].licences == "CC-BY-NC-4.0"
 
 
