@@ -1,12 +1,17 @@
-"""Near copies by the overlap of word shingles, exactly: every pair whose similarity (Jaccard) is 0.8 or more is linked.
+"""Near copies by SimHash, checked exactly and made whole: every pair of a similarity (Jaccard) of 0.8 or more is linked.
 
-A text is the set of its five-word shingles, as 64-bit hashes. All sets are put in one order, rare shingles first (by a table
-of counts; any order is right, a rare one is quick). Of two sets that share enough, the first shared shingle lies in a short
-prefix of each, so an equality join over prefixes finds all candidates; sizes and places rule most of them out, and
-the whole sets of the rest are compared. Nothing is left to chance but a collision of 64-bit hashes.
+A text is the set of its five-word shingles, as 64-bit hashes; equal sets are one set from the start. The work:
 
-Equal sets are one set from the start. A crowded prefix shingle first links its sets to one of them; only if that leaves
-several classes, blocks of its sets are met in pairs, and each pair reports a spanning forest of its links between classes.
+1. Each set's SimHash. Fingerprints at four or fewer differing bits are found by segments with one deleted bit (``simhash.links``);
+   the whole sets of these pairs are compared, and those that are alike make the first classes.
+2. Four bits of 64 hold most pairs that differ by little, but not those near the limit of 0.8. So all sets are put in one
+   order, rare shingles first (by a table of counts; any order is right, a rare one is quick). Of two sets that share enough, the
+   first shared shingle lies in a short prefix of each, and the prefixes have a certain number in common; an equality join
+   finds these pairs, and those that step 1 left in different classes are compared whole.
+3. A crowded prefix shingle doesn't list its pairs. It links its sets to one of them in step 1; only if several classes are left after
+   step 2, blocks of its sets are met in pairs, and each pair of blocks reports a spanning forest of its links between classes.
+
+So no link is missed but by a collision of 64-bit hashes, and none is made without the exact check.
 
 Defined cases: a null text counts as empty, and empty texts are equal; a text of fewer than five words is one shingle; only
 A-Z is lowered and only ASCII space splits; the class id is the smallest non-null id; other columns are not read.
@@ -24,8 +29,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import attach, give_back, join_counted, materialise, settle, with_ids
-from .simhash import classes
+from .common import attach, give_back, join_counted, materialise, with_ids
+from .simhash import MAX_BITS, classes
+from .simhash import links as near_prints
 
 SHINGLE_WORDS = 5
 #: A prefix shingle of more different sets than this doesn't list its pairs,
@@ -35,6 +41,8 @@ BLOCK = 512
 #: Cells of the table of counts, in chunks, and bits of the table of wanted sets.
 CELLS, CHUNK, WANTED = 1 << 20, 1 << 12, 1 << 24
 _ROWS = 1 << 17
+#: Shingles whose bits are counted in one go.
+_PRINTED = 1 << 15
 
 
 def shingles(text: str | None, words: int = SHINGLE_WORDS) -> np.ndarray:
@@ -56,33 +64,48 @@ def _key(found: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes())).astype(np.int64))
 
 
+#: The key of the set without shingles.
+EMPTY = _key(np.empty(0, np.uint64))
+
+
+def fingerprint(found: np.ndarray) -> int:
+    """The set's SimHash, as a signed 64-bit number: the bits that more than half of its shingles have."""
+    ones = np.zeros(64, np.int64)
+    for i in range(0, len(found), _PRINTED):
+        ones += np.unpackbits(found[i : i + _PRINTED].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int32)
+    return int.from_bytes(np.packbits(2 * ones > len(found)).tobytes(), "big", signed=True)
+
+
 def _alike(na, nb, shared):
     """Whether sets of these sizes that share so many have a similarity of 0.8: in whole numbers, 9 s >= 4 (a + b)."""
     return 9 * shared >= 4 * (na + nb)
 
 
 def _prints(df: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """A row (id_col, key) for each text, and rows (chunk, counts) of each task's shingle counts."""
+    """A row (id_col, key, fp) for each text, and rows (chunk, counts) of each task's shingle counts."""
+
+    names = ["id", "key", "fp", "chunk", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, np.int64)
         kind = None
         for batch in batches:
-            kind, keys = batch.column(0).type, []
+            kind, keys, fps = batch.column(0).type, [], []
             for x in batch.column(1):
                 found = shingles(x.as_py(), words)
                 np.add.at(counts, (found & np.uint64(CELLS - 1)).astype(np.int64), 1)
                 keys.append(_key(found))
+                fps.append(fingerprint(found))
             none = pa.nulls(len(keys), pa.int32()), pa.nulls(len(keys), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), *none], ["id", "key", "chunk", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(fps, pa.int64()), *none], names)
             del batch
             give_back(None)
         if kind is not None:
             parts = [zlib.compress(x.tobytes(), 1) for x in counts.reshape(-1, CHUNK)]
-            none = pa.nulls(len(parts), kind), pa.nulls(len(parts), pa.int64())
-            yield pa.RecordBatch.from_arrays([*none, pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], ["id", "key", "chunk", "counts"])
+            none = pa.nulls(len(parts), kind), pa.nulls(len(parts), pa.int64()), pa.nulls(len(parts), pa.int64())
+            yield pa.RecordBatch.from_arrays([*none, pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], names)
 
-    schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), T.StructField("key", T.LongType()), T.StructField("chunk", T.IntegerType()), T.StructField("counts", T.BinaryType())])
+    schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), T.StructField("key", T.LongType()), T.StructField("fp", T.LongType()), T.StructField("chunk", T.IntegerType()), T.StructField("counts", T.BinaryType())])
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
@@ -168,10 +191,41 @@ def _sets(df: DataFrame, text_col: str, words: int, wanted: DataFrame) -> DataFr
     return df.select(F.col(text_col).alias("text")).mapInArrow(run, "key long, hashes binary").join(wanted, "key", "left_semi").dropDuplicates(["key"])
 
 
-def _fits(x: str, y: str) -> Column:
-    """Whether two sets can be alike if the shingle at these places is the first one that they share."""
-    n, m, p, q = F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.pos"), F.col(f"{y}.pos")
-    return _alike(n, m, F.least(n, m)) & _alike(n, m, F.least(n - p, m - q))
+def fingerprint_pairs(each: DataFrame, most: int = MAX_BITS) -> DataFrame:
+    """(a, b): pairs of the sets of ``each`` (key, fp) whose fingerprints differ by ``most`` bits or fewer, enough to join them.
+
+    Sets with one fingerprint are paired with the first of them, which also stands for them in the pairs of near fingerprints."""
+    named = materialise(each.where(F.col("key") != EMPTY).groupBy("fp").agg(F.min("key").alias("own"), F.count("*").alias("n")), "fingerprints")
+    within = join_counted(each.where(F.col("key") != EMPTY).select("fp", "key"), named, "fp", "n").where("own < key").select(F.col("own").alias("a"), F.col("key").alias("b"))
+    near = near_prints(named.select("fp"), most)
+    own = lambda c: named.select(F.col("fp").alias(c), F.col("own").alias(f"own_{c}"))
+    between = near.join(own("a"), "a").join(own("b"), "b").select(F.least("own_a", "own_b").alias("a"), F.greatest("own_a", "own_b").alias("b"))
+    return within.unionByName(between)
+
+
+def prefix_pairs(few: DataFrame, crowded: DataFrame | None = None) -> DataFrame:
+    """(a, b): the pairs of sets of ``few`` (tok, key, n, pos) that can be alike by their sizes and by what their prefixes share.
+
+    Up to where the first of two prefixes ends, all that the sets share is in both; so the pair shares at most that and what the
+    longer rest holds. Of the shingles in ``crowded``, which list no pairs, all may be shared."""
+    n, m, p, q = F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos")
+    met = few.alias("x").join(few.alias("y"), (F.col("x.tok") == F.col("y.tok")) & (F.col("x.key") < F.col("y.key")) & _alike(n, m, F.least(n, m)))
+    met = met.select(F.col("x.key").alias("a"), F.col("y.key").alias("b"), n.alias("n"), m.alias("m"), _alike(n, m, F.least(n - p, m - q)).alias("first"))
+    met = met.groupBy("a", "b", "n", "m").agg(F.count("*").alias("shared"), F.max("first").alias("first")).where("first")
+    if crowded is not None:
+        more = crowded.groupBy("key").agg(F.count("*").alias("more"))
+        for c in ("a", "b"):
+            met = met.join(more.select(F.col("key").alias(c), F.col("more").alias(f"more_{c}")), c, "left")
+        met = met.withColumn("shared", F.col("shared") + F.least(F.coalesce("more_a", F.lit(0)), F.coalesce("more_b", F.lit(0))))
+    rest = F.ceil(F.greatest("n", "m") * 4 / 5) - 1  # of a set of n shingles, these are behind its prefix
+    return met.where(_alike(F.col("n"), F.col("m"), F.col("shared") + rest)).select("a", "b")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends aren't in one class."""
+    for c in ("a", "b"):
+        pairs = pairs.join(roots.select(F.col("key").alias(c), F.col("root").alias(f"root_{c}")), c, "left")
+    return pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -256,38 +310,37 @@ def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     """(id, key, root, component_id) for every row: its set, the set that names its class, and the class's smallest id."""
     attach(df.sparkSession)
     prints = materialise(_prints(df, id_col, text_col, words), "prints")
+    texts = prints.where("chunk is null")
+    each = materialise(texts.groupBy("key").agg(F.min("id").alias("id"), F.min("fp").alias("fp"), F.count("*").alias("n")), "distinct")
+    first = materialise(fingerprint_pairs(each), "fingerprint-pairs")
     every = Window.partitionBy("tok")
     index = _prefixes(df, text_col, words, _commonness(prints))
     index = index.withColumn("low", F.min("key").over(every)).withColumn("high", F.max("key").over(every)).where("low < high")
     index = materialise(index.select("tok", "key", "n", "pos").dropDuplicates(["tok", "key"]), "prefixes")
-    settle(df.sparkSession)
     large = materialise(index.groupBy("tok").agg(F.count("*").alias("c")).where(F.col("c") > crowd).select("tok"), "crowded")
     crowded = index.join(large, "tok", "left_semi")
-    few = index.join(large, "tok", "left_anti")
-    pairs = few.alias("x").join(few.alias("y"), (F.col("x.tok") == F.col("y.tok")) & (F.col("x.key") < F.col("y.key")) & _fits("x", "y"))
-    pairs = pairs.select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
     some = bool(large.limit(1).count())
+    pairs = materialise(prefix_pairs(index.join(large, "tok", "left_anti"), crowded if some else None), "candidates")
     if some:
         sized = crowded.withColumn("size", F.floor(F.log("n") / F.log(F.lit(1.25))))
         heads = sized.groupBy("tok", "size").agg(F.min("key").alias("a"), F.min_by("n", "key").alias("m"))
         star = sized.join(heads, ["tok", "size"]).where(F.col("a") < F.col("key")).where(_alike(F.col("n"), F.col("m"), F.least("n", "m")))
-        pairs = pairs.unionByName(star.select("a", F.col("key").alias("b")))
-    pairs = materialise(pairs.distinct(), "candidates")
-    settle(df.sparkSession)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key"))
+        first = first.unionByName(star.select("a", F.col("key").alias("b")))
+    first = materialise(first.distinct(), "first-pairs")
+    wanted = first.unionByName(pairs).select(F.explode(F.array("a", "b")).alias("key"))
     wanted = materialise((wanted.unionByName(crowded.select("key")) if some else wanted).distinct(), "wanted")
     sets = materialise(_sets(df, text_col, words, wanted), "sets")
-    links = materialise(_verified(pairs, sets), "alike")
-    settle(df.sparkSession)
+    links = materialise(_verified(first, sets), "alike")
+    rest = materialise(_verified(_apart(pairs, _roots(links)), sets), "alike-too")
+    links = links.unionByName(rest)
     roots = materialise(_roots(links), "classes")
     more = _between(crowded, roots, sets, block) if some else None
     if more is not None:
         roots = materialise(_roots(materialise(links.unionByName(more).distinct(), "all-alike")), "classes")
-    each = prints.where("chunk is null").groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("n")).join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    each = materialise(each, "distinct")
-    named = each.groupBy("root").agg(F.min("id").alias("component_id"))
-    known = materialise(each.select("key", "root", "n").join(named, "root"), "named")
-    return join_counted(prints.where("chunk is null").select("id", "key"), known, "key", "n")
+    placed = materialise(each.select("key", "id", "n").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key")), "placed")
+    named = placed.groupBy("root").agg(F.min("id").alias("component_id"))
+    known = materialise(placed.select("key", "root", "n").join(named, "root"), "named")
+    return join_counted(texts.select("id", "key"), known, "key", "n")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -79,3 +79,40 @@ def test_rows_without_ids(spark):
     kept = nearcopies.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(kept) == 2 and {r.doc_id for r in kept} == {None, 4}
     assert nearcopies.keep_one(spark.createDataFrame([], "doc_id long, text string")).agg(F.count("*")).first()[0] == 0
+
+
+def test_fingerprints_find_their_pairs(spark, planted):
+    """Step 1 is SimHash: its pairs join exactly the sets that fingerprints at four or fewer differing bits join."""
+    sets = {i: nearcopies.shingles(t) for i, t in planted if (t or "").split()}
+    prints = {nearcopies._key(x): nearcopies.fingerprint(x) for x in sets.values()}
+    for x in sets.values():
+        ones = [sum(int(h) >> b & 1 for h in x) for b in range(64)]
+        assert nearcopies.fingerprint(x) % 2**64 == sum(1 << b for b in range(64) if 2 * ones[b] > len(x))
+    pairs = nearcopies.fingerprint_pairs(spark.createDataFrame(list(prints.items()), "key long, fp long")).collect()
+    near = {frozenset((a, b)) for a, b in combinations(prints, 2) if ((prints[a] ^ prints[b]) % 2**64).bit_count() <= 4}
+    assert near and {frozenset((r.a, r.b)) for r in pairs} <= near
+
+    def joined(links):
+        root = {k: k for k in prints}
+
+        def find(k):
+            while root[k] != k:
+                k = root[k]
+            return k
+
+        for a, b in map(tuple, links):
+            p, q = find(a), find(b)
+            root[max(p, q)] = min(p, q)
+        return {k: find(k) for k in prints}
+
+    assert joined((r.a, r.b) for r in pairs) == joined(near)
+
+
+def test_shared_passage_makes_no_candidate(spark):
+    """Prefixes that share less than the limit needs are no candidates, those that share enough are; crowded shingles may be shared."""
+    rows = [(t, 1, 100, t) for t in range(21)] + [(t if t < 9 else 100 + t, 2, 100, t) for t in range(21)] + [(t if t < 10 else 200 + t, 3, 100, t) for t in range(21)]
+    few = spark.createDataFrame(rows, "tok long, key long, n int, pos int")
+    # 89 of 100 must be shared and 79 are behind the prefix, so ten of it have to be; sets 2 and 3 share nine.
+    assert [tuple(r) for r in nearcopies.prefix_pairs(few).collect()] == [(1, 3)]
+    crowded = spark.createDataFrame([(900, 1, 100, 20), (900, 2, 100, 20), (901, 3, 100, 20)], "tok long, key long, n int, pos int")
+    assert sorted(tuple(r) for r in nearcopies.prefix_pairs(few, crowded).collect()) == [(1, 2), (1, 3), (2, 3)]
