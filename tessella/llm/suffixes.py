@@ -341,7 +341,7 @@ def find_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     often = shared.groupBy("anchor").agg(F.count("*").alias("_n")).where(F.col("_n") > hot).select("anchor", F.lit(True).alias("often"))
     cold, warm = F.when(F.col("often").isNull(), F.col("anchor")), F.when(F.col("often"), F.col("anchor"))
     wanted = shared.join(often, "anchor", "left").groupBy("dg").agg(F.collect_set(cold).alias("cold"), F.collect_set(warm).alias("hot"))
-    wanted = firsts.select(F.col("first").alias("doc"), "dg").join(wanted, "dg")
+    wanted = materialise(firsts.select(F.col("first").alias("doc"), "dg").join(wanted, "dg"), "wanted-anchors")  # its shuffles go before texts are dealt
     buckets = max(spark.sparkContext.defaultParallelism, shared.count() * (3 * n // 2) // BUCKET_BYTES)
     strings = docs.join(wanted, ["doc", "dg"]).select("doc", "dg", "text", "cold", "hot").mapInArrow(_strings(n, buckets), _STRINGS)
     found = strings.groupBy("bucket").applyInArrow(_bucket(n), "doc long, dg long, pos int, mask long")
