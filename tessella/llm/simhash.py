@@ -1,12 +1,12 @@
 """SimHash near-duplicates by deletion-variant signatures.
 
 A 64-bit fingerprint is cut into three segments: of at most four (or five) differing bits, one segment gets at most one.
-Each segment is indexed under every variant with one bit deleted; equal or one-bit-apart segments share a variant, so an
-equality join finds all candidates, and the full fingerprints verify them inside the join. A pair is taken only from its
-first segment and variant that can show it, so no link comes twice.
+Each segment is indexed under every variant with one bit deleted; equal or one-bit-apart segments share a variant, so the
+rows of one variant, brought together by one shuffle, hold all candidates, and the full fingerprints verify them there. A pair is
+taken only from its first segment and variant that can show it, so no link comes twice.
 
-Only distinct fingerprints are indexed. A bucket that is crowded is dealt out in blocks, and each pair of blocks reports a
-spanning forest of its links instead of all of them; that leaves the classes the same. Classes come from
+Only distinct fingerprints are indexed. Of a bucket that is crowded, that shuffle gets a few rows and a count; it is dealt out in
+blocks, and each pair of blocks reports a spanning forest of its links instead of all of them; that leaves the classes the same. Classes come from
 contracting the graph of links, in rounds that grow with the logarithm of a chain's length; every step is a join or a
 grouping, cut off by a written table. The rows meet their class by fingerprint, the most frequent fingerprints by broadcast.
 
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import attach, give_back, join_counted, materialise, with_ids
@@ -34,8 +34,8 @@ SEGMENTS = ((0, 21), (21, 21), (42, 22))
 CROWD = 64
 #: taken between blocks of this many fingerprints.
 BLOCK = 1024
-#: Fingerprints that a task takes variants from.
-DEAL_ROWS = 500_000
+#: Fingerprints that a task takes variants from, and those it takes them from in one go.
+DEAL_ROWS, LOT = 500_000, 1 << 15
 _SEED = 42
 _COUNT_BLOCK = 1 << 15
 
@@ -71,41 +71,96 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return df.select(F.col(id_col), F.arrow_udf(run, "long")(F.col(text_col)).alias("fp"))
 
 
-def _segment(fp: Column, low: int, width: int) -> Column:
-    return F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << width) - 1))
-
+def variants(fps: DataFrame, enough: int | None = None) -> DataFrame:
+    """(key, fp, more): a row for each segment and deleted bit; the key names segment, bit and what is left of the segment.
+
+    With ``enough``, a lot of fingerprints gives so many rows of a key at most, the last of which counts those left out in ``more``."""
+
+    def lot(fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for s, (low, width) in enumerate(SEGMENTS):
+            part = fp.view(np.uint64) >> np.uint64(low) & np.uint64((1 << width) - 1)
+            part = part.astype(np.int64)
+            for i in range(width):
+                key, more = part >> i + 1 << i | part & (1 << i) - 1 | s << 40 | i << 32, np.zeros(len(fp), np.int64)
+                order = np.argsort(key, kind="stable")
+                key = key[order]
+                if enough is not None:
+                    begins = np.flatnonzero(np.diff(key, prepend=-1))
+                    sizes = np.diff(begins, append=len(key))
+                    much = sizes > enough
+                    more[begins[much] + enough - 1] = sizes[much] - enough
+                    kept = np.arange(len(key)) - np.repeat(begins, sizes) < enough
+                    key, order, more = key[kept], order[kept], more[kept]
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[order]), pa.array(more)], ["key", "fp", "more"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch.column(0).to_numpy())
+            n += len(batch)
+            if n >= LOT:
+                yield from lot(np.concatenate(held))
+                held, n = [], 0
+        if n:
+            yield from lot(np.concatenate(held))
 
-def variants(fps: DataFrame) -> DataFrame:
-    """(key, fp): a row for each segment and deleted bit; the key names segment, bit and what is left of the segment."""
-    keys = []
-    for s, (low, width) in enumerate(SEGMENTS):
-        part = _segment(F.col("fp"), low, width)
-        for i in range(width):
-            left = F.shiftleft(F.shiftrightunsigned(part, i + 1), i).bitwiseOR(part.bitwiseAND(F.lit((1 << i) - 1)))
-            keys.append(left.bitwiseOR(F.lit((s << 40) | (i << 32))))
-    return fps.select("fp", F.explode(F.array(*keys)).alias("key"))
+    return fps.select("fp").mapInArrow(run, "key long, fp long, more long")
 
 
-def _first_shown(a: Column, b: Column) -> Column:
-    """Segment and bit (as in the key's upper half) that a pair is taken from."""
-    x = a.bitwiseXOR(b)
-    out = F.lit(None)
+def _first_shown(x: np.ndarray) -> np.ndarray:
+    """Segment and bit (as in the key's upper half) that a pair which differs by x is taken from; -1 if none shows it."""
+    out = np.full(x.shape, -1, np.int64)
     for s, (low, width) in reversed(list(enumerate(SEGMENTS))):
-        part = _segment(x, low, width)
+        part = x >> np.uint64(low) & np.uint64((1 << width) - 1)
         # With one differing bit at position i, part is 2**i; its position is the number of ones below it.
-        bit = F.bit_count(part - 1).cast("long")
-        out = F.when(part == 0, F.lit(s << 8).cast("long")).when(F.bit_count(part) == 1, F.lit(s << 8) + bit).otherwise(out)
+        bit = np.where(part == 0, 0, np.bitwise_count(part - np.uint64(1)).astype(np.int64))
+        out = np.where(np.bitwise_count(part) <= 1, s << 8 | bit, out)
     return out
 
 
-def _own_pairs(x: np.ndarray, key: int) -> np.ndarray:
-    """Whether pairs that differ by x are taken from this key: ``_first_shown`` in numpy."""
-    segment, bit = key >> 40, key >> 32 & 0xFF
-    own = np.ones(x.shape, bool)
-    for s, (low, width) in enumerate(SEGMENTS[: segment + 1]):
-        part = (x >> np.uint64(low)) & np.uint64((1 << width) - 1)
-        own &= np.bitwise_count(part) > 1 if s < segment else (part == np.uint64(1 << bit)) | ((part == 0) & (bit == 0))
-    return own
+def _bucket_links(index: DataFrame, most: int, crowd: int) -> DataFrame:
+    """(a, b, key, n): the own links (a, b) of buckets of up to ``crowd``; key and number of rows of larger ones.
+
+    A task goes through its rows in the order of keys and holds no more than ``crowd`` + 1 of a bucket that goes on in the next batch."""
+
+    def met(key: np.ndarray, fp: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
+        begins = np.flatnonzero(np.diff(key, prepend=-1))
+        sizes = np.diff(begins, append=len(key))
+        n = np.add.reduceat(1 + more, begins) if len(key) else sizes
+        large, few = n > crowd, np.repeat(n <= crowd, sizes)
+        names, counts = key[begins[large]], n[large]
+        key, fp = key[few], fp[few]
+        a, b, at, apart = [], [], np.arange(len(key)), 0
+        while len(at):
+            apart += 1
+            at = at[at < len(key) - apart]
+            at = at[key[at] == key[at + apart]]
+            x = (fp[at] ^ fp[at + apart]).view(np.uint64)
+            own = np.bitwise_count(x) <= most
+            own[own] = _first_shown(x[own]) == key[at[own]] >> 32
+            left, right = fp[at[own]], fp[at[own] + apart]
+            a.append(np.minimum(left, right))
+            b.append(np.maximum(left, right))
+        links = [np.concatenate([np.empty(0, np.int64), *v]) for v in (a, b)]
+        no_link, no_key = pa.nulls(len(names), pa.int64()), pa.nulls(len(links[0]), pa.int64())
+        columns = [(links[0], no_link), (links[1], no_link), (no_key, names), (no_key, counts)]
+        return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(v, pa.int64()) for v in c]) for c in columns], ["a", "b", "key", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, np.int64)] * 3
+        for batch in batches:
+            held = [np.concatenate([v, batch.column(i).to_numpy()]) for i, v in enumerate(held)]
+            begins = np.flatnonzero(np.diff(held[0]))
+            end = begins[-1] + 1 if len(begins) else 0
+            yield met(*(v[:end] for v in held))
+            held = [v[end:] for v in held]
+            if len(held[0]) > crowd + 1:
+                left_out = int((1 + held[2][crowd + 1 :]).sum())
+                held = [v[: crowd + 1].copy() for v in held]
+                held[2][-1] += left_out
+        yield met(*held)
+
+    return index.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long, key long, n long")
 
 
 def _forest(fps: np.ndarray, other: np.ndarray | None, key: int, most: int) -> np.ndarray:
@@ -131,8 +186,10 @@ def _forest(fps: np.ndarray, other: np.ndarray | None, key: int, most: int) -> n
     for left, right in meetings:
         # Unsigned, as numpy counts the bits of a negative number's absolute value.
         x = left.view(np.uint64)[:, None] ^ right.view(np.uint64)[None, :]
-        near = (np.bitwise_count(x) <= most) & _own_pairs(x, key)
+        near = np.bitwise_count(x) <= most
         a, b = np.nonzero(np.triu(near, 1) if left is right else near)
+        own = _first_shown(x[a, b]) == key >> 32
+        a, b = a[own], b[own]
         for v, w in zip(left[a].tolist(), right[b].tolist(), strict=True):
             p, q = find(v), find(w)
             if p != q:
@@ -155,16 +212,11 @@ def links(fps: DataFrame, most: int = MAX_BITS, crowd: int = CROWD, block: int =
     of blocks gives a spanning forest."""
     if not 0 <= most <= 5:
         raise ValueError("three segments with one deleted bit find up to five differing bits")
-    index = variants(_dealt(fps))
-    sizes = index.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    large = materialise(sizes.where(F.col("n") > crowd), "large-buckets")
-    some_large = bool(large.limit(1).count())
-    small = index.join(large.select("key"), "key", "left_anti") if some_large else index
-    a, b = small.select("key", F.col("fp").alias("a")), small.select("key", F.col("fp").alias("b"))
-    near = (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= most) & (F.col("a") < F.col("b"))
-    here = F.shiftrightunsigned(F.col("k"), 32)
-    found = a.withColumnRenamed("key", "k").join(b, (F.col("k") == F.col("key")) & near & (_first_shown(F.col("a"), F.col("b")) == here)).select("a", "b")
-    if not some_large:
+    attach(fps.sparkSession)
+    fps = _dealt(fps)
+    met = materialise(_bucket_links(variants(fps, crowd + 1), most, crowd), "buckets")
+    found, large = met.where("key is null").select("a", "b"), met.where("key is not null").select("key", "n")
+    if not large.limit(1).count():
         return found
 
     def forest(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -173,7 +225,7 @@ def links(fps: DataFrame, most: int = MAX_BITS, crowd: int = CROWD, block: int =
         found = _forest(fp, None, key[0].as_py(), most) if i == j else _forest(fp[side == i], fp[side == j], key[0].as_py(), most)
         return pa.table({"a": found[:, 0], "b": found[:, 1]})
 
-    dealt = index.join(large, "key").withColumn("blocks", F.ceil(F.col("n") / block)).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+    dealt = variants(fps).join(large, "key").withColumn("blocks", F.ceil(F.col("n") / block)).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")))
     met = dealt.select("key", "fp", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with"))
     met = met.select("key", "fp", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
     return found.unionByName(met.groupBy("key", "i", "j").applyInArrow(forest, "a long, b long"))
