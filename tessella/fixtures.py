@@ -83,10 +83,23 @@ def needs(name: str) -> list[str]:
     return [n for n in (*TABLES, *SQL) if n != name and re.search(rf"\bFROM {n}\b", sql)]
 
 
+#: What is made long by a fixture, and the bytes of it that a task gets: a small file is one task, but hundreds of pixels a row.
+_LONG = {"mask_pixels": ("plots", 1 << 14), "raster8": ("embeddings", 1 << 22)}
+
+
+def _dealt(rows: DataFrame, size: int) -> DataFrame:
+    """The rows in tasks of about so many bytes, and at least one for each core."""
+    guess = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, -(-guess // size)))
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in SQL:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     given = {n: fixture(spark, sf_dir, n) for n in needs(name)}
+    if name in _LONG:
+        table, size = _LONG[name]
+        given[table] = _dealt(given[table], size)
     sql = _text(name, "spark")
     for n in given:
         sql = re.sub(rf"\bFROM {n}\b", f"FROM {{{n}}}", sql)

@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import attach
+from . import chunks as C
 from .resample import KERNELS
 from .tiling import with_steps
 
@@ -24,10 +26,19 @@ _FIELDS = [("image_id", pa.int64()), ("y0", pa.int32()), ("x0", pa.int32()), ("h
 Row = tuple[int, int, int, np.ndarray]
 
 
+def _offsets(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+
+
+def _raw(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] else np.empty(0, np.uint8)
+
+
 def _rows(batch: pa.RecordBatch) -> Iterator[Row]:
     ids, y0, x0, h, w = (batch.column(n).to_pylist() for n in ("image_id", "y0", "x0", "height", "width"))
-    for i, raw in enumerate(batch.column("data")):
-        a = np.frombuffer(raw.as_buffer(), np.uint8)
+    raw, ends = _raw(batch.column("data")), _offsets(batch.column("data")).tolist()
+    for i in range(batch.num_rows):
+        a = raw[ends[i] : ends[i + 1]]
         yield ids[i], y0[i], x0[i], a.reshape((h[i], w[i]) if len(a) == h[i] * w[i] else (h[i], w[i], -1))
 
 
@@ -37,25 +48,43 @@ def batch_of(rows: list[Row]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, _FIELDS, strict=True)], [n for n, _ in _FIELDS])
 
 
+def batches_of(rows: Iterator[Row]) -> Iterator[pa.RecordBatch]:
+    """Rows by some thousand or some megabytes."""
+    out: list[Row] = []
+    held = 0
+    for row in rows:
+        out.append(row)
+        held += row[3].size
+        if len(out) >= 4096 or held >= 1 << 22:
+            yield batch_of(out)
+            out, held = [], 0
+    if out:
+        yield batch_of(out)
+
+
 def map_tiles(tiles: DataFrame, kernel: Callable[[Row], Iterator[Row]]) -> DataFrame:
     """Each tile to any number of tiles."""
     attach(tiles.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[Row] = []
-            for row in _rows(batch):
-                for made in kernel(row):
-                    out.append(made)
-                    if len(out) >= 16:
-                        yield batch_of(out)
-                        out = []
-            if out:
-                yield batch_of(out)
+            yield from batches_of(made for row in _rows(batch) for made in kernel(row))
 
     return tiles.select(*[n for n, _ in _FIELDS]).mapInArrow(run, TILE_SQL)
 
 
+def _grouped(sent: DataFrame, join: Callable[[tuple[int, int, int], Iterator[Row]], Row | None]) -> DataFrame:
+    """One tile of all parts (tiles with gy and gx) of a grid cell; the cells follow each other in a task's stream."""
+
+    def kernel(batch: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ids, gy, gx = (C.numbers(batch.column(k))[starts].tolist() for k in ("image_id", "gy", "gx"))
+        counts, rows = np.diff(np.append(starts, batch.num_rows)).tolist(), _rows(batch)
+        made = (join(key, islice(rows, n)) for key, n in zip(zip(ids, gy, gx, strict=True), counts, strict=True))
+        yield from batches_of(m for m in made if m is not None)
+
+    return C.by_key(sent, ["image_id", "gy", "gx"], kernel, TILE_SQL)
+
+
 def cut_tiles(frames: DataFrame, tile: int = TILE) -> DataFrame:
     """Packed frames to tiles that don't overlap, with as many planes."""
 
@@ -68,20 +97,51 @@ def cut_tiles(frames: DataFrame, tile: int = TILE) -> DataFrame:
     return map_tiles(frames.withColumns({"y0": F.lit(0), "x0": F.lit(0)}), kernel)
 
 
-def pack(pixels: DataFrame, value: str = "v", tile: int = TILE) -> DataFrame:
-    """Long one-channel pixels to tiles of the fixed grid. A group is one tile's pixels, whatever the photograph's size."""
-    attach(pixels.sparkSession)
+def filled(which: np.ndarray, y: np.ndarray, x: np.ndarray, v: np.ndarray, n: int, plane: np.ndarray | None = None) -> Iterator[tuple[slice, list[np.ndarray], np.ndarray, np.ndarray]]:
+    """(tiles, their sides, offsets, bytes) of values by the number of their tile, 0 where none is; some megabytes at a time.
+
+    Rows come in the order of tiles. A tile reaches from 0 to its last values."""
+    starts = np.searchsorted(which, np.arange(n))
+    last = [np.maximum.reduceat(k, starts) + 1 for k in (y, x, *([] if plane is None else [plane]))]
+    planes = last[2] if plane is not None else np.ones(n, np.int64)
+    ends = np.append(0, np.cumsum(last[0] * last[1] * planes))
+    a = 0
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + (1 << 24), "right")) - 1)
+        rows = slice(starts[a], starts[b] if b < n else len(which))
+        t = which[rows]
+        at = (y[rows] * last[1][t] + x[rows]) * planes[t] + (0 if plane is None else plane[rows])
+        out = np.zeros(ends[b] - ends[a], np.uint8)
+        out[ends[t] - ends[a] + at] = v[rows].astype(np.uint8)
+        yield slice(a, b), [k[a:b] for k in last], ends[a : b + 1] - ends[a], out
+        a = b
 
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        y, x = table["y"].to_numpy(), table["x"].to_numpy()
-        y0, x0 = int(key[1].as_py()) * tile, int(key[2].as_py()) * tile
-        cell = np.zeros((int(y.max()) - y0 + 1, int(x.max()) - x0 + 1), np.uint8)
-        cell[y - y0, x - x0] = table["v"].to_numpy()
-        return pa.Table.from_batches([batch_of([(key[0].as_py(), y0, x0, cell)])])
 
-    rows = pixels.select(F.col("image_id").cast("long").alias("image_id"), "y", "x", F.col(value).cast("int").alias("v"))
-    cells = [F.floor(F.col(k) / tile).cast("int").alias(f"g{k}") for k in ("y", "x")]
-    return rows.groupBy("image_id", *cells).applyInArrow(run, TILE_SQL)
+def pack(pixels: DataFrame, value: str = "v", tile: int = TILE) -> DataFrame:
+    """Long one-channel pixels to tiles of the fixed grid. They are dealt by cells of some tiles, at most TILE a side."""
+    many = max(1, TILE // tile)
+    cell = tile * many
+
+    def run(groups: list[np.ndarray], sides: list[C.Flat]) -> Iterator[pa.RecordBatch]:
+        f = sides[0]
+        y, x, v = f.columns
+        gy, gx = y // tile, x // tile
+        which = (f.g * many + gy - groups[1][f.g] * many) * many + gx - groups[2][f.g] * many
+        if len(which) > 1 and (which[1:] < which[:-1]).any():
+            order = np.argsort(which, kind="stable")
+            which, y, x, v, gy, gx, g = (k[order] for k in (which, y, x, v, gy, gx, f.g))
+        else:
+            g = f.g
+        first = C.starts_of([which])
+        number = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(which))))
+        ids, y0, x0 = groups[0][g[first]], gy[first] * tile, gx[first] * tile
+        for some, (h, w), offsets, data in filled(number, y - gy * tile, x - gx * tile, v, len(first)):
+            columns = [C.array(ids[some], pa.int64()), *[pa.array(k.astype(np.int32)) for k in (y0[some], x0[some], h, w)], C.binaries(offsets, data)]
+            yield pa.RecordBatch.from_arrays(columns, [n for n, _ in _FIELDS])
+
+    rows = pixels.select(F.col("image_id").cast("long").alias("image_id"), F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x"), F.col(value).cast("int").alias("v"))
+    rows = rows.withColumns({f"_c{k}": F.floor(F.col(k) / cell) for k in ("y", "x")})
+    return C.gathered([C.chunked(rows, ["image_id", "_cy", "_cx"], ["y", "x", "v"])], run, TILE_SQL)
 
 
 def mask_bbox(tiles: DataFrame, convention: str) -> DataFrame:
@@ -178,8 +238,8 @@ def cut_overlapping(tiles: DataFrame, frames: DataFrame, overlap: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = [batch.column(k).to_pylist() for k in ("n_h", "n_w", "tile_h", "tile_w", "step_h", "step_w")]
+            made, cells, held = [], [], 0
             for (i, y, x, a), nh, nw, th, tw, sh, sw in zip(_rows(batch), *n, strict=True):
-                made, cells = [], []
                 for top in range(first(y, th, sh), min(y + a.shape[0], nh), sh):
                     for left in range(first(x, tw, sw), min(x + a.shape[1], nw), sw):
                         t, l_ = max(top, y), max(left, x)
@@ -187,19 +247,31 @@ def cut_overlapping(tiles: DataFrame, frames: DataFrame, overlap: int) -> DataFr
                         if part.size:
                             made.append((i, t, l_, part))
                             cells.append((top, left))
-                out = batch_of(made)
-                yield pa.RecordBatch.from_arrays([*out.columns, *[pa.array([c[k] for c in cells], pa.int32()) for k in (0, 1)]], [*out.schema.names, "gy", "gx"])
-
-    def join(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        i, top, left = (k.as_py() for k in key)
-        parts = [row for batch in batches for row in _rows(batch)]
+                            held += part.size
+                if len(made) >= 4096 or held >= 1 << 22:
+                    yield _sent(made, cells)
+                    made, cells, held = [], [], 0
+            if made:
+                yield _sent(made, cells)
+
+    def join(key: tuple[int, int, int], rows: Iterator[Row]) -> Row:
+        i, top, left = key
+        parts = list(rows)
+        if len(parts) == 1 and parts[0][1:3] == (top, left):
+            return parts[0]
         cell = np.zeros((max(y + a.shape[0] for _, y, _, a in parts) - top, max(x + a.shape[1] for _, _, x, a in parts) - left, *parts[0][3].shape[2:]), np.uint8)
         for _, y, x, a in parts:
             cell[y - top : y - top + a.shape[0], x - left : x - left + a.shape[1]] = a
-        yield batch_of([(i, top, left, cell)])
+        return i, top, left, cell
+
+    sent = tiles.select(*[n for n, _ in _FIELDS]).join(sized.hint("merge"), "image_id").mapInArrow(run, TILE_SQL + ", gy int, gx int")
+    return _grouped(sent, join)
 
-    sent = tiles.select(*[n for n, _ in _FIELDS]).join(sized, "image_id").mapInArrow(run, TILE_SQL + ", gy int, gx int")
-    return sent.groupBy("image_id", "gy", "gx").applyInArrow(join, TILE_SQL)
+
+def _sent(made: list[Row], cells: list[tuple[int, int]]) -> pa.RecordBatch:
+    """Tiles with the grid cell that each goes to."""
+    out = batch_of(made)
+    return pa.RecordBatch.from_arrays([*out.columns, *[pa.array([c[k] for c in cells], pa.int32()) for k in (0, 1)]], [*out.schema.names, "gy", "gx"])
 
 
 def threshold(tiles: DataFrame, at: int = 128) -> DataFrame:
@@ -218,11 +290,17 @@ def _send(tiles: DataFrame, parts: Callable[[Row], Iterator[tuple[int, int, Row]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            made, cells, held = [], [], 0
             for row in _rows(batch):
-                sent = list(parts(row))
-                made = batch_of([r for _, _, r in sent])
-                cells = [pa.array([s[k] for s in sent], pa.int32()) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*made.columns, *cells], [*made.schema.names, "gy", "gx"])
+                for gy, gx, part in parts(row):
+                    made.append(part)
+                    cells.append((gy, gx))
+                    held += part[3].size
+                if len(made) >= 4096 or held >= 1 << 22:
+                    yield _sent(made, cells)
+                    made, cells, held = [], [], 0
+            if made:
+                yield _sent(made, cells)
 
     return tiles.select(*[n for n, _ in _FIELDS]).mapInArrow(run, TILE_SQL + ", gy int, gx int")
 
@@ -238,20 +316,16 @@ def merge_max(tiles: DataFrame, tile: int = TILE) -> DataFrame:
                 t, l_ = max(top, y), max(left, x)
                 yield top // tile, left // tile, (i, t, l_, a[t - y : top + tile - y, l_ - x : left + tile - x])
 
-    def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        i, gy, gx = (k.as_py() for k in key)
-        cell, h, w = None, 0, 0
-        for batch in batches:
-            for _, y, x, a in _rows(batch):
-                t, l_ = y - gy * tile, x - gx * tile
-                if cell is None:
-                    cell = np.zeros((tile, tile, *a.shape[2:]), np.uint8)
-                view = cell[t : t + a.shape[0], l_ : l_ + a.shape[1]]
-                np.maximum(view, a, out=view)
-                h, w = max(h, t + a.shape[0]), max(w, l_ + a.shape[1])
-        yield batch_of([(i, gy * tile, gx * tile, cell[:h, :w])])
+    def merge(key: tuple[int, int, int], rows: Iterator[Row]) -> Row:
+        i, gy, gx = key
+        parts = [(y - gy * tile, x - gx * tile, a) for _, y, x, a in rows]
+        cell = np.zeros((max(t + a.shape[0] for t, _, a in parts), max(l_ + a.shape[1] for _, l_, a in parts), *parts[0][2].shape[2:]), np.uint8)
+        for t, l_, a in parts:
+            view = cell[t : t + a.shape[0], l_ : l_ + a.shape[1]]
+            np.maximum(view, a, out=view)
+        return i, gy * tile, gx * tile, cell
 
-    return _send(tiles, parts).groupBy("image_id", "gy", "gx").applyInArrow(merge, TILE_SQL)
+    return _grouped(_send(tiles, parts), merge)
 
 
 def focal3(tiles: DataFrame, kernel3: np.ndarray, tile: int = TILE) -> DataFrame:
@@ -265,22 +339,35 @@ def focal3(tiles: DataFrame, kernel3: np.ndarray, tile: int = TILE) -> DataFrame
             for dx, (part, over) in columns.items():
                 yield y // tile + dy, x // tile + dx, (i, y + down, x + over, part)
 
-    def apply(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        i, gy, gx = (k.as_py() for k in key)
+    def apply(key: tuple[int, int, int], rows: Iterator[Row]) -> Row | None:
+        i, gy, gx = key
         pad = np.zeros((tile + 2, tile + 2))
         h = w = 0
-        for batch in batches:
-            for _, y, x, a in _rows(batch):
-                t, l_ = y - gy * tile + 1, x - gx * tile + 1
-                if 0 <= t <= tile + 1 and 0 <= l_ <= tile + 1:  # a short tile's edge isn't next to its neighbour's cell
-                    pad[t : t + a.shape[0], l_ : l_ + a.shape[1]] = a
-                if (y // tile, x // tile) == (gy, gx):
-                    h, w = a.shape
-        if h:
-            out = sum(kernel3[1 + dy, 1 + dx] * pad[1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w] for dy in (-1, 0, 1) for dx in (-1, 0, 1))
-            yield batch_of([(i, gy * tile, gx * tile, np.clip(np.floor(np.round(out, 6) + 0.5), 0, 255).astype(np.uint8))])
-
-    return _send(tiles, parts).groupBy("image_id", "gy", "gx").applyInArrow(apply, TILE_SQL)
+        for _, y, x, a in rows:
+            t, l_ = y - gy * tile + 1, x - gx * tile + 1
+            if 0 <= t <= tile + 1 and 0 <= l_ <= tile + 1:  # a short tile's edge isn't next to its neighbour's cell
+                pad[t : t + a.shape[0], l_ : l_ + a.shape[1]] = a
+            if (y // tile, x // tile) == (gy, gx):
+                h, w = a.shape
+        if not h:
+            return None
+        out = sum(kernel3[1 + dy, 1 + dx] * pad[1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w] for dy in (-1, 0, 1) for dx in (-1, 0, 1))
+        return i, gy * tile, gx * tile, np.clip(np.floor(np.round(out, 6) + 0.5), 0, 255).astype(np.uint8)
+
+    return _grouped(_send(tiles, parts), apply)
+
+
+def spread(heights: np.ndarray, widths: np.ndarray, channels: np.ndarray | int, most: int = 1 << 18) -> Iterator[tuple[slice, np.ndarray, list[np.ndarray]]]:
+    """(rows, the row of each pixel, its y, x and channel) of packed rasters one after the other, some hundred thousand at a time."""
+    channels = np.broadcast_to(channels, heights.shape)
+    ends = np.append(0, np.cumsum(heights * widths * channels))
+    a = 0
+    while a < len(heights):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + most, "right")) - 1)
+        row = np.repeat(np.arange(a, b), np.diff(ends[a : b + 1]))
+        at, c = np.divmod(np.arange(ends[a], ends[b]) - ends[row], channels[row])
+        yield slice(a, b), row, [*np.divmod(at, widths[row]), c]
+        a = b
 
 
 def to_pixels(tiles: DataFrame) -> DataFrame:
@@ -289,9 +376,13 @@ def to_pixels(tiles: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, y, x, a in _rows(batch):
-                ys, xs = np.indices(a.shape, np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(a.size, i, np.int64)), pa.array((ys + np.int32(y)).ravel()), pa.array((xs + np.int32(x)).ravel()), pa.array(a.ravel().astype(np.int32))], ["image_id", "y", "x", "v"])
+            ids, y0, x0, h, w = (C.numbers(batch.column(n)).astype(np.int64) for n in ("image_id", "y0", "x0", "height", "width"))
+            raw, ends = _raw(batch.column("data")), _offsets(batch.column("data"))
+            if (h * w != np.diff(ends)).any():
+                raise ValueError("tiles of one plane are wanted")
+            for some, row, (y, x, _) in spread(h, w, 1):
+                v = raw[ends[some.start] : ends[some.stop]]
+                yield pa.RecordBatch.from_arrays([C.array(ids[row], pa.int64()), *[pa.array(k.astype(np.int32)) for k in (y + y0[row], x + x0[row], v)]], ["image_id", "y", "x", "v"])
 
     return tiles.select(*[n for n, _ in _FIELDS]).mapInArrow(run, "image_id long, y int, x int, v int")
 

@@ -14,17 +14,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import attach
-from .packed import _FIELDS, _rows
+from .chunks import array, numbers, starts_of
+from .packed import _FIELDS, _offsets, _raw, _rows, spread
 
 BAND = 512
+#: Stretches that are swept together.
+SWEPT = 1 << 17
 _RUNS = "array<struct<y:int,x0:int,x1:int>>"
 _FORM = pa.list_(pa.struct([(k, pa.int32()) for k in ("y", "x0", "x1")]))
 
 
-def _swept(y: np.ndarray, x0: np.ndarray, x1: np.ndarray, weight: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The maximal stretches where the weights of those that cover a place come to ``need``."""
-    line = y.astype(np.int64) << 32
-    at, step = np.concatenate([line + x0, line + x1]), np.concatenate([weight, -weight])
+def _swept(row: np.ndarray, y: np.ndarray, x0: np.ndarray, x1: np.ndarray, weight: np.ndarray, need: int) -> tuple[np.ndarray, ...]:
+    """(row, y, x0, x1): for each row the maximal stretches where the weights of those that cover a place come to ``need``."""
+    line, begin = np.lexsort((y, row)), np.zeros(len(y), np.int64)
+    begin[1:] = (np.diff(row[line]) != 0) | (np.diff(y[line]) != 0)
+    number = np.empty(len(y), np.int64)
+    number[line] = np.cumsum(begin)
+    rows, lines = row[line][begin.astype(bool) | (np.arange(len(y)) == 0)], y[line][begin.astype(bool) | (np.arange(len(y)) == 0)]
+    place = lambda x: (number << 32) + (x.astype(np.int64) + (1 << 31))
+    at, step = np.concatenate([place(x0), place(x1)]), np.concatenate([weight, -weight])
     order = np.lexsort((-step, at))  # what is added counts before what is taken, so that touching stretches become one
     at, high = at[order], np.cumsum(step[order]) >= need
     begin = np.flatnonzero(high & ~np.append(False, high[:-1]))
@@ -32,7 +40,8 @@ def _swept(y: np.ndarray, x0: np.ndarray, x1: np.ndarray, weight: np.ndarray, ne
     a, b = at[begin], at[end]
     some = a < b
     a, b = a[some], b[some]
-    return (a >> 32).astype(np.int32), (a & 0xFFFFFFFF).astype(np.int32), (b & 0xFFFFFFFF).astype(np.int32)
+    back = lambda p: ((p & 0xFFFFFFFF) - (1 << 31)).astype(np.int32)
+    return rows[a >> 32], lines[a >> 32].astype(np.int32), back(a), back(b)
 
 
 def _list(offsets: Sequence[int], parts: Sequence[tuple[np.ndarray, ...]]) -> pa.Array:
@@ -45,17 +54,21 @@ def combined(columns: Sequence[str | Column], weights: Sequence[int], need: int)
 
     def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for batch in batches:
-            given = []
+            given, parts, ends = [], [], [0]
             for c in batch if isinstance(batch, tuple) else (batch,):
                 offsets = np.append(0, np.cumsum(np.nan_to_num(c.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)))
                 flat = c.flatten()
                 given.append((offsets, *[flat.field(k).to_numpy(zero_copy_only=False) for k in ("y", "x0", "x1")]))
-            parts, ends = [], [0]
-            for i in range(len(given[0][0]) - 1):
-                cut = [[g[k][g[0][i] : g[0][i + 1]] for k in (1, 2, 3)] for g in given]
+            total = sum(g[0] for g in given)
+            a = 0
+            while a < len(total) - 1:  # rows together, as many as have some hundred thousand stretches
+                b = max(a + 1, int(np.searchsorted(total, total[a] + SWEPT, "right")) - 1)
+                cut = [[np.repeat(np.arange(b - a), np.diff(g[0][a : b + 1])), *[g[k][g[0][a] : g[0][b]] for k in (1, 2, 3)]] for g in given]
                 weight = np.concatenate([np.full(len(c[0]), w, np.int64) for c, w in zip(cut, weights, strict=True)])
-                parts.append(_swept(*[np.concatenate([c[k] for c in cut]) for k in range(3)], weight, need))
-                ends.append(ends[-1] + len(parts[-1][0]))
+                row, *swept = _swept(*[np.concatenate([c[k] for c in cut]) for k in range(4)], weight, need)
+                parts.append(tuple(swept))
+                ends.extend((ends[-1] + np.searchsorted(row, np.arange(b - a), "right")).tolist())
+                a = b
             yield _list(ends, parts)
 
     cols = [F.col(c) if isinstance(c, str) else c for c in columns]
@@ -85,21 +98,23 @@ def from_tiles(tiles: DataFrame, hit: Callable[[np.ndarray], np.ndarray] | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, bands, parts, ends = [], [], [], [0]
-            for i, y0, x0, a in _rows(batch):
-                on = np.zeros((a.shape[0], a.shape[1] + 2), np.int8)
-                on[:, 1:-1] = (hit(a) if hit else a != 0).astype(np.int8)
-                edge = np.diff(on, axis=1)
-                y, begin = np.nonzero(edge == 1)
-                end = np.nonzero(edge == -1)[1]
-                y = y + y0
-                for band in np.unique(y // BAND).tolist():
-                    own = y // BAND == band
-                    parts.append(tuple(v[own].astype(np.int32) for v in (y, begin + x0, end + x0)))
-                    ids.append(i)
-                    bands.append(band)
-                    ends.append(ends[-1] + int(own.sum()))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(bands, pa.int32()), _list(ends, parts)], ["image_id", "band", "runs"])
+            ids, y0, x0, h, w = (numbers(batch.column(n)).astype(np.int64) for n in ("image_id", "y0", "x0", "height", "width"))
+            raw, ends = _raw(batch.column("data")), _offsets(batch.column("data"))
+            one = (h * w == np.diff(ends)).all()
+            for some, row, (y, x, _) in spread(h, w, 1):
+                if one:
+                    a = raw[ends[some.start] : ends[some.stop]].reshape(1, -1)
+                    on = (hit(a) if hit else a != 0).ravel() != 0
+                else:  # several planes: the test is of whole tiles
+                    on = np.concatenate([(hit(a) if hit else a != 0).ravel() != 0 for _, _, _, a in _rows(batch.slice(some.start, some.stop - some.start))])
+                left, right = on & ((x == 0) | ~np.append(False, on[:-1])), on & ((x == w[row] - 1) | ~np.append(on[1:], False))
+                begin, end = np.flatnonzero(left), np.flatnonzero(right)
+                t = row[begin]
+                line, a, b = y[begin] + y0[t], x[begin] + x0[t], x[end] + x0[t] + 1
+                band = line // BAND
+                first = starts_of([t, band])
+                columns = [array(ids[t][first], pa.int64()), pa.array(band[first].astype(np.int32)), _list(np.append(first, len(t)), [tuple(k.astype(np.int32) for k in (line, a, b))])]
+                yield pa.RecordBatch.from_arrays(columns, ["image_id", "band", "runs"])
 
     return merged(tiles.select(*[n for n, _ in _FIELDS]).mapInArrow(run, f"image_id long, band int, runs {_RUNS}"))
 
