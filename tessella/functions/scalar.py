@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,6 +36,13 @@ def unit_scale(v: Column) -> Column:
     return v / F.lit(255.0)
 
 
+def unit_scale_rounded(v: Column, digits: int = 6) -> Column:
+    """``unit_scale`` rounded half up. Bytes look theirs up, since rounding a double goes through a decimal for each pixel."""
+    step = Decimal(1).scaleb(-digits)
+    table = F.array(*[F.lit(float(Decimal(repr(b / 255.0)).quantize(step, ROUND_HALF_UP))) for b in range(256)])
+    return F.coalesce(F.get(table, v), F.round(unit_scale(v), digits))
+
+
 def threshold_logit(logit: Column) -> Column:
     return (logit > 0).cast("int")
 

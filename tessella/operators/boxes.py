@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import chunks as C
+
 
 def foreground(v: Column, convention: str) -> Column:
     """Whether a mask byte is foreground. ``dark``: everything but 255 (preparation); ``bright``: 128 and more (training)."""
@@ -85,12 +89,32 @@ def no_detection_filter(attached: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def crop_by_box(pixels: DataFrame, boxes: DataFrame, keys: Sequence[str] = ("image_id",), shift: bool = True) -> DataFrame:
-    """Pixels inside their frame's box (x0, y0, x1, y1), counted from its corner if ``shift``."""
-    met = pixels.join(boxes.select(*keys, "x0", "y0", "x1", "y1"), list(keys))
-    inside = met.where((F.col("x") >= F.col("x0")) & (F.col("x") < F.col("x1")) & (F.col("y") >= F.col("y0")) & (F.col("y") < F.col("y1")))
-    if shift:
-        inside = inside.withColumns({"x": F.col("x") - F.col("x0"), "y": F.col("y") - F.col("y0")})
-    return inside.drop("x0", "y0", "x1", "y1")
+    """Pixels inside their frame's box (x0, y0, x1, y1), counted from its corner if ``shift``.
+
+    Pixels travel as chunks if all their columns are numbers."""
+    rest = [c for c in pixels.columns if c not in keys]
+    if len(keys) > 1 or not C.fits(pixels, pixels.columns) or not C.fits(boxes, ["x0", "y0", "x1", "y1"]):
+        met = pixels.join(boxes.select(*keys, "x0", "y0", "x1", "y1").hint("merge"), list(keys))
+        inside = met.where((F.col("x") >= F.col("x0")) & (F.col("x") < F.col("x1")) & (F.col("y") >= F.col("y0")) & (F.col("y") < F.col("y1")))
+        if shift:
+            inside = inside.withColumns({"x": F.col("x") - F.col("x0"), "y": F.col("y") - F.col("y0")})
+        return inside.drop("x0", "y0", "x1", "y1")
+    kinds = [pixels.schema[c].dataType.simpleString() for c in (*keys, *rest)]
+    out, iy, ix = C.pa_types(kinds), rest.index("y"), rest.index("x")
+
+    def cut(ids: np.ndarray, g: np.ndarray, columns: list[np.ndarray], sides: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        x0, y0, x1, y1 = (s[g] for s in sides)
+        y, x = columns[iy], columns[ix]
+        inside = np.flatnonzero((x >= x0) & (x < x1) & (y >= y0) & (y < y1))
+        if len(inside):
+            part = [c[inside] for c in columns]
+            if shift:
+                part[iy], part[ix] = part[iy] - y0[inside], part[ix] - x0[inside]
+            yield pa.RecordBatch.from_arrays([C.array(c, k) for c, k in zip([ids[g[inside]], *part], out, strict=True)], [*keys, *rest])
+
+    schema = ", ".join(f"`{n}` {'double' if k.startswith('decimal') else k}" for n, k in zip((*keys, *rest), kinds, strict=True))
+    made = C.boxed(pixels, boxes, rest, ["x0", "y0", "x1", "y1"], cut, schema, keys)
+    return made.select(*[F.col(n).cast(k) if k.startswith("decimal") else F.col(n) for n, k in zip((*keys, *rest), kinds, strict=True)])
 
 
 def quarantine(frames: DataFrame, checks: Sequence[tuple[str, Column]]) -> tuple[DataFrame, DataFrame]:

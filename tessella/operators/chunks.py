@@ -169,7 +169,7 @@ def _sorted(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys)
 
 
-def gathered(sides: Sequence[Chunks], fn: Callable[[list[np.ndarray], list[Flat]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def gathered(sides: Sequence[Chunks], fn: Callable[[list[np.ndarray], list[Flat]], Iterator[pa.RecordBatch]], schema: str, weight: Callable[[pa.RecordBatch], np.ndarray] = lambda b: b.column("n").to_numpy()) -> DataFrame:
     """``fn`` of windows of whole keys: (the keys' columns, the rows of each side by the number of their key, in its order)."""
     keys, most = sides[0].keys, max(len(s.real) for s in sides)
     pad = lambda s: [F.col(f"_{i}") if i < len(s.real) else F.lit(None).cast("binary").alias(f"_{i}") for i in range(most)]
@@ -180,7 +180,7 @@ def gathered(sides: Sequence[Chunks], fn: Callable[[list[np.ndarray], list[Flat]
     real = [s.real for s in sides]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, starts in windows(batches, keys, lambda b: b.column("n").to_numpy(), WINDOW):
+        for batch, starts in windows(batches, keys, weight, WINDOW):
             group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, batch.num_rows)))
             side = batch.column("_side").to_numpy()
             flats = []
@@ -240,6 +240,129 @@ def met(rows: DataFrame, other: DataFrame, value: str, cell: int = 512) -> DataF
     return made.select(*[F.col(n).cast(k) if k.startswith("decimal") else F.col(n) for n, k in zip(names, kinds, strict=True)])
 
 
+def by_place(pixels: DataFrame, columns: Sequence[str], fn: Callable[..., list[pa.Array]], made: Sequence[str], cell: int = 512) -> DataFrame:
+    """(image_id, y, x, made...): a row for each place. ``fn`` gets the places of a window (ids, y, x), the number of each pixel's
+    place, and the columns."""
+    rows = pixels.withColumns({f"_c{k}": F.floor(F.col(k) / cell) for k in ("y", "x")})
+    y_kind, x_kind = (pixels.schema[k].dataType.simpleString() for k in ("y", "x"))
+    kinds = pa_types([y_kind, x_kind])
+
+    def run(groups: list[np.ndarray], sides: list[Flat]) -> Iterator[pa.RecordBatch]:
+        f = sides[0]
+        y, x, *rest = f.columns
+        place = (f.g * cell + (y - groups[1][f.g] * cell)) * cell + (x - groups[2][f.g] * cell)
+        if len(place) > 1 and (place[1:] < place[:-1]).any():
+            order = np.argsort(place, kind="stable")
+            place, y, x, g, rest = place[order], y[order], x[order], f.g[order], [k[order] for k in rest]
+        else:
+            g = f.g
+        first = starts_of([place])
+        number = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(place))))
+        places = [groups[0][g[first]], y[first], x[first]]
+        columns = [array(places[0], pa.int64()), *[array(p, k) for p, k in zip(places[1:], kinds, strict=True)], *fn(places, number, *rest)]
+        yield pa.RecordBatch.from_arrays(columns, ["image_id", "y", "x", *[m.split(" ")[0] for m in made]])
+
+    return gathered([chunked(rows, ["image_id", "_cy", "_cx"], ["y", "x", *columns])], run, ", ".join(["image_id long", f"y {y_kind}", f"x {x_kind}", *made]))
+
+
 def pa_types(kinds: Sequence[str]) -> list[pa.DataType]:
     known = {"tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64(), "float": pa.float32()}
     return [known.get(k, pa.float64()) for k in kinds]
+
+
+def boxed(rows: DataFrame, boxes: DataFrame, columns: Sequence[str], sides: Sequence[str], fn: Callable[[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]], Iterator[pa.RecordBatch]], schema: str, keys: Sequence[str] = ("image_id",)) -> DataFrame:
+    """``fn`` of rows and their image's box: (the chunks' ids, the number of each row's chunk, ``columns`` of the rows, ``sides`` by chunk).
+
+    Chunks of an image are joined with its box, so that no pixel is; neither side is broadcast."""
+    key = keys[0]
+    chunks = chunked(rows.where(F.col(key).isNotNull()), [key], columns)
+    real, n_sides = chunks.real, len(sides)
+    whole = boxes.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), *[F.col(k).cast("long").alias(f"_b{i}") for i, k in enumerate(sides)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.append(0, np.cumsum(batch.column("n").to_numpy().astype(np.int64)))
+            a = 0
+            while a < batch.num_rows:
+                b = max(a + 1, int(np.searchsorted(ends, ends[a] + WINDOW, "right")) - 1)
+                part = batch.slice(a, b - a)
+                f = flat(part, np.arange(b - a), real)
+                yield from fn(part.column(key).to_numpy(), f.g, f.columns, [numbers(part.column(f"_b{i}")) for i in range(n_sides)])
+                a = b
+
+    return chunks.frame.join(whole.hint("merge"), key).mapInArrow(run, schema)
+
+
+def placed(pixels: DataFrame, boxes: DataFrame, canvases: DataFrame, value: str, fill: int, stretch: bool = False, cell: int = 512) -> DataFrame:
+    """(image_id, y, x, value) of every place of ``canvases`` (image_id, height, width): what lies in an image's box (x0, y0, x1, y1)
+    moved by (dy, dx), and ``fill`` elsewhere.
+
+    With ``stretch``, boxes carry ``stretch`` and ``target`` too: where the former is set the box's pixels are spread over a square of
+    that side, each output taking the nearest pixel, and nothing is filled in. Pixels meet their canvas by cells of it."""
+    kind = pixels.schema[value].dataType
+    real = isinstance(kind, _REAL)
+    keys, sides = ["image_id", "_cy", "_cx"], ["y0", "x0", "y1", "x1", "dy", "dx", *(["stretch", "target"] if stretch else [])]
+
+    def move(ids: np.ndarray, g: np.ndarray, columns: list[np.ndarray], box: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        y, x, v = columns
+        y0, x0, y1, x1 = box[:4]
+        inside = np.flatnonzero((y >= y0[g]) & (y < y1[g]) & (x >= x0[g]) & (x < x1[g]) & (~np.isnan(v) if real else v != NULL))
+        g, y, x, v = g[inside], y[inside], x[inside], v[inside]
+        y, x = y + box[4][g], x + box[5][g]
+        if stretch:
+            wide = (box[6] == 1)[g]
+            spread = [_fed(y[wide] - box[4][g][wide] - y0[g][wide], (y1 - y0)[g][wide], box[7][g][wide]), _fed(x[wide] - box[5][g][wide] - x0[g][wide], (x1 - x0)[g][wide], box[7][g][wide])]
+            (top, down), (left, across) = spread
+            times = down * across
+            pick = np.repeat(np.arange(len(times)), times)
+            nth = np.arange(len(pick)) - np.repeat(np.cumsum(times) - times, times)
+            own = np.flatnonzero(wide)[pick]
+            y, x = np.concatenate([y[~wide], top[pick] + nth // across[pick]]), np.concatenate([x[~wide], left[pick] + nth % across[pick]])
+            g, v = np.concatenate([g[~wide], g[own]]), np.concatenate([v[~wide], v[own]])
+        if len(y):
+            yield pa.RecordBatch.from_arrays(pieces([ids[g], y // cell, x // cell], [y, x, v]), [*keys, "n", "_0", "_1", "_2"])
+
+    moved = boxed(pixels.where("y IS NOT NULL AND x IS NOT NULL").select("image_id", "y", "x", value), boxes, ["y", "x", value], sides, move, schema_of(keys, 3))
+    filled = F.col("filled").cast("int") if "filled" in canvases.columns else F.lit(1)
+    grid = canvases.where("height > 0 AND width > 0").select("image_id", F.col("height").cast("int").alias("_h"), F.col("width").cast("int").alias("_w"), filled.alias("_f"))
+    for k, side in (("_cy", "_h"), ("_cx", "_w")):
+        grid = grid.withColumn(k, F.explode(F.sequence(F.lit(0), F.floor((F.col(side) - 1) / cell).cast("int"))))
+    frames = chunked(grid, keys, ["_h", "_w", "_f"])
+    out = pa_types([kind.simpleString()])[0]
+
+    def canvas(groups: list[np.ndarray], given: list[Flat]) -> Iterator[pa.RecordBatch]:
+        p, f = given
+        g = f.g
+        top, left = groups[1] * cell, groups[2] * cell
+        h, w, fills = np.zeros(len(top), np.int64), np.zeros(len(top), np.int64), np.zeros(len(top), bool)
+        h[g], w[g] = np.minimum(cell, f.columns[0] - top[g]), np.minimum(cell, f.columns[1] - left[g])
+        fills[g] = f.columns[2] == 1
+        inside = (p.columns[0] - top[p.g] < h[p.g]) & (p.columns[1] - left[p.g] < w[p.g])
+        where = p.g[inside]
+        ends = np.append(0, np.cumsum(h * w))
+        v, known = np.full(ends[-1], fill, np.float64 if real else np.int64), np.repeat(fills, h * w)
+        at = ends[where] + (p.columns[0][inside] - top[where]) * w[where] + p.columns[1][inside] - left[where]
+        v[at], known[at] = p.columns[2][inside], True
+        row = np.repeat(np.arange(len(top)), h * w)
+        y, x = np.divmod(np.arange(ends[-1]) - ends[row], np.maximum(w[row], 1))
+        some = slice(None) if known.all() else np.flatnonzero(known)
+        row = row[some]
+        yield pa.RecordBatch.from_arrays([pa.array(groups[0][row]), pa.array((y[some] + top[row]).astype(np.int32)), pa.array((x[some] + left[row]).astype(np.int32)), array(v[some], out)], ["image_id", "y", "x", value])
+
+
+    def weight(batch: pa.RecordBatch) -> np.ndarray:
+        """Places of a canvas, as well as pixels."""
+        n, own = batch.column("n").to_numpy().astype(np.int64), np.flatnonzero(batch.column("_side").to_numpy() == 1)
+        size = flat(batch.take(pa.array(own)), own, [False] * 3)
+        h, w = (np.clip(size.columns[i] - numbers(batch.column(k))[size.g] * cell, 0, cell) for i, k in enumerate(keys[1:]))
+        np.add.at(n, size.g, h * w)
+        return n
+
+    made = gathered([Chunks(moved, keys, [False, False, real]), frames], canvas, f"image_id long, y int, x int, `{value}` {'double' if real else kind.simpleString()}", weight)
+    return made if not real else made.withColumn(value, F.col(value).cast(kind))
+
+
+def _fed(at: np.ndarray, n_src: np.ndarray, n_dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first output, how many) that take the pixel ``at``: floor((dst + 0.5) * n_src / n_dst)."""
+    reached = lambda k: (2 * (at + k) * n_dst + n_src - 1) // (2 * n_src)
+    return reached(0), reached(1) - reached(0)

@@ -181,7 +181,7 @@ def crop(tiles: DataFrame, boxes: DataFrame) -> DataFrame:
                     out.append((i, t - y0, l_ - x0, part))
             yield batch_of(out)
 
-    met = tiles.select(*[n for n, _ in _FIELDS]).join(boxes.select("image_id", *[F.col(k).alias(f"b_{k}") for k in ("y0", "x0", "y1", "x1")]), "image_id")
+    met = tiles.select(*[n for n, _ in _FIELDS]).join(boxes.select("image_id", *[F.col(k).alias(f"b_{k}") for k in ("y0", "x0", "y1", "x1")]).hint("merge"), "image_id")
     return met.mapInArrow(run, TILE_SQL)
 
 
@@ -200,16 +200,28 @@ def score(tiles: DataFrame, make_predict: Callable[[], Callable[[np.ndarray], np
 
 def whole(tiles: DataFrame) -> DataFrame:
     """(image_id, height, width, channels, data): one row a frame, for sinks whose files are frames."""
-    attach(tiles.sparkSession)
 
-    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [row for batch in batches for row in _rows(batch)]
-        a = np.zeros((max(y + p.shape[0] for _, y, _, p in parts), max(x + p.shape[1] for _, _, x, p in parts), *parts[0][3].shape[2:]), np.uint8)
-        for _, y, x, p in parts:
-            a[y : y + p.shape[0], x : x + p.shape[1]] = p
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), *[pa.array([n], pa.int32()) for n in (*a.shape, 1)[:3]], pa.array([a.tobytes()], pa.binary())], ["image_id", "height", "width", "channels", "data"])
+    def frames(out: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        sides = [pa.array([(*a.shape, 1)[k] for _, a in out], pa.int32()) for k in range(3)]
+        return pa.RecordBatch.from_arrays([pa.array([i for i, _ in out], pa.int64()), *sides, pa.array([a.tobytes() for _, a in out], pa.binary())], ["image_id", "height", "width", "channels", "data"])
 
-    return tiles.groupBy("image_id").applyInArrow(run, "image_id long, height int, width int, channels int, data binary")
+    def kernel(batch: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows, counts = _rows(batch), np.diff(np.append(starts, batch.num_rows)).tolist()
+        out, held = [], 0
+        for n in counts:
+            parts = list(islice(rows, n))
+            a = np.zeros((max(y + p.shape[0] for _, y, _, p in parts), max(x + p.shape[1] for _, _, x, p in parts), *parts[0][3].shape[2:]), np.uint8)
+            for _, y, x, p in parts:
+                a[y : y + p.shape[0], x : x + p.shape[1]] = p
+            out.append((parts[0][0], a))
+            held += a.size
+            if len(out) >= 4096 or held >= 1 << 22:
+                yield frames(out)
+                out, held = [], 0
+        if out:
+            yield frames(out)
+
+    return C.by_key(tiles.select(*[n for n, _ in _FIELDS]), ["image_id"], kernel, "image_id long, height int, width int, channels int, data binary")
 
 
 def planes(tiles: DataFrame, of: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
@@ -424,59 +436,82 @@ def _shares(tiles: DataFrame, sizes: DataFrame, kind: str, tile: int) -> DataFra
     """What each tile adds to the outputs (doubles), cut at the output's grid."""
     attach(tiles.sparkSession)
 
+    def made(cells: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.int64(), *[pa.int32()] * 6, pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*cells, strict=True), kinds, strict=True)], ["image_id", "gy", "gx", "y", "x", "h", "w", "data"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = [batch.column(k).to_pylist() for k in ("n_h", "n_w", "out_h", "out_w")]
+            cells, held = [], 0
             for (i, y, x, a), h, w, oh, ow in zip(_rows(batch), *n, strict=True):
                 top, down = line_weights(h, oh, kind, y, y + a.shape[0])
                 left, across = line_weights(w, ow, kind, x, x + a.shape[1])
                 part = down @ a.astype(float) @ across.T
-                cells = []
                 for gy in range(top // tile, -(-(top + part.shape[0]) // tile)):
                     for gx in range(left // tile, -(-(left + part.shape[1]) // tile)):
                         t, l_ = max(top, gy * tile), max(left, gx * tile)
                         cut = np.ascontiguousarray(part[t - top : (gy + 1) * tile - top, l_ - left : (gx + 1) * tile - left])
                         cells.append((i, gy, gx, t, l_, *cut.shape, cut.tobytes()))
-                columns = zip(*cells, strict=True) if cells else [[]] * 8
-                kinds = [pa.int64(), *[pa.int32()] * 6, pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["image_id", "gy", "gx", "y", "x", "h", "w", "data"])
+                        held += cut.nbytes
+                if len(cells) >= 4096 or held >= 1 << 22:
+                    yield made(cells)
+                    cells, held = [], 0
+            if cells:
+                yield made(cells)
 
     sized = sizes.where("height > 0 and width > 0 and out_h > 0 and out_w > 0").select("image_id", F.col("height").alias("n_h"), F.col("width").alias("n_w"), "out_h", "out_w")
-    return tiles.select(*[n for n, _ in _FIELDS]).join(sized, "image_id").mapInArrow(run, _SHARE_SQL)
+    return tiles.select(*[n for n, _ in _FIELDS]).join(sized.hint("merge"), "image_id").mapInArrow(run, _SHARE_SQL)
 
 
-def _summed(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch], tile: int) -> np.ndarray:
-    gy, gx = key[1].as_py(), key[2].as_py()
-    total, h, w = np.zeros((tile, tile)), 0, 0
-    for batch in batches:
-        for r in batch.to_pylist():
-            y, x = r["y"] - gy * tile, r["x"] - gx * tile
-            total[y : y + r["h"], x : x + r["w"]] += np.frombuffer(r["data"], np.float64).reshape(r["h"], r["w"])
-            h, w = max(h, y + r["h"]), max(w, x + r["w"])
-    return total[:h, :w]
+def _summed(shares: DataFrame, tile: int, made: Callable[[list[tuple[int, int, int, np.ndarray]]], pa.RecordBatch], schema: str) -> DataFrame:
+    """``made`` of output tiles (image_id, y0, x0, sums), some thousand or some megabytes at a time."""
+
+    def kernel(batch: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        ids, gy, gx, y, x, h, w = (C.numbers(batch.column(k)).tolist() for k in ("image_id", "gy", "gx", "y", "x", "h", "w"))
+        raw, at = _raw(batch.column("data")), _offsets(batch.column("data")).tolist()
+        share = lambda r: np.frombuffer(raw[at[r] : at[r + 1]].tobytes()).reshape(h[r], w[r])
+        out, held = [], 0
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), batch.num_rows], strict=True):
+            top, left = gy[a] * tile, gx[a] * tile
+            if b - a == 1 and (y[a], x[a]) == (top, left):
+                total = share(a)
+            else:
+                total = np.zeros((max(y[r] + h[r] for r in range(a, b)) - top, max(x[r] + w[r] for r in range(a, b)) - left))
+                for r in range(a, b):
+                    total[y[r] - top : y[r] - top + h[r], x[r] - left : x[r] - left + w[r]] += share(r)
+            out.append((ids[a], top, left, total))
+            held += total.nbytes
+            if len(out) >= 4096 or held >= 1 << 23:
+                yield made(out)
+                out, held = [], 0
+        if out:
+            yield made(out)
+
+    return C.by_key(shares, ["image_id", "gy", "gx"], kernel, schema)
 
 
 def resample(tiles: DataFrame, sizes: DataFrame, kind: str, tile: int = TILE) -> DataFrame:
     """(image_id, y, x, v as double) of frames (image_id, height, width, out_h, out_w): for soft targets and small outputs."""
 
-    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a = _summed(key, batches, tile)
-        ys, xs = np.indices(a.shape, np.int32)
-        y0, x0 = np.int32(key[1].as_py() * tile), np.int32(key[2].as_py() * tile)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(a.size, key[0].as_py(), np.int64)), pa.array((ys + y0).ravel()), pa.array((xs + x0).ravel()), pa.array(a.ravel())], ["image_id", "y", "x", "v"])
+    def made(out: list[tuple[int, int, int, np.ndarray]]) -> pa.RecordBatch:
+        ids, y0, x0 = (np.array([o[k] for o in out], np.int64) for k in range(3))
+        h, w = (np.array([o[3].shape[k] for o in out], np.int64) for k in (0, 1))
+        row = np.repeat(np.arange(len(out)), h * w)
+        y, x = np.divmod(np.arange(len(row)) - np.repeat(np.cumsum(h * w) - h * w, h * w), w[row])
+        return pa.RecordBatch.from_arrays([C.array(ids[row], pa.int64()), *[pa.array(k.astype(np.int32)) for k in (y + y0[row], x + x0[row])], pa.array(np.concatenate([o[3].ravel() for o in out]))], ["image_id", "y", "x", "v"])
 
-    return _shares(tiles, sizes, kind, tile).groupBy("image_id", "gy", "gx").applyInArrow(run, "image_id long, y int, x int, v double")
+    return _summed(_shares(tiles, sizes, kind, tile), tile, made, "image_id long, y int, x int, v double")
 
 
 def resize(tiles: DataFrame, sizes: DataFrame, kind: str, tile: int = TILE) -> DataFrame:
     """Tiles of the resized frames, in bytes. Each tile adds its share to the outputs that it feeds, weighted in numpy by its
     place; shares are summed by output tile and rounded once. Only small outputs and tile edges are shuffled on shrinking."""
 
-    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a = np.clip(np.floor(np.round(_summed(key, batches, tile), 6) + 0.5), 0, 255).astype(np.uint8)
-        yield batch_of([(key[0].as_py(), key[1].as_py() * tile, key[2].as_py() * tile, a)])
+    def made(out: list[tuple[int, int, int, np.ndarray]]) -> pa.RecordBatch:
+        return batch_of([(i, y, x, np.clip(np.floor(np.round(a, 6) + 0.5), 0, 255).astype(np.uint8)) for i, y, x, a in out])
 
-    return _shares(tiles, sizes, kind, tile).groupBy("image_id", "gy", "gx").applyInArrow(run, TILE_SQL)
+    return _summed(_shares(tiles, sizes, kind, tile), tile, made, TILE_SQL)
 
 
 def overlay_green(green: DataFrame, mask: DataFrame, strength: int = 191) -> DataFrame:
@@ -492,7 +527,7 @@ def overlay_green(green: DataFrame, mask: DataFrame, strength: int = 191) -> Dat
         return pa.array(out, pa.binary())
 
     place = ["image_id", "y0", "x0", "height", "width"]
-    met = green.join(mask.select(*place, F.col("data").alias("_m")), place, "left")
+    met = green.join(mask.select(*place, F.col("data").alias("_m")).hint("merge"), place, "left")
     return met.select(*place, F.arrow_udf(run, "binary")(F.col("data"), F.col("_m")).alias("data"))
 
 
@@ -512,7 +547,7 @@ def overlay_tiles(rgb: DataFrame, mask: DataFrame, strength: int = 191) -> DataF
             yield pa.array(out, pa.binary())
 
     place = ["image_id", "y0", "x0", "height", "width"]
-    met = rgb.join(mask.select(*place, F.col("data").alias("_m")), place, "left")
+    met = rgb.join(mask.select(*place, F.col("data").alias("_m")).hint("merge"), place, "left")
     return met.select(*place, F.arrow_udf(run, "binary")(F.col("data"), F.col("_m")).alias("data"))
 
 
@@ -520,7 +555,7 @@ def paste(tiles: DataFrame, boxes: DataFrame, frames: DataFrame, tile: int = TIL
     """A crop's tiles at their box (x0, y0) in a frame (width, height) that is ``empty`` elsewhere; also pads to a canvas.
 
     The frame's empty tiles come from its size, and meet the moved parts on the fixed grid."""
-    moved = tiles.join(boxes.select("image_id", F.col("y0").alias("_y"), F.col("x0").alias("_x")), "image_id")
+    moved = tiles.join(boxes.select("image_id", F.col("y0").alias("_y"), F.col("x0").alias("_x")).hint("merge"), "image_id")
     moved = moved.select("image_id", (F.col("y0") + F.col("_y")).alias("y0"), (F.col("x0") + F.col("_x")).alias("x0"), "height", "width", "data").withColumn("over", F.lit(1))
     grid = frames.where("height > 0 and width > 0").select("image_id", F.col("height").alias("_h"), F.col("width").alias("_w"))
     for k, side in (("y0", "_h"), ("x0", "_w")):
@@ -529,34 +564,45 @@ def paste(tiles: DataFrame, boxes: DataFrame, frames: DataFrame, tile: int = TIL
     attach(tiles.sparkSession)
     fields = [*_FIELDS, ("over", pa.int32())]
 
+    def rows_of(made: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made, strict=True), [*[k for _, k in fields], pa.int32(), pa.int32()], strict=True)], [*[n for n, _ in fields], "gy", "gx"])
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = []
+            made, held = [], 0
             for r in batch.to_pylist():
                 if not r["over"]:
                     made.append((*[r[k] for k, _ in fields], r["y0"] // tile, r["x0"] // tile))
-                    continue
-                a, y, x = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"]), r["y0"], r["x0"]
-                for top in range(y // tile * tile, y + a.shape[0], tile):
-                    for left in range(x // tile * tile, x + a.shape[1], tile):
-                        t, l_ = max(top, y), max(left, x)
-                        part = np.ascontiguousarray(a[t - y : top + tile - y, l_ - x : left + tile - x])
-                        made.append((r["image_id"], t, l_, *part.shape, part.tobytes(), 1, top // tile, left // tile))
-            columns = zip(*made, strict=True) if made else [[]] * (len(fields) + 2)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [*[k for _, k in fields], pa.int32(), pa.int32()], strict=True)], [*[n for n, _ in fields], "gy", "gx"])
-
-    def merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        rows = table.sort_by("over").to_pylist()
-        base = rows[0]
-        if base["over"]:  # outside the frame
-            return pa.Table.from_batches([batch_of([])])
+                else:
+                    a, y, x = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"]), r["y0"], r["x0"]
+                    held += a.size
+                    for top in range(y // tile * tile, y + a.shape[0], tile):
+                        for left in range(x // tile * tile, x + a.shape[1], tile):
+                            t, l_ = max(top, y), max(left, x)
+                            part = np.ascontiguousarray(a[t - y : top + tile - y, l_ - x : left + tile - x])
+                            made.append((r["image_id"], t, l_, *part.shape, part.tobytes(), 1, top // tile, left // tile))
+                if len(made) >= 4096 or held >= 1 << 22:
+                    yield rows_of(made)
+                    made, held = [], 0
+            if made:
+                yield rows_of(made)
+
+    def merge(rows: list[dict]) -> Row | None:
+        base = next((r for r in rows if not r["over"]), None)
+        if base is None:  # outside the frame
+            return None
         cell = np.full((base["height"], base["width"]), empty, np.uint8)
-        for r in rows[1:]:
-            y, x = r["y0"] - base["y0"], r["x0"] - base["x0"]
-            a = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"])
-            view = cell[y : y + r["height"], x : x + r["width"]]
-            view[:] = a[: view.shape[0], : view.shape[1]]
-        return pa.Table.from_batches([batch_of([(base["image_id"], base["y0"], base["x0"], cell)])])
+        for r in rows:
+            if r["over"]:
+                y, x = r["y0"] - base["y0"], r["x0"] - base["x0"]
+                view = cell[y : y + r["height"], x : x + r["width"]]
+                view[:] = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"])[: view.shape[0], : view.shape[1]]
+        return base["image_id"], base["y0"], base["x0"], cell
+
+    def kernel(batch: pa.RecordBatch, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows, ends = batch.to_pylist(), [*starts[1:].tolist(), batch.num_rows]
+        made = (merge(rows[a:b]) for a, b in zip(starts.tolist(), ends, strict=True))
+        yield from batches_of(m for m in made if m is not None)
 
     both = moved.unionByName(grid).mapInArrow(cut, TILE_SQL + ", over int, gy int, gx int")
-    return both.groupBy("image_id", "gy", "gx").applyInArrow(merge, TILE_SQL)
+    return C.by_key(both, ["image_id", "gy", "gx"], kernel, TILE_SQL)

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from .boxes import extend_box, pad_offsets
-from .resample import resize, resize_nearest
-from .tiling import frame_grid
+from . import chunks as C
+from .boxes import crop_by_box, extend_box, pad_offsets
+from .chunks import met
+from .resample import resize
 
 
 def swap_channels(pixels: DataFrame) -> DataFrame:
@@ -19,9 +22,20 @@ def swap_channels(pixels: DataFrame) -> DataFrame:
 
 
 def decode_gray(pixels: DataFrame) -> DataFrame:
-    """(image_id, y, x, v): luma of RGB pixels, a partial aggregate per place."""
-    at = lambda c: F.max(F.when(F.col("c") == c, F.col("v")))
-    return pixels.groupBy("image_id", "y", "x").agg(S.luma(at(0), at(1), at(2)).cast("int").alias("v"))
+    """(image_id, y, x, v): luma of RGB pixels, pixels meet by place as chunks."""
+    if not C.fits(pixels, ["image_id", "y", "x", "c", "v"]) or isinstance(pixels.schema["v"].dataType, C._REAL):
+        at = lambda c: F.max(F.when(F.col("c") == c, F.col("v")))
+        return pixels.groupBy("image_id", "y", "x").agg(S.luma(at(0), at(1), at(2)).cast("int").alias("v"))
+
+    def luma(places: list[np.ndarray], number: np.ndarray, c: np.ndarray, v: np.ndarray) -> list[pa.Array]:
+        most = np.full((3, len(places[0])), C.NULL)
+        rgb = (c >= 0) & (c < 3)
+        np.maximum.at(most, (c[rgb], number[rgb]), v[rgb])
+        known = (most != C.NULL).all(axis=0)
+        r, g, b = np.where(known, most, 0)
+        return [C.array(np.where(known, (r * 19595 + g * 38470 + b * 7471 + 32768) >> 16, C.NULL), pa.int32())]
+
+    return C.by_place(pixels.select("image_id", "y", "x", "c", "v"), ["c", "v"], luma, ["v int"])
 
 
 def planes(pixels: DataFrame) -> DataFrame:
@@ -54,7 +68,14 @@ def _weighted(channels: Sequence[int], cells: Cells, c_out: int):
 
 def _by_place(pixels: DataFrame, channels: Sequence[int], value: str) -> DataFrame:
     """(image_id, y, x, _0, _1, ...): a column for each channel, 0 where a place lacks one. One row a place from here on."""
-    return pixels.where(F.col("c").isin(*channels)).groupBy("image_id", "y", "x").agg(*[F.coalesce(F.sum(F.when(F.col("c") == c, F.col(value).cast("double"))), F.lit(0.0)).alias(f"_{i}") for i, c in enumerate(channels)])
+    own = pixels.where(F.col("c").isin(*channels)).select("image_id", "y", "x", "c", F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias(value))
+    if C.fits(pixels, ["image_id", "y", "x", "c", value]):
+
+        def sums(places: list[np.ndarray], number: np.ndarray, c: np.ndarray, v: np.ndarray) -> list[pa.Array]:
+            return [pa.array(np.bincount(number[c == k], v[c == k], len(places[0]))) for k in channels]
+
+        return C.by_place(own, ["c", value], sums, [f"_{i} double" for i in range(len(channels))])
+    return own.groupBy("image_id", "y", "x").agg(*[F.coalesce(F.sum(F.when(F.col("c") == c, F.col(value).cast("double"))), F.lit(0.0)).alias(f"_{i}") for i, c in enumerate(channels)])
 
 
 def _kernel_sums(pixels: DataFrame, cells: Cells, value: str):
@@ -105,8 +126,7 @@ def greener(v: Column, c: Column, m: Column, strength: int = 191) -> Column:
 
 def overlay_green(rgb: DataFrame, mask: DataFrame, strength: int = 191) -> DataFrame:
     """``greener`` for every pixel with a mask (image_id, y, x, m)."""
-    met = rgb.join(mask.select("image_id", "y", "x", "m"), ["image_id", "y", "x"])
-    return met.withColumn("v", greener(F.col("v"), F.col("c"), F.col("m"), strength)).drop("m")
+    return met(rgb, mask, "m").withColumn("v", greener(F.col("v"), F.col("c"), F.col("m"), strength)).drop("m")
 
 
 def overlay_mask(rgb: DataFrame, mask: DataFrame, frames: DataFrame, shrink: int = 10) -> DataFrame:
@@ -119,19 +139,14 @@ def side_by_side(rgb: DataFrame, mask: DataFrame) -> DataFrame:
     """The frame on the left, its mask (0/1 as black and white, three channels) on the right; rgb carries ``width``."""
     left = rgb.select("image_id", "y", "x", "c", "v")
     widths = rgb.select("image_id", "y", "x", "c", "width")
-    right = widths.join(mask.select("image_id", "y", "x", "m"), ["image_id", "y", "x"]).select("image_id", "y", (F.col("x") + F.col("width")).alias("x"), "c", (F.col("m") * 255).cast("int").alias("v"))
+    right = met(widths, mask, "m").select("image_id", "y", (F.col("x") + F.col("width")).alias("x"), "c", (F.col("m") * 255).cast("int").alias("v"))
     return left.unionByName(right)
 
 
 def center_pad(pixels: DataFrame, boxes: DataFrame, target: int, fill: int) -> DataFrame:
     """(image_id, y, x, v): the box's pixels in the middle of a canvas of the target size, ``fill`` around them."""
-    placed = pad_offsets(boxes, target).select("image_id", "x0", "y0", "x1", "y1", "off_x", "off_y")
-    canvas = frame_grid(placed.withColumns({"width": F.lit(target), "height": F.lit(target)}))
-    source = canvas.withColumns({"sy": F.col("y") - F.col("off_y") + F.col("y0"), "sx": F.col("x") - F.col("off_x") + F.col("x0")})
-    within = (F.col("sx") >= F.col("x0")) & (F.col("sx") < F.col("x1")) & (F.col("sy") >= F.col("y0")) & (F.col("sy") < F.col("y1"))
-    source = source.select("image_id", "y", "x", F.when(within, F.col("sy")).alias("sy"), F.when(within, F.col("sx")).alias("sx"))
-    values = pixels.select("image_id", F.col("y").alias("sy"), F.col("x").alias("sx"), "v")
-    return source.join(values, ["image_id", "sy", "sx"], "left").select("image_id", "y", "x", F.coalesce("v", F.lit(fill)).alias("v"))
+    put = pad_offsets(boxes, target).withColumns({"dy": F.col("off_y") - F.col("y0"), "dx": F.col("off_x") - F.col("x0")})
+    return C.placed(pixels, put, boxes.select("image_id", F.lit(target).alias("height"), F.lit(target).alias("width")), "v", fill)
 
 
 def fit_to_target(pixels: DataFrame, boxes: DataFrame, target: int, fill: int, kind: str = "nearest") -> DataFrame:
@@ -140,10 +155,15 @@ def fit_to_target(pixels: DataFrame, boxes: DataFrame, target: int, fill: int, k
     ``boxes`` carries the foreground box and the frame's width and height. A box with a side over the target is stretched
     (``kind``: nearest for masks, lanczos for images); any other is extended within the frame and padded with ``fill``."""
     over = ((F.col("x1") - F.col("x0")) > target) | ((F.col("y1") - F.col("y0")) > target)
+    if kind == "nearest":
+        sides = ["image_id", "x0", "y0", "x1", "y1"]
+        small = pad_offsets(extend_box(boxes.where(~over), target), target).select(*sides, (F.col("off_y") - F.col("y0")).alias("dy"), (F.col("off_x") - F.col("x0")).alias("dx"), F.lit(False).alias("stretch"))
+        put = small.unionByName(boxes.where(over).select(*sides, F.lit(0).alias("dy"), F.lit(0).alias("dx"), F.lit(True).alias("stretch"))).withColumn("target", F.lit(target))
+        square = boxes.select("image_id", F.lit(target).alias("height"), F.lit(target).alias("width"), (~over).alias("filled"))
+        return C.placed(pixels, put, square, "v", fill, stretch=True)
     padded = center_pad(pixels, extend_box(boxes.where(~over), target), target, fill)
     large = boxes.where(over)
-    cut = pixels.select("image_id", "y", "x", "v").join(large.select("image_id", "x0", "y0", "x1", "y1"), "image_id")
-    cut = cut.where("x >= x0 and x < x1 and y >= y0 and y < y1").select("image_id", (F.col("y") - F.col("y0")).alias("y"), (F.col("x") - F.col("x0")).alias("x"), "v")
+    cut = crop_by_box(pixels.select("image_id", "y", "x", "v"), large)
     sizes = large.select("image_id", (F.col("y1") - F.col("y0")).alias("height"), (F.col("x1") - F.col("x0")).alias("width"), F.lit(target).alias("out_h"), F.lit(target).alias("out_w"))
-    stretched = resize_nearest(cut, sizes) if kind == "nearest" else resize(cut, sizes, kind)
+    stretched = resize(cut, sizes, kind)
     return padded.unionByName(stretched.select("image_id", "y", "x", "v"))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import chunks as C
+
 
 def route_by_size(frames: DataFrame, limit: int = 4000) -> DataFrame:
     """``route``: direct if both sides are under the limit, else tiled."""
@@ -61,6 +63,9 @@ def frame_grid(frames: DataFrame) -> DataFrame:
 
 def paste_to_frame(crops: DataFrame, boxes: DataFrame, frames: DataFrame, value: str = "v", empty: int = 0) -> DataFrame:
     """(image_id, y, x, value): the crop's pixels at their box in a frame that is empty elsewhere."""
+    if C.fits(crops, ["image_id", "y", "x", value]):
+        moves = boxes.select("image_id", *[F.lit(n).cast("long").alias(k) for k, n in (("y0", -(1 << 62)), ("x0", -(1 << 62)), ("y1", 1 << 62), ("x1", 1 << 62))], F.col("y0").alias("dy"), F.col("x0").alias("dx"))
+        return C.placed(crops, moves, frames.select("image_id", "height", "width"), value, empty)
     moved = crops.join(boxes.select("image_id", "x0", "y0"), "image_id").select("image_id", (F.col("y") + F.col("y0")).alias("y"), (F.col("x") + F.col("x0")).alias("x"), F.col(value).alias("_v"))
     grid = frame_grid(frames.select("image_id", "width", "height")).select("image_id", "y", "x")
     return grid.join(moved, ["image_id", "y", "x"], "left").select("image_id", "y", "x", F.coalesce("_v", F.lit(empty)).alias(value))

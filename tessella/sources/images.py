@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
+from ..operators import packed as P
 from ..operators.listing import IMAGE_EXTENSIONS, ext_rank
 from ..session import attach
 
@@ -121,21 +122,22 @@ def beside(rgb: Column, mask: Column, width: Column) -> Column:
 def to_pixels(frames: DataFrame, keys: Sequence[str] = ("path",)) -> DataFrame:
     """Packed frames to long pixels (keys, y, x, c, v). Meant for small rasters; large ones stay packed."""
     attach(frames.sparkSession)
-    kind = "array<struct<y:int,x:int,c:int,v:int>>"
-
-    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for data, heights, widths, channels in batches:
-            parts, ends = [], [0]
-            for raw, h, w, n in zip(data, heights.to_pylist(), widths.to_pylist(), channels.to_pylist(), strict=True):
-                v = np.frombuffer(raw.as_buffer(), np.uint8) if raw.is_valid else np.empty(0, np.uint8)
-                y, x, c = (i.ravel() for i in np.indices((h, w, n), np.int32)) if len(v) else (np.empty(0, np.int32),) * 3
-                parts.append((y, x, c, v.astype(np.int32)))
-                ends.append(ends[-1] + len(v))
-            columns = [pa.array(np.concatenate(p)) if parts else pa.array([], pa.int32()) for p in (zip(*parts, strict=True) if parts else [()] * 4)]
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, ["y", "x", "c", "v"]))
-
-    rows = frames.select(*keys, F.explode(F.arrow_udf(run, kind)(F.col("data"), F.col("height"), F.col("width"), F.col("channels"))).alias("p"))
-    return rows.select(*keys, "p.*")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            raw, ends = P._raw(batch.column("data")), P._offsets(batch.column("data"))
+            size = np.diff(ends)
+            h, w, n = (np.where(size > 0, batch.column(k).fill_null(0).to_numpy(), 0).astype(np.int64) for k in ("height", "width", "channels"))
+            if (h * w * n != size).any():
+                raise ValueError("a frame's data isn't of its size")
+            for some, row, (y, x, c) in P.spread(h, w, n):
+                pixels = [pa.array(k.astype(np.int32)) for k in (y, x, c, raw[ends[some.start] : ends[some.stop]])]
+                yield pa.RecordBatch.from_arrays([*[batch.column(k).take(pa.array(row)) for k in keys], *pixels], [*keys, "y", "x", "c", "v"])
+
+    schema = ", ".join([*[f"`{k}` {frames.schema[k].dataType.simpleString()}" for k in keys], "y int", "x int", "c int", "v int"])
+    return frames.select(*keys, "height", "width", "channels", "data").mapInArrow(run, schema)
 
 
 def with_image_id(frames: DataFrame, path_col: str = "path") -> DataFrame:

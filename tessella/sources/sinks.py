@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from ..operators import chunks as C
+from ..operators.packed import filled
 from ..session import attach
 
 
@@ -154,17 +156,15 @@ def write_png(frames: DataFrame, folder: str, mode: str = "append") -> None:
 
 def pack_pixels(pixels: DataFrame, value: str = "v", key: str = "image_id") -> DataFrame:
     """Long pixels (key, y, x, c, value) to packed frames (key, height, width, channels, data). One frame's pixels make a row."""
-    attach(pixels.sparkSession)
 
-    def run(key_: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        y, x, c, v = (table[k].to_numpy() for k in ("y", "x", "c", "v"))
-        h, w, n = int(y.max()) + 1, int(x.max()) + 1, int(c.max()) + 1
-        out = np.zeros((h, w, n), np.uint8)
-        out[y, x, c] = v
-        return pa.table({"key": pa.array([key_[0].as_py()], pa.int64()), "height": pa.array([h], pa.int32()), "width": pa.array([w], pa.int32()), "channels": pa.array([n], pa.int32()), "data": pa.array([out.tobytes()], pa.binary())})
+    def run(groups: list[np.ndarray], sides: list[C.Flat]) -> Iterator[pa.RecordBatch]:
+        f = sides[0]
+        for some, (h, w, n), offsets, data in filled(f.g, *f.columns[:2], f.columns[3], len(groups[0]), f.columns[2]):
+            columns = [C.array(groups[0][some], pa.int64()), *[pa.array(k.astype(np.int32)) for k in (h, w, n)], C.binaries(offsets, data)]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "height", "width", "channels", "data"])
 
-    rows = pixels.select(F.col(key).cast("long").alias("key"), "y", "x", "c", F.col(value).cast("int").alias("v"))
-    return rows.groupBy("key").applyInArrow(run, "key long, height int, width int, channels int, data binary").withColumnRenamed("key", key)
+    rows = pixels.select(F.col(key).cast("long").alias("key"), *[F.col(k).cast("int").alias(k) for k in ("y", "x", "c")], F.col(value).cast("int").alias("v"))
+    return C.gathered([C.chunked(rows, ["key"], ["y", "x", "c", "v"])], run, "key long, height int, width int, channels int, data binary").withColumnRenamed("key", key)
 
 
 def sink_mask_png(masks: DataFrame, folder: str, name_col: str = "name") -> None:
